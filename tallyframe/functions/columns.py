@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
@@ -104,35 +104,6 @@ def arg_max(probs: str | Column) -> Column:
     return (F.array_position(probs, F.array_max(probs)) - 1).cast("int")
 
 
-def first_bin(value: Column, edges: Sequence[float], closed: str = "left",
-              last_closed: bool = False) -> Column:
-    """Bin number by literal edge comparison; NULL outside the edges.
-
-    ``closed="left"`` gives [a,b), ``closed="right"`` gives (a,b].
-    ``last_closed`` also admits the top edge (left-closed bins) or the bottom
-    edge (right-closed bins). The conditions form a balanced tree, so a row
-    passes log2(bins) comparisons.
-    """
-    edges = [float(e) for e in edges]
-
-    def below(e: float) -> Column:
-        return value < e if closed == "left" else value <= e
-
-    def tree(lo: int, hi: int) -> Column:
-        if hi - lo == 1:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(below(edges[mid]), tree(lo, mid)).otherwise(tree(mid, hi))
-
-    if closed == "left":
-        top = value <= edges[-1] if last_closed else value < edges[-1]
-        inside = (value >= edges[0]) & top
-    else:
-        bottom = value >= edges[0] if last_closed else value > edges[0]
-        inside = bottom & (value <= edges[-1])
-    return F.when(inside, tree(0, len(edges) - 1))
-
-
 def even_edges(bins: int, lo: float = 0.0, hi: float = 1.0) -> list[float]:
     """Equal steps as floats, spelled once: step i is lo + i * width."""
     width = (hi - lo) / bins

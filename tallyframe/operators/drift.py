@@ -9,14 +9,14 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tallyframe.functions.columns import even_edges, finite, first_bin
+from tallyframe.functions.columns import even_edges, finite
+from tallyframe.operators.bins import add_bins
 from tallyframe.operators.order import (ROWS_PER_SORT, cut_points, quantile_table, running_counts,
                                         settle)
 
 EPSILON = 1e-6
 STABLE_BELOW = 0.10
 WARNING_BELOW = 0.20
-OUTSIDE = -1  # bin of a value beyond the reference edges
 
 
 def is_numeric(field: T.StructField) -> bool:
@@ -69,12 +69,11 @@ class DriftReference:
 def bin_rows(df: DataFrame, edges: Mapping[str, Sequence[float]], by: Sequence[str] = ()
              ) -> DataFrame:
     """One row per value: ``(*by, feature, bin)``; no shuffle."""
-    cells = []
-    for c, e in edges.items():
-        x = finite(F.col(c).cast("double"))
-        inside = F.coalesce(first_bin(x, e, "left", last_closed=True), F.lit(OUTSIDE))
-        cells.append(F.struct(F.lit(c).alias("feature"), F.when(x.isNotNull(), inside).alias("bin")))
-    return df.select(*by, F.inline(F.array(*cells))).where(F.col("bin").isNotNull())
+    narrow = df.select(*by, *[finite(F.col(c).cast("double")).alias(c) for c in edges])
+    binned = add_bins(narrow, edges, "left", close_end=True)
+    return binned.select(*by, F.inline(F.array(*[
+        F.expr(f"named_struct('feature', '{c}', 'bin', `bin_{c}`)") for c in edges
+    ]))).where("bin is not null")
 
 
 def bin_counts(df: DataFrame, edges: Mapping[str, Sequence[float]], by: Sequence[str] = ()
@@ -88,16 +87,15 @@ def psi_from_counts(counts: DataFrame, ref: DriftReference, by: Sequence[str] =
     widest = max(len(s) for s in ref.shares.values())
     per_bin = counts.groupBy(*by, "feature").agg(
         F.sum("n").alias("n"),
-        *[F.sum(F.when(F.col("bin") == i, F.col("n")).otherwise(0)).alias(f"b{i}")
-          for i in range(widest)],
+        *[F.expr(f"sum(if(bin = {i}, n, 0L))").alias(f"b{i}") for i in range(widest)],
     )
     expected = F.element_at(_literal_map({
         c: F.array(*[F.lit(float(x)) for x in s]) for c, s in ref.shares.items()}), F.col("feature"))
-    total = F.lit(0.0)
+    terms = []
     for i in range(widest):
-        a = F.col(f"b{i}") / F.col("n") + EPSILON
-        e = F.get("expected", F.lit(i)) + EPSILON
-        total = total + F.when(F.lit(i) < F.size("expected"), (a - e) * F.ln(a / e)).otherwise(0.0)
+        a, e = f"(b{i} / n + {EPSILON}D)", f"(expected[{i}] + {EPSILON}D)"
+        terms.append(f"if({i} < size(expected), ({a} - {e}) * ln({a} / {e}), 0D)")
+    total = F.expr(" + ".join(terms))
     return (per_bin.withColumn("expected", expected)
             .select(*by, "feature", "n", F.round(total, 6).alias("psi")))
 

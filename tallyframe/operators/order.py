@@ -10,12 +10,12 @@ correctness. Inputs below ``ROWS_PER_SORT`` rows use a single bucket.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyframe.functions.columns import finite
+from tallyframe.operators.bins import add_buckets
 
 ROWS_PER_SORT = 2_000_000
 MAX_BUCKETS = 4096
@@ -55,25 +55,6 @@ def cut_points(df: DataFrame, columns: Sequence[str], rows_per_sort: int = ROWS_
     return {c: sorted(set(row[c] or [])) for c in columns}
 
 
-def bucket_of(value: Column, points: Sequence[float]) -> Column:
-    """How many cut points are <= value, found in two steps of about sqrt(n) each."""
-    if not points:
-        return F.lit(0)
-
-    def literal(items: Sequence[float]) -> Column:
-        return F.array(*[F.lit(float(p)) for p in items or [float("inf")]])
-
-    def passed(items: Column) -> Column:
-        return F.size(F.filter(items, lambda p: p <= value))
-
-    step = math.isqrt(len(points)) + 1
-    heads = points[step - 1::step]
-    blocks = [points[i:i + step - 1] for i in range(0, len(points) + 1, step)]
-    block = passed(literal(heads))
-    inner = F.element_at(F.array(*[literal(b) for b in blocks]), block + 1)
-    return block * step + passed(inner)
-
-
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = (), rows_per_sort: int = ROWS_PER_SORT) -> DataFrame:
     """Linear-interpolation quantiles of many columns, per group.
@@ -82,62 +63,58 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     quantiles)`` with the quantiles in the order of ``probs``. NULL, NaN and
     infinite values and NULL groups are left out.
     """
-    by, columns = list(by), list(columns)
+    by, columns, probs = list(by), list(columns), [float(p) for p in probs]
     narrow = df.select(*by, *[finite(F.col(c).cast("double")).alias(c) for c in columns])
     if by:
         narrow = narrow.dropna(subset=by)
     points = cut_points(narrow, columns, rows_per_sort)
-    single = not any(points.values())
-    values = narrow.select(*by, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).alias("x"),
-                 bucket_of(F.col(c), points[c]).alias("bucket"))
-        for c in columns
-    ]))).where(F.col("x").isNotNull())
+    values = add_buckets(narrow, points).select(*by, F.inline(F.array(*[
+        F.expr(f"named_struct('feature', '{c}', 'x', `{c}`, 'bucket', `bucket_{c}`)")
+        for c in columns]))).where("x is not null")
 
     cell = [*by, "feature"]
     ordered = Window.partitionBy(*cell, "bucket").orderBy("x")
-    if single:
-        counted = values.groupBy(*cell, "bucket", "x").agg(F.count("*").alias("c"))
-        counted = counted.withColumn(
-            "n", F.sum("c").over(Window.partitionBy(*cell, "bucket"))
-        ).withColumn("start", F.lit(0).cast("bigint"))
+    if not any(points.values()):
+        counted = values.groupBy(*cell, "bucket", "x").agg(F.count("*").alias("c")).select(
+            "*", F.sum("c").over(Window.partitionBy(*cell, "bucket")).alias("n"),
+            F.expr("0L").alias("start"))
     else:
         counts = values.groupBy(*cell, "bucket").agg(F.count("*").alias("in_bucket"))
         upto = Window.partitionBy(*cell).orderBy("bucket")
         counts = counts.select(
             *cell, "bucket",
             F.sum("in_bucket").over(Window.partitionBy(*cell)).alias("n"),
-            (F.sum("in_bucket").over(upto) - F.col("in_bucket")).alias("start"),
-            "in_bucket",
-        )
-        wanted = F.lit(False)
-        for p in probs:
-            for rank in _ranks(p):
-                wanted = wanted | ((rank >= F.col("start"))
-                                   & (rank < F.col("start") + F.col("in_bucket")))
+            (F.sum("in_bucket").over(upto) - F.col("in_bucket")).alias("start"), "in_bucket")
+        wanted = " or ".join(f"({rank} >= start and {rank} < start + in_bucket)"
+                             for p in probs for rank in _ranks(p))
         need = settle(counts.where(wanted).drop("in_bucket"))
         counted = (values.join(need, [*cell, "bucket"])
                    .groupBy(*cell, "bucket", "n", "start", "x").agg(F.count("*").alias("c")))
-    upper = F.col("start") + F.sum("c").over(ordered)
-    ranked = counted.withColumn("hi", upper).withColumn("lo", F.col("hi") - F.col("c"))
+    ranked = counted.select(
+        *cell, "n", "x", (F.col("start") + F.sum("c").over(ordered)).alias("hi"), "c",
+    ).withColumn("lo", F.expr("hi - c"))
+
+    # Few rows hold a wanted rank. A loose test on the rank share drops the others
+    # cheaply; the aggregate then decides exactly.
+    near = add_buckets(
+        ranked.withColumns({"u": F.expr("(lo - 2) / nullif(n - 1, 0)"),
+                            "v": F.expr("(hi + 1) / nullif(n - 1, 0)")}),
+        {"u": sorted(set(probs)), "v": sorted(set(probs))}, "near_",
+    ).where("n = 1 or near_v > near_u")
+    picked = near.groupBy(*cell, "n").agg(*[
+        F.expr(f"max(case when {rank} >= lo and {rank} < hi then x end)").alias(f"{side}{i}")
+        for i, p in enumerate(probs) for side, rank in zip("ab", _ranks(p))])
+    return picked.select(*cell, "n", F.array(*[
+        F.expr(f"a{i} + (b{i} - a{i}) * ({_position(p)} - floor({_position(p)}))")
+        for i, p in enumerate(probs)]).alias("quantiles"))
+
 
-    picks = []
-    for i, p in enumerate(probs):
-        for side, rank in zip("ab", _ranks(p)):
-            hit = (rank >= F.col("lo")) & (rank < F.col("hi"))
-            picks.append(F.max(F.when(hit, F.col("x"))).alias(f"{side}{i}"))
-    picked = ranked.groupBy(*cell, "n").agg(*picks)
-    out = []
-    for i, p in enumerate(probs):
-        position = (F.col("n") - 1) * F.lit(float(p))
-        part = position - F.floor(position)
-        out.append(F.col(f"a{i}") + (F.col(f"b{i}") - F.col(f"a{i}")) * part)
-    return picked.select(*cell, "n", F.array(*out).alias("quantiles"))
+def _position(p: float) -> str:
+    return f"(n - 1) * {p!r}D"
 
 
-def _ranks(p: float) -> tuple[Column, Column]:
-    position = (F.col("n") - 1) * F.lit(float(p))
-    return F.floor(position), F.ceil(position)
+def _ranks(p: float) -> tuple[str, str]:
+    return f"floor({_position(p)})", f"ceil({_position(p)})"
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
@@ -164,7 +141,8 @@ def running_counts(dist: DataFrame, curve: Sequence[str], score: str, measures:
             *[F.sum(m).over(whole).alias(f"tot_{m}") for m in measures],
             F.lead(score).over(w).alias("next_score"),
         )
-    dist = dist.withColumn("bucket", bucket_of(F.col(score), points))
+    names = dist.columns
+    dist = add_buckets(dist, {score: list(points)}).withColumnRenamed(f"bucket_{score}", "bucket")
     sums = dist.groupBy(*curve, "bucket").agg(
         *[F.sum(m).alias(f"bucket_{m}") for m in measures], F.min(score).alias("first_score"))
     w = Window.partitionBy(*curve).orderBy("bucket")
@@ -179,8 +157,8 @@ def running_counts(dist: DataFrame, curve: Sequence[str], score: str, measures:
     inside = Window.partitionBy(*curve, "bucket").orderBy(score)
     joined = dist.join(sums, [*curve, "bucket"])
     return joined.select(
-        *dist.columns,
+        *names,
         *[(F.col(f"before_{m}") + F.sum(m).over(inside)).alias(f"cum_{m}") for m in measures],
         *[F.col(f"tot_{m}") for m in measures],
         F.coalesce(F.lead(score).over(inside), F.col("following")).alias("next_score"),
-    ).drop("bucket")
+    )
