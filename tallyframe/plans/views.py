@@ -65,7 +65,7 @@ select
        else cast(c_custkey % 30 as string) || ' Years and '
             || cast(c_custkey % 12 as string) || ' Months' end as history_txt,
   case when c_custkey % 7 = 0 then null when c_custkey % 41 = 0 then cast(0 as double)
-       else round(spend / 12, 2) end as salary,
+       else cast({d.div('cast(round(spend * 100) as bigint)', '12')} as double) / 100 end as salary,
   cast(case when c_custkey % 101 = 0 then 1499 else c_custkey % 9 end as bigint) as cards,
   case when c_custkey % 17 = 0 then '_______' else c_mktsegment end as occupation,
   case when c_custkey % 5 = 0 then '_' when c_custkey % 3 = 0 then 'Bad'
