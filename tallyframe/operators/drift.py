@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from tallyframe.functions.columns import even_edges, finite
 from tallyframe.operators.bins import add_bins
-from tallyframe.operators.order import (ROWS_PER_SORT, cut_points, quantile_table, running_counts,
-                                        settle)
+from tallyframe.operators.order import (ROWS_PER_SORT, cut_points, local_rows, quantile_table,
+                                        running_counts, settle)
 
 EPSILON = 1e-6
 STABLE_BELOW = 0.10
@@ -136,8 +136,8 @@ def psi_table(reference: DataFrame, current: DataFrame, columns: Sequence[str] |
     numeric = [c for c in columns if is_numeric(reference.schema[c])]
     text = [c for c in columns if c not in numeric]
     spark = reference.sparkSession
-    wanted = spark.createDataFrame(
-        [(c, None if c in numeric else 0.0) for c in columns], "feature string, empty double")
+    wanted = local_rows(spark, [(c, None if c in numeric else 0.0) for c in columns],
+                        {"feature": "string", "empty": "double"})
     parts = []
     if numeric:
         ref = DriftReference.fit(reference, numeric, bins, rows_per_sort)
@@ -145,11 +145,11 @@ def psi_table(reference: DataFrame, current: DataFrame, columns: Sequence[str] |
             parts.append(psi_numeric(current, ref).select("feature", "psi"))
     if text:
         parts.append(psi_categorical(reference, current, text))
-    found = spark.createDataFrame([], "feature string, psi double")
+    found = local_rows(spark, [], {"feature": "string", "psi": "double"})
     for part in parts:
         found = found.unionByName(part)
     psi = F.coalesce("psi", "empty")
-    return settle(wanted).join(found, "feature", "left").select(
+    return wanted.join(found, "feature", "left").select(
         "feature", psi.alias("psi"), psi_status(psi).alias("status"))
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.functions.columns import arg_max, even_edges
 from tallyframe.operators.bins import OUTSIDE, add_bins
-from tallyframe.operators.order import (ROWS_PER_SORT, cut_points, exact_quantiles, running_counts,
-                                        settle)
+from tallyframe.operators.order import (ROWS_PER_SORT, cut_points, exact_quantiles, local_rows,
+                                        running_counts, settle)
 from tallyframe.operators.profile import histogram
 
 CLASSES = ("Poor", "Standard", "Good")
@@ -298,9 +298,9 @@ def error_rate_by_confidence(predicted: DataFrame, bins: int = 10) -> DataFrame:
     binned = add_bins(predicted, {"confidence": edges}, "right")
     counts = binned.groupBy(F.col("bin_confidence").alias("bin")).agg(
         F.count("*").alias("n"), F.avg(F.expr("if(y_true <> y_pred, 1D, 0D)")).alias("e"))
-    grid = predicted.sparkSession.createDataFrame(
-        [(i, edges[i], edges[i + 1]) for i in range(bins)], "bin int, lo double, hi double")
-    return settle(grid).join(counts, "bin", "left").select(
+    grid = local_rows(predicted.sparkSession, [(i, edges[i], edges[i + 1]) for i in range(bins)],
+                      {"bin": "int", "lo": "double", "hi": "double"})
+    return grid.join(counts, "bin", "left").select(
         "bin", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"),
         F.coalesce("n", F.lit(0).cast("bigint")).alias("n"), F.round("e", 6).alias("error_rate"))
 

@@ -10,9 +10,10 @@ correctness. Inputs below ``ROWS_PER_SORT`` rows use a single bucket.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyframe.functions.columns import finite
 from tallyframe.operators.bins import add_buckets
@@ -34,6 +35,16 @@ def settle(df: DataFrame, max_rows: int = SETTLE_ROWS) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, schema=df.schema)
 
 
+_ARROW = {"string": pa.string(), "double": pa.float64(), "int": pa.int32(), "bigint": pa.int64()}
+
+
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: Mapping[str, str]) -> DataFrame:
+    """A handful of literal rows (grids, rule tables) as a local relation."""
+    columns = {name: pa.array([r[i] for r in rows], _ARROW[kind])
+               for i, (name, kind) in enumerate(schema.items())}
+    return spark.createDataFrame(pa.table(columns))
+
+
 def bucket_number(rows: int, rows_per_sort: int) -> int:
     return max(1, min(MAX_BUCKETS, -(-rows // rows_per_sort)))
 
@@ -162,3 +173,21 @@ def running_counts(dist: DataFrame, curve: Sequence[str], score: str, measures:
         *[F.col(f"tot_{m}") for m in measures],
         F.coalesce(F.lead(score).over(inside), F.col("following")).alias("next_score"),
     )
+
+
+def running_best(df: DataFrame, curve: Sequence[str], order: str, value: str, out: str,
+                 rows_per_sort: int = ROWS_PER_SORT) -> DataFrame:
+    """Add the largest ``value`` seen so far along ``order`` within each curve."""
+    curve = list(curve)
+    points = cut_points(df, [order], rows_per_sort)[order]
+    if not points:
+        return df.withColumn(out, F.max(value).over(Window.partitionBy(*curve).orderBy(order)))
+    parts = add_buckets(df, {order: points})
+    bucket = f"bucket_{order}"
+    earlier = Window.partitionBy(*curve).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    before = settle(parts.groupBy(*curve, bucket).agg(F.max(value).alias("m"))
+                    .withColumn("__before", F.max("m").over(earlier)).drop("m"))
+    inside = Window.partitionBy(*curve, bucket).orderBy(order)
+    return parts.join(before, [*curve, bucket]).select(
+        *[F.col(c) for c in df.columns],
+        F.greatest("__before", F.max(value).over(inside)).alias(out))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tallyframe.functions.columns import even_edges, finite
 from tallyframe.operators.bins import add_bins
-from tallyframe.operators.order import ROWS_PER_SORT, exact_quantiles, settle
+from tallyframe.operators.order import ROWS_PER_SORT, exact_quantiles, local_rows, settle
 from tallyframe.operators.quality import null_rates
 
 PAIRS_PER_PASS = 40
@@ -66,9 +66,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
     counts = binned.select(F.inline(F.array(*[
         F.expr(f"named_struct('feature', '{c}', 'bin', bin_{c})") for c in edges]))
     ).where("bin is not null").groupBy("feature", "bin").agg(F.count("*").alias("n"))
-    grid = settle(df.sparkSession.createDataFrame(
-        [(c, i, e[i], e[i + 1]) for c, e in edges.items() for i in range(bins)],
-        "feature string, bin int, lo double, hi double"), len(edges) * bins)
+    grid = local_rows(
+        df.sparkSession, [(c, i, e[i], e[i + 1]) for c, e in edges.items() for i in range(bins)],
+        {"feature": "string", "bin": "int", "lo": "double", "hi": "double"})
     return grid.join(counts, ["feature", "bin"], "left").select(
         "feature", "bin", "lo", "hi", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
 
@@ -121,8 +121,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Full symmetric matrix as rows, 1 on the diagonal."""
     half = correlations(df, columns)
     both = half.unionByName(half.select(F.col("y").alias("x"), F.col("x").alias("y"), "r"))
-    diagonal = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns],
-                                               "x string, y string, r double")
+    diagonal = local_rows(df.sparkSession, [(c, c, 1.0) for c in columns],
+                          {"x": "string", "y": "string", "r": "double"})
     return both.unionByName(diagonal).select("x", "y", F.round("r", 6).alias("r"))
 
 

@@ -7,7 +7,8 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-SECTIONS = ["table_queries", "feature_queries", "score_queries", "drift_queries"]
+SECTIONS = ["table_queries", "feature_queries", "profile_queries", "score_queries",
+            "board_queries", "drift_queries"]
 
 
 def _modules():
