@@ -47,7 +47,7 @@ def q_decision(spark, sf):
 
 
 def q_soft_vote(spark, sf):
-    voted = m.with_prediction(policy.soft_vote(scores(spark, sf), ["probs_a", "probs_b"]))
+    voted = m.with_prediction(policy.soft_vote(scores(spark, sf, "ab"), ["probs_a", "probs_b"]))
     return voted.select("key", *[F.round(F.get("probs", F.lit(i)), 6).alias(f"p{i}")
                                  for i in range(3)], "y_pred")
 
@@ -71,7 +71,8 @@ QUERIES = {
     "auc_ovr": on_scores(m.auc_ovr), "auc_ovo": on_scores(m.auc_ovo),
     "ks_per_class": on_scores(m.ks_by_class), "roc_points": q_roc,
     "ece": on_scores(m.ece_by_class),
-    "calibration_before_after": on_scores(m.calibration_before_after, "probs_a", "probs_b"),
+    "calibration_before_after": lambda s, sf: m.calibration_before_after(
+        scores(s, sf, "ab"), "probs_a", "probs_b"),
     "reliability_curve": on_scores(m.reliability_curve),
     "fairness_by_group": on_predictions(m.fairness_by_group, "grp"),
     "fairness_summary": lambda s, sf: m.fairness_summary(m.fairness_by_group(_pred(s, sf), "grp")),
