@@ -85,19 +85,23 @@ def bin_counts(df: DataFrame, edges: Mapping[str, Sequence[float]], by: Sequence
 def psi_from_counts(counts: DataFrame, ref: DriftReference, by: Sequence[str] = ()) -> DataFrame:
     """``(*by, feature, n, psi)`` from current bin counts; 6 decimals."""
     widest = max(len(s) for s in ref.shares.values())
-    per_bin = counts.groupBy(*by, "feature").agg(
+    return psi_select(counts.groupBy(*by, "feature").agg(
         F.sum("n").alias("n"),
         *[F.expr(f"sum(if(bin = {i}, n, 0L))").alias(f"b{i}") for i in range(widest)],
-    )
+    ), ref, by)
+
+
+def psi_select(sums: DataFrame, ref: DriftReference, by: Sequence[str] = ()) -> DataFrame:
+    """PSI from rows holding the total ``n`` and one count ``b0``, ``b1``, ... per bin."""
+    widest = max(len(s) for s in ref.shares.values())
     expected = F.element_at(_literal_map({
         c: F.array(*[F.lit(float(x)) for x in s]) for c, s in ref.shares.items()}), F.col("feature"))
     terms = []
     for i in range(widest):
         a, e = f"(b{i} / n + {EPSILON}D)", f"(expected[{i}] + {EPSILON}D)"
         terms.append(f"if({i} < size(expected), ({a} - {e}) * ln({a} / {e}), 0D)")
-    total = F.expr(" + ".join(terms))
-    return (per_bin.withColumn("expected", expected)
-            .select(*by, "feature", "n", F.round(total, 6).alias("psi")))
+    return (sums.withColumn("expected", expected)
+            .select(*by, "feature", "n", F.round(F.expr(" + ".join(terms)), 6).alias("psi")))
 
 
 def psi_numeric(current: DataFrame, ref: DriftReference, by: Sequence[str] = ()) -> DataFrame:
