@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 SECTIONS = ["table_queries", "feature_queries", "profile_queries", "score_queries",
-            "board_queries", "drift_queries", "monitor_queries"]
+            "board_queries", "drift_queries", "monitor_queries", "training_queries"]
 
 
 def _modules():

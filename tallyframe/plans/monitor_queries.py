@@ -95,12 +95,12 @@ def alert_pending_firing(spark, sf):
 
 def alert_firing_stream(spark, sf):
     """Two queries: windows into a table of ticks, the table as a stream into the hold rule."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", run.ROCKSDB)
     path = scratch_path(spark, "ticks")
     rates = mon.error_rate(_stream(spark, sf), IS_ERROR).withColumn("series", F.lit("all"))
     run.run_append(rates, "ticks", path)
     held = run.held_alerts_stream(run.read_stream(spark, path, schema=rates.schema))
-    return _ticks(run.run_append(held, "held"), "state")
+    with run.rocksdb_state(spark):
+        return _ticks(run.run_append(held, "held"), "state")
 
 
 def heartbeat_gap(spark, sf):

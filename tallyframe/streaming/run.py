@@ -3,20 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from tallyframe.operators.drift import DriftReference, bin_rows, psi_select, psi_status
-from tallyframe.operators.features import FittedFeatures
-from tallyframe.operators.policy import apply_decision
 from tallyframe.sources.tables import scratch_path
 from tallyframe.streaming.monitors import TICK_SECONDS, event_time
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """The store that stateful processors need, for the queries started inside."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def read_stream(spark: SparkSession, folder: str, name: str = "*.parquet", schema=None) -> DataFrame:
     """Parquet files of a folder as a stream; the schema is that of the files there."""
     if schema is None:
@@ -144,13 +155,7 @@ def held_alerts_stream(ticks: DataFrame, hold_seconds: int = 120, step: int = TI
         outputMode="append", timeMode="None")
 
 
-# -- scoring and drift on streams ---------------------------------------------
-
-def score_stream(records: DataFrame, state: FittedFeatures, model, keep: tuple[str, ...]
-                 ) -> DataFrame:
-    """Records in, decisions out; stateless. ``model`` adds ``probs`` to a feature table."""
-    return apply_decision(model(state.transform(records, keep)))
-
+# -- drift on streams ---------------------------------------------
 
 def drift_stream(events: DataFrame, ref: DriftReference, length: str = "1 day") -> DataFrame:
     """PSI per tumbling window against frozen edges, one stateful aggregate."""
