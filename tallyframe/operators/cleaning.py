@@ -67,7 +67,7 @@ def clean(df: DataFrame, rules: CleanRules, caps: Mapping[str, float] | None = N
     ])
 
 
-def fit_caps(train: DataFrame, rules: CleanRules) -> dict[str, float]:
+def fit_caps(train: DataFrame, rules: CleanRules, rows: int | None = None) -> dict[str, float]:
     """Upper caps from cleaned training rows, before any cap is applied."""
     wanted = {c: q for c, q in rules.quantile_caps.items() if c in train.columns}
     if not wanted:
@@ -76,7 +76,7 @@ def fit_caps(train: DataFrame, rules: CleanRules) -> dict[str, float]:
     caps: dict[str, float] = {}
     for q in sorted(set(wanted.values())):
         cols = [c for c in wanted if wanted[c] == q]
-        caps.update({c: v[0] for c, v in quantile_table(cleaned, cols, [q]).items()})
+        caps.update({c: v[0] for c, v in quantile_table(cleaned, cols, [q], rows=rows).items()})
     return caps
 
 

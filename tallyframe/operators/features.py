@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallyframe.functions import columns as fx
 from tallyframe.operators.cleaning import CleanRules, clean, fit_caps
-from tallyframe.operators.order import quantile_table
+from tallyframe.operators.order import quantile_table, settle
 
 MAX_CATEGORIES = 1000
 MIN_VARIANCE = 0.01
@@ -29,9 +29,11 @@ def add_features(df: DataFrame, table: Mapping[str, str]) -> DataFrame:
 
 # -- imputation ---------------------------------------------------------------
 
-def fit_medians(train: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+def fit_medians(train: DataFrame, columns: Sequence[str], rows: int | None = None
+                ) -> dict[str, float]:
     cols = [c for c in columns if c in train.columns]
-    return {c: v[0] for c, v in quantile_table(train, cols, [0.5]).items()} if cols else {}
+    found = quantile_table(train, cols, [0.5], rows=rows) if cols else {}
+    return {c: v[0] for c, v in found.items()}
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -46,10 +48,14 @@ def fit_modes(train: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     cols = [c for c in columns if c in train.columns]
     if not cols:
         return {}
-    best = value_counts(train, cols).groupBy("feature").agg(
+    return _modes(value_counts(train, cols), cols)
+
+
+def _modes(counts: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    best = counts.groupBy("feature").agg(
         F.expr("min(struct(-n as minus_n, value)).value").alias("value"))
     found = {r["feature"]: r["value"] for r in best.collect()}
-    return {c: found.get(c, "") for c in cols}
+    return {c: found.get(c, "") for c in columns}
 
 
 def fill(df: DataFrame, values: Mapping[str, float | str]) -> DataFrame:
@@ -74,11 +80,13 @@ def residual_fill(df: DataFrame, medians: Mapping[str, float], columns: Sequence
 def fit_categories(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Sorted training categories. They turn into columns, so their number is checked."""
     cols = [c for c in columns if c in train.columns]
-    if not cols:
-        return {}
-    rows = value_counts(train, cols).select("feature", "value").limit(
-        MAX_CATEGORIES * len(cols) + 1).collect()
-    found: dict[str, list[str]] = {c: [] for c in cols}
+    return _categories(value_counts(train, cols), cols) if cols else {}
+
+
+def _categories(counts: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    rows = counts.where(F.col("feature").isin(*columns)).select("feature", "value").limit(
+        MAX_CATEGORIES * len(columns) + 1).collect()
+    found: dict[str, list[str]] = {c: [] for c in columns}
     for r in rows:
         found[r["feature"]].append(r["value"])
     for c, values in found.items():
@@ -175,18 +183,22 @@ class FittedFeatures:
 
     @classmethod
     def fit(cls, train: DataFrame, spec: FeatureSpec) -> "FittedFeatures":
-        caps = fit_caps(train, spec.rules)
+        rows = train.count()
+        caps = fit_caps(train, spec.rules, rows)
         cleaned = clean(train, spec.rules, caps)
-        state = cls(spec, caps, fit_medians(cleaned, spec.numeric),
-                    fit_modes(cleaned, spec.categorical))
-        imputed = state.impute(cleaned)
-        state = replace(state, categories=fit_categories(imputed, spec.one_hot))
-        derived = state.derive(state.encode(imputed))
+        text = [c for c in {*spec.categorical, *spec.one_hot} if c in cleaned.columns]
+        counts = settle(value_counts(cleaned, text)) if text else None
+        modes = _modes(counts, [c for c in spec.categorical if c in text]) if text else {}
+        categories = _categories(counts, [c for c in spec.one_hot if c in text]) if text else {}
+        for c in categories:  # a column without any value is filled with its mode ""
+            categories[c] = categories[c] or [modes[c]] if c in modes else categories[c]
+        state = cls(spec, caps, fit_medians(cleaned, spec.numeric, rows), modes, categories)
+        derived = state.derive(state.encode(state.impute(cleaned)))
         wanted = spec.selected if spec.selected is not None else derived.columns
         listed = [c for c in wanted if c in derived.columns and c != spec.label]
         kept = select_by_variance(derived, spec.min_variance, spec.label, columns=listed)
-        numbers = [c for c in kept if not isinstance(derived.schema[c].dataType, T.BooleanType)]
-        return replace(state, features=kept, residual_medians=fit_medians(derived, numbers))
+        open_ = [c for c in kept if derived.schema[c].nullable]  # imputed columns never are
+        return replace(state, features=kept, residual_medians=fit_medians(derived, open_, rows))
 
     def impute(self, cleaned: DataFrame) -> DataFrame:
         return fill(cleaned, {**self.medians, **self.modes})

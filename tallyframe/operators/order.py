@@ -49,13 +49,14 @@ def bucket_number(rows: int, rows_per_sort: int) -> int:
     return max(1, min(MAX_BUCKETS, -(-rows // rows_per_sort)))
 
 
-def cut_points(df: DataFrame, columns: Sequence[str], rows_per_sort: int = ROWS_PER_SORT
-               ) -> dict[str, list[float]]:
+def cut_points(df: DataFrame, columns: Sequence[str], rows_per_sort: int = ROWS_PER_SORT,
+               rows: int | None = None) -> dict[str, list[float]]:
     """Ascending bucket borders per column, empty lists for small inputs.
 
-    The rows brought to the driver are at most MAX_BUCKETS numbers per column.
+    The rows brought to the driver are at most MAX_BUCKETS numbers per column. ``rows``
+    saves the count when the caller knows an upper bound of it.
     """
-    buckets = bucket_number(df.count(), rows_per_sort)
+    buckets = bucket_number(df.count() if rows is None else rows, rows_per_sort)
     if buckets == 1:
         return {c: [] for c in columns}
     shares = [i / buckets for i in range(1, buckets)]
@@ -67,7 +68,8 @@ def cut_points(df: DataFrame, columns: Sequence[str], rows_per_sort: int = ROWS_
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), rows_per_sort: int = ROWS_PER_SORT) -> DataFrame:
+                    by: Sequence[str] = (), rows_per_sort: int = ROWS_PER_SORT,
+                    rows: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles of many columns, per group.
 
     One row per group and column that has any value: ``(*by, feature, n,
@@ -78,7 +80,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     narrow = df.select(*by, *[finite(F.col(c).cast("double")).alias(c) for c in columns])
     if by:
         narrow = narrow.dropna(subset=by)
-    points = cut_points(narrow, columns, rows_per_sort)
+    points = cut_points(narrow, columns, rows_per_sort, rows)
     values = add_buckets(narrow, points).select(*by, F.inline(F.array(*[
         F.expr(f"named_struct('feature', '{c}', 'x', `{c}`, 'bucket', `bucket_{c}`)")
         for c in columns]))).where("x is not null")
@@ -129,10 +131,11 @@ def _ranks(p: float) -> tuple[str, str]:
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                   rows_per_sort: int = ROWS_PER_SORT) -> dict[str, list[float]]:
+                   rows_per_sort: int = ROWS_PER_SORT, rows: int | None = None
+                   ) -> dict[str, list[float]]:
     """Ungrouped :func:`exact_quantiles` on the driver: one short list per column."""
-    rows = exact_quantiles(df, columns, probs, rows_per_sort=rows_per_sort).collect()
-    return {r["feature"]: list(r["quantiles"]) for r in rows}
+    found = exact_quantiles(df, columns, probs, rows_per_sort=rows_per_sort, rows=rows)
+    return {r["feature"]: list(r["quantiles"]) for r in found.collect()}
 
 
 def running_counts(dist: DataFrame, curve: Sequence[str], score: str, measures: Sequence[str],

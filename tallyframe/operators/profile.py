@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +15,7 @@ from tallyframe.operators.bins import add_bins
 from tallyframe.operators.order import ROWS_PER_SORT, exact_quantiles, local_rows, settle
 from tallyframe.operators.quality import null_rates
 
-PAIRS_PER_PASS = 40
+PAIRS_IN_CODEGEN = 40
 
 
 def _rows(wide: DataFrame, structs: Sequence[str]) -> DataFrame:
@@ -60,8 +62,11 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
     narrow = df.select(*[finite(F.col(c).cast("double")).alias(c) for c in columns])
     span = narrow.agg(*[f(c).alias(f"{n}_{c}") for c in columns
                         for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    edges = {c: even_edges(bins, span[f"lo_{c}"], span[f"hi_{c}"]) for c in columns
-             if span[f"lo_{c}"] is not None and span[f"lo_{c}"] < span[f"hi_{c}"]}
+    edges = {}
+    for c in columns:
+        lo, hi = span[f"lo_{c}"], span[f"hi_{c}"]
+        if lo is not None:  # a constant column gets a unit range around its value
+            edges[c] = even_edges(bins, lo, hi) if lo < hi else even_edges(bins, lo - 0.5, lo + 0.5)
     binned = add_bins(narrow, edges, "left", close_end=True)
     counts = binned.select(F.inline(F.array(*[
         F.expr(f"named_struct('feature', '{c}', 'bin', bin_{c})") for c in edges]))
@@ -101,20 +106,49 @@ def crosstab_pct(df: DataFrame, row: str, column: str, row_values: Sequence[str]
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(x, y, r)`` for every unordered pair, pairwise complete.
+    """``(x, y, r)`` for every unordered pair, pairwise complete, in one pass.
 
-    Pairs are aggregated in groups so that each pass stays inside generated code.
+    Few pairs are built-in aggregates; many pairs would leave generated code, so there each
+    task multiplies its Arrow batches and only k*k sums per task are shuffled.
     """
     pairs = list(combinations(columns, 2))
-    out = None
-    for i in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[i:i + PAIRS_PER_PASS]
-        wide = df.agg(*[F.expr(f"named_struct('x', '{a}', 'y', '{b}', 'r', "
-                               f"corr(cast({a} as double), cast({b} as double)))").alias(f"p{j}")
-                        for j, (a, b) in enumerate(chunk)])
-        rows = wide.select(F.inline(F.array(*[f"p{j}" for j in range(len(chunk))])))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    if len(pairs) > PAIRS_IN_CODEGEN:
+        return _correlations_by_products(df, list(columns))
+    wide = df.agg(*[F.expr(f"named_struct('x', '{a}', 'y', '{b}', 'r', "
+                           f"corr(cast({a} as double), cast({b} as double)))").alias(f"p{j}")
+                    for j, (a, b) in enumerate(pairs)])
+    return wide.select(F.inline(F.array(*[f"p{j}" for j in range(len(pairs))])))
+
+
+def _correlations_by_products(df: DataFrame, columns: list[str]) -> DataFrame:
+    narrow = df.select(*[finite(F.col(c).cast("double")).alias(c) for c in columns])
+    means = narrow.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    shift = np.array([means[c] or 0.0 for c in columns])
+
+    def products(batches):
+        n = sx = sxx = sxy = 0.0
+        for batch in batches:
+            x = np.column_stack([
+                np.asarray(col.to_numpy(zero_copy_only=False), dtype=float) for col in batch.columns])
+            filled = (~np.isnan(x)).astype(float)
+            x = np.where(np.isnan(x), 0.0, x - shift)
+            n, sx = n + filled.T @ filled, sx + x.T @ filled
+            sxx, sxy = sxx + (x * x).T @ filled, sxy + x.T @ x
+        if isinstance(n, float):
+            return
+        i, j = np.triu_indices(len(columns), 1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v) for v in (i, j, n[i, j], sx[i, j], sx[j, i], sxx[i, j], sxx[j, i],
+                                   sxy[i, j])], ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    sums = narrow.mapInArrow(products, "i long, j long, n double, sx double, sy double, "
+                                       "sxx double, syy double, sxy double")
+    total = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c)
+                                         for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    spread = "sqrt(n * sxx - sx * sx) * sqrt(n * syy - sy * sy)"
+    names = F.array(*[F.lit(c) for c in columns])
+    return total.select(F.get(names, F.col("i")).alias("x"), F.get(names, F.col("j")).alias("y"),
+                        F.expr(f"(n * sxy - sx * sy) / nullif({spread}, 0D)").alias("r"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

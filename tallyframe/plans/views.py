@@ -24,7 +24,8 @@ class Dialect:
     spark: bool
 
     def two_places(self, x: str) -> str:
-        return f"format_string('%.2f', {x})" if self.spark else f"printf('%.2f', {x})"
+        text = f"format_string('%.2f', {x})" if self.spark else f"printf('%.2f', {x})"
+        return f"case when {x} is not null then {text} end"
 
     def hex4(self, digest: str, start: int) -> str:
         part = f"substr({digest}, {start}, 4)"
@@ -53,7 +54,7 @@ select
   case when c_custkey % 97 = 0 then '-500' when c_custkey % 89 = 0 then '200'
        when c_custkey % 11 = 0 then cast(18 + c_custkey % 60 as string) || '_'
        else cast(18 + c_custkey % 60 as string) end as age_txt,
-  case when c_custkey % 13 = 0 then {d.two_places('total')} || '_'
+  case when c_custkey % 13 = 0 then ({d.two_places('total')}) || '_'
        else {d.two_places('total')} end as income_txt,
   case when c_custkey % 31 = 0 then '-100'
        when c_custkey % 9 = 0 then cast(coalesce(n_orders, 0) as string) || '_'

@@ -11,7 +11,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyframe.operators.order import exact_quantiles, settle
+from tallyframe.operators.bins import add_buckets
+from tallyframe.operators.order import ROWS_PER_SORT, cut_points, exact_quantiles, settle
 
 # Fixed values of the request metrics.
 LATENCY_EDGES = (5, 10, 25, 50, 100, 250, 500, 1000, 2500)
@@ -121,18 +122,19 @@ def held_alerts(ticks: DataFrame, by: Sequence[str] = (), hold_seconds: int = 12
 
 
 def heartbeat_gaps(df: DataFrame, source: str, limit_seconds: float = 60, ts: str = "ts",
-                   bucket_seconds: int = 3600) -> DataFrame:
+                   rows_per_sort: int = ROWS_PER_SORT) -> DataFrame:
     """``(source, gap_start, gap_end)``: silences longer than the limit between two rows.
 
-    Rows are ordered inside (source, hour); the borders between hours are found on one row
-    per hour, so a busy source is spread over many tasks.
+    Rows are ordered inside a source and time bucket; the gaps across buckets are found on
+    one row per bucket, so a busy source is spread over many tasks.
     """
-    rows = event_time(df, ts).select(source, ts, F.expr(f"unix_seconds({ts}) div {bucket_seconds}")
-                                     .alias("bucket"))
+    rows = event_time(df, ts).select(source, ts, F.unix_micros(ts).cast("double").alias("at"))
+    points = cut_points(rows, ["at"], rows_per_sort)
+    rows = add_buckets(rows, points).withColumnRenamed("bucket_at", "bucket")
     inner = Window.partitionBy(source, "bucket").orderBy(ts)
     inside = rows.select(source, F.lag(ts).over(inner).alias("gap_start"), F.col(ts).alias("gap_end"))
-    hours = rows.groupBy(source, "bucket").agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
-    across = hours.select(
+    edges = rows.groupBy(source, "bucket").agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
+    across = edges.select(
         source, F.lag("last").over(Window.partitionBy(source).orderBy("bucket")).alias("gap_start"),
         F.col("first").alias("gap_end"))
     length = (F.unix_micros("gap_end") - F.unix_micros("gap_start")) / 1e6
