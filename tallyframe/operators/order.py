@@ -76,8 +76,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     quantiles)`` with the quantiles in the order of ``probs``. NULL, NaN and
     infinite values and NULL groups are left out.
     """
-    by, columns, probs = list(by), list(columns), [float(p) for p in probs]
-    narrow = df.select(*by, *[finite(F.col(c).cast("double")).alias(c) for c in columns])
+    names, columns, probs = list(by), list(columns), [float(p) for p in probs]
+    by = [f"__by_{i}" for i in range(len(names))]
+    narrow = df.select(*[F.col(b).alias(a) for a, b in zip(by, names)],
+                       *[finite(F.col(c).cast("double")).alias(c) for c in columns])
     if by:
         narrow = narrow.dropna(subset=by)
     points = cut_points(narrow, columns, rows_per_sort, rows)
@@ -117,7 +119,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     picked = near.groupBy(*cell, "n").agg(*[
         F.expr(f"max(case when {rank} >= lo and {rank} < hi then x end)").alias(f"{side}{i}")
         for i, p in enumerate(probs) for side, rank in zip("ab", _ranks(p))])
-    return picked.select(*cell, "n", F.array(*[
+    return picked.select(*[F.col(a).alias(b) for a, b in zip(by, names)], "feature", "n", F.array(*[
         F.expr(f"a{i} + (b{i} - a{i}) * ({_position(p)} - floor({_position(p)}))")
         for i, p in enumerate(probs)]).alias("quantiles"))
 
@@ -188,8 +190,8 @@ def running_best(df: DataFrame, curve: Sequence[str], order: str, value: str, ou
     parts = add_buckets(df, {order: points})
     bucket = f"bucket_{order}"
     earlier = Window.partitionBy(*curve).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    before = settle(parts.groupBy(*curve, bucket).agg(F.max(value).alias("m"))
-                    .withColumn("__before", F.max("m").over(earlier)).drop("m"))
+    before = settle(parts.groupBy(*curve, bucket).agg(F.max(value).alias("__m"))
+                    .withColumn("__before", F.max("__m").over(earlier)).drop("__m"))
     inside = Window.partitionBy(*curve, bucket).orderBy(order)
     return parts.join(before, [*curve, bucket]).select(
         *[F.col(c) for c in df.columns],

@@ -21,7 +21,7 @@ def shuffle_digest(key: str | Column, seed: int) -> Column:
 
 def _cut_digests(df: DataFrame, key: str, stratum: str, shares: Sequence[float], seed: int,
                  rows_per_sort: int) -> DataFrame:
-    """``(stratum, cut_0, cut_1, ...)``: digest of the last row of every part but the last.
+    """``(__stratum, __cut_0, ...)``: digest of the last row of every part but the last.
 
     The cut rank is the cumulative share of the stratum size, rounded half up; an empty
     part gets "" so that no digest is below it. NULL is a stratum of its own.
@@ -54,9 +54,9 @@ def _cut_digests(df: DataFrame, key: str, stratum: str, shares: Sequence[float],
     cuts = ranked.groupBy("stratum").agg(*[
         F.expr(f"max(if(rank = {r}, digest, null))").alias(f"cut_{i}")
         for i, r in enumerate(ranks)])
-    return settle(sizes.select(F.col("stratum").alias("s")).join(
-        cuts, F.col("s").eqNullSafe(F.col("stratum")), "left").select("s", *[
-            F.coalesce(f"cut_{i}", F.lit("")).alias(f"cut_{i}") for i in range(len(ranks))]))
+    return settle(sizes.select(F.col("stratum").alias("__stratum")).join(
+        cuts, F.col("__stratum").eqNullSafe(F.col("stratum")), "left").select("__stratum", *[
+            F.coalesce(f"cut_{i}", F.lit("")).alias(f"__cut_{i}") for i in range(len(ranks))]))
 
 
 def stratified_split(df: DataFrame, key: str, stratum: str, parts: dict[str, float],
@@ -76,8 +76,8 @@ def stratified_split(df: DataFrame, key: str, stratum: str, parts: dict[str, flo
     digest = shuffle_digest(key, seed)
     label = F.lit(names[-1])
     for i in reversed(range(len(names) - 1)):
-        label = F.when(digest <= F.col(f"cut_{i}"), names[i]).otherwise(label)
-    return df.join(cuts, F.col(stratum).eqNullSafe(F.col("s"))).select(
+        label = F.when(digest <= F.col(f"__cut_{i}"), names[i]).otherwise(label)
+    return df.join(cuts, F.col(stratum).eqNullSafe(F.col("__stratum"))).select(
         *[F.col(c) for c in df.columns], label.alias(column))
 
 
