@@ -77,9 +77,9 @@ def confidence_profile(predicted: DataFrame, threshold: float = LOW_CONFIDENCE,
     q = exact_quantiles(predicted, ["confidence"], [0.1, 0.25, 0.75, 0.9],
                         rows_per_sort=rows_per_sort)
     flat = predicted.agg(
-        F.lit("confidence").alias("feature"), F.round(F.avg("confidence"), 4).alias("mean"),
+        F.round(F.avg("confidence"), 4).alias("mean"),
         F.expr(f"round(avg(if(confidence < {threshold}D, 1D, 0D)) * 100, 2)").alias("low_conf_pct"))
-    return flat.join(q, "feature", "left").select(
+    return flat.withColumn("quantiles", q.select("quantiles").scalar()).select(
         "mean", *[F.round(F.get("quantiles", F.lit(i)), 4).alias(f"p{p}")
                   for i, p in enumerate((10, 25, 75, 90))], "low_conf_pct")
 

@@ -8,7 +8,7 @@ import random
 import time
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
@@ -25,6 +25,7 @@ from tallyframe.functions.columns import arg_max
 from tallyframe.operators import metrics as m
 from tallyframe.operators.features import FittedFeatures
 from tallyframe.operators.order import local_rows
+from tallyframe.operators.policy import apply_decision, soft_vote
 from tallyframe.operators.splits import (seeded_sample, shuffle_digest, stratified_folds,
                                          with_class_weights)
 
@@ -49,7 +50,6 @@ class ClassModel:
 
     kind: str
     models: list
-    features: list[str] = field(default_factory=list)
 
     def add_probs(self, df: DataFrame, out: str = "probs") -> DataFrame:
         if len(self.models) == 1:
@@ -63,9 +63,19 @@ class ClassModel:
         ones = [vector_to_array(f"__p{k}")[1] for k in range(len(self.models))]
         return scored.select(*columns, normalised(F.array(*ones)).alias(out))
 
-    def assembled(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        table = VectorAssembler(inputCols=self.features, outputCol="features").transform(df)
-        return table.select(*[c for c in table.columns if c not in self.features or c in keep])
+
+@dataclass
+class Ensemble:
+    """Soft vote: the mean of its members' probabilities, all found in the same row."""
+
+    members: list[ClassModel]
+
+    def add_probs(self, df: DataFrame, out: str = "probs") -> DataFrame:
+        names = [f"__probs_{i}" for i in range(len(self.members))]
+        scored = df
+        for name, member in zip(names, self.members):
+            scored = member.add_probs(scored, name)
+        return soft_vote(scored, names, out=out).select(*df.columns, out)
 
 
 def normalised(scores: Column) -> Column:
@@ -292,27 +302,30 @@ def permutation_importance(rows: DataFrame, key: str, model: ClassModel, feature
 
 # -- bundle -------------------------------------------------------------------
 
-def save_bundle(spark: SparkSession, path: str, state: FittedFeatures, model: ClassModel) -> None:
+def save_bundle(spark: SparkSession, path: str, state: FittedFeatures,
+                model: ClassModel | Ensemble) -> None:
     """Features, models and their order under one folder."""
-    for k, fitted in enumerate(model.models):
-        fitted.write().overwrite().save(f"{path}/model-{k}")
-    head = json.dumps({"kind": model.kind, "models": len(model.models), "features": state.features})
+    members = model.members if isinstance(model, Ensemble) else [model]
+    for i, member in enumerate(members):
+        for k, fitted in enumerate(member.models):
+            fitted.write().overwrite().save(f"{path}/member-{i}/model-{k}")
+    head = json.dumps({"members": [[x.kind, len(x.models)] for x in members]})
     local_rows(spark, [(head,), (state.to_json(),)], {"value": "string"}).coalesce(1).write.mode(
         "overwrite").text(f"{path}/state")
 
 
-def load_bundle(spark: SparkSession, path: str) -> tuple[FittedFeatures, ClassModel]:
+def load_bundle(spark: SparkSession, path: str) -> tuple[FittedFeatures, ClassModel | Ensemble]:
     docs = [json.loads(r["value"]) for r in spark.read.text(f"{path}/state").collect()]
-    head = next(d for d in docs if "kind" in d)
-    state = FittedFeatures.from_json(json.dumps(next(d for d in docs if "kind" not in d)))
-    models = [KINDS[head["kind"]].load(f"{path}/model-{k}") for k in range(head["models"])]
-    return state, ClassModel(head["kind"], models, head["features"])
+    head = next(d for d in docs if "members" in d)
+    state = FittedFeatures.from_json(json.dumps(next(d for d in docs if "members" not in d)))
+    members = [ClassModel(kind, [KINDS[kind].load(f"{path}/member-{i}/model-{k}") for k in range(n)])
+               for i, (kind, n) in enumerate(head["members"])]
+    return state, members[0] if len(members) == 1 else Ensemble(members)
 
 
-def batch_score(df: DataFrame, state: FittedFeatures, model: ClassModel, keep: Sequence[str]
-                ) -> DataFrame:
+def batch_score(df: DataFrame, state: FittedFeatures, model: ClassModel | Ensemble,
+                keep: Sequence[str]) -> DataFrame:
     """Original key columns, probabilities and decisions of every row, all narrow."""
-    from tallyframe.operators.policy import apply_decision
     features = VectorAssembler(inputCols=state.features, outputCol="features").transform(
         state.transform(df, keep)).select(*keep, "features")
     return apply_decision(model.add_probs(features)).drop("features")

@@ -2,24 +2,39 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import lru_cache
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from tallyframe.operators import metrics as m, splits, training as t
 from tallyframe.plans import feature_queries as fq
-from tallyframe.plans.presets import DEMO_SPEC
+from tallyframe.plans.presets import DEMO_CONTRACT, DEMO_SPEC
 from tallyframe.plans.views import dirty, scores
+from tallyframe.sources import tables as io
 from tallyframe.sources.tables import scratch_path
 from tallyframe.streaming import run
 
 
-def _parts(spark, sf):
-    """(state, train rows, validation rows), assembled, keyed by id."""
+@lru_cache(maxsize=8)
+def _matrix_path(session_id, sf, spark):
     state = fq.fitted(spark, sf)
     matrix = state.training_matrix(dirty(spark, sf), ["id"])
     rows = t.assemble(matrix, state.features, "label", ["id"])
-    split = splits.stratified_split(rows, "id", "y_true", {"train": 0.8, "valid": 0.2})
-    return (state, split.where("split = 'train'").drop("split"),
+    path = scratch_path(spark, "matrix")
+    io.write_parquet(splits.stratified_split(rows, "id", "y_true", {"train": 0.8, "valid": 0.2}), path)
+    return path
+
+
+def _parts(spark, sf):
+    """(state, train rows, validation rows), assembled, keyed by id.
+
+    The matrix is a written table: iterative fits read it again and again, also after an
+    executor is lost.
+    """
+    split = spark.read.parquet(_matrix_path(spark.sparkContext.applicationId, sf, spark))
+    return (fq.fitted(spark, sf), split.where("split = 'train'").drop("split"),
             split.where("split = 'valid'").drop("split"))
 
 
@@ -109,3 +124,48 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {}
+
+
+# -- whole jobs ---------------------------------------------------------------
+
+def _tuned_logistic(train, _valid):
+    estimator = LogisticRegression(family="multinomial", labelCol="y_true", weightCol="weight",
+                                   maxIter=10)
+    best, _ = t.param_search(train, "id", estimator, {"regParam": [0.001, 0.1]}, "logistic", folds=2)
+    return t.ClassModel("logistic", [estimator.copy().setParams(**best).fit(
+        splits.with_class_weights(train, "y_true"))])
+
+
+def _trained(spark, sf):
+    from tallyframe.plans import flows
+    contract = replace(DEMO_CONTRACT, min_rows=100)
+    raw = dirty(spark, sf).where("label is not null")
+    return flows, contract, flows.train(raw, "id", "occupation", DEMO_SPEC, contract, {
+        "logistic": _logistic, "forest": lambda rows, _: t.train_forest(rows, 10, 5)},
+        tuners={"logistic": _tuned_logistic})
+
+
+def training_run(spark, sf):
+    flows, _, done = _trained(spark, sf)
+    registry, pointer = flows.publish(done, scratch_path(spark, "published"), "demo", "1",
+                                      "2024-02-01T00:00:00")
+    board_rows = done.leaderboard.select("model_name", "f1_macro", "accuracy", "auc_ovr", "rank")
+    produced = registry.join(pointer, ["model_name", "version"]).select("version")
+    return board_rows.withColumn("registered_version", produced.scalar())
+
+
+def scoring_run(spark, sf):
+    flows, contract, done = _trained(spark, sf)
+    return flows.score(dirty(spark, sf), "id", done, contract, "batch", "2024-02-01T00:00:00").summary
+
+
+def retraining_run(spark, sf):
+    flows, _, done = _trained(spark, sf)
+    raw = dirty(spark, sf)
+    gate = flows.retrain_decision(raw.where("id % 2 = 0"), raw.where("id % 2 = 1"), done)
+    checked = flows.validate(raw, done)
+    return gate.withColumn("validation_passed", checked.select("passed").scalar())
+
+
+QUERIES |= {"training_run": training_run, "scoring_run": scoring_run,
+            "retraining_run": retraining_run}

@@ -163,15 +163,14 @@ def last_n_latency(df: DataFrame, n: int, latency: str, is_error: str, order: Se
 
 
 def _latency_summary(last: DataFrame, totals: DataFrame, latency: str) -> DataFrame:
-    stats = last.agg(F.lit(latency).alias("feature"), F.round(F.avg(latency), 2).alias("mean_ms"),
-                     F.round(F.max(latency), 2).alias("max_ms"))
-    q = exact_quantiles(last, [latency], [0.5, 0.95, 0.99])
-    flat = stats.join(q, "feature", "left").select(
-        "mean_ms", *[F.round(F.get("quantiles", F.lit(i)), 2).alias(f"p{p}_ms")
-                     for i, p in enumerate((50, 95, 99))], "max_ms")
-    whole = totals.withColumn("error_rate", F.expr(
-        "round(error_count / greatest(request_count, 1), 4)"))
-    return whole.select("*", *[flat.select(c).scalar().alias(c) for c in flat.columns])
+    stats = last.agg(F.struct(F.avg(latency).alias("mean"), F.max(latency).alias("max")))
+    q = exact_quantiles(last, [latency], [0.5, 0.95, 0.99]).select("quantiles")
+    return totals.withColumns({"s": stats.scalar(), "q": q.scalar()}).select(
+        "request_count", "error_count",
+        F.expr("round(error_count / greatest(request_count, 1), 4)").alias("error_rate"),
+        F.round("s.mean", 2).alias("mean_ms"),
+        *[F.round(F.get("q", F.lit(i)), 2).alias(f"p{p}_ms") for i, p in enumerate((50, 95, 99))],
+        F.round("s.max", 2).alias("max_ms"))
 
 
 # -- per-window input quality -------------------------------------------------
