@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from tallyframe.functions.columns import even_edges, finite
 from tallyframe.operators.bins import add_bins
-from tallyframe.operators.order import (ROWS_PER_SORT, cut_points, local_rows, quantile_table,
-                                        running_counts, settle)
+from tallyframe.operators.order import (QUANTILE_ROWS, ROWS_PER_SORT, cut_points, local_rows,
+                                        quantile_table, running_counts, settle)
 
 EPSILON = 1e-6
 STABLE_BELOW = 0.10
@@ -45,7 +45,7 @@ class DriftReference:
 
     @classmethod
     def fit(cls, reference: DataFrame, columns: Sequence[str], bins: int = 10,
-            rows_per_sort: int = ROWS_PER_SORT) -> "DriftReference":
+            rows_per_sort: int = QUANTILE_ROWS) -> "DriftReference":
         found = quantile_table(reference, columns, even_edges(bins), rows_per_sort)
         edges = {c: sorted(set(v)) for c, v in found.items()}
         edges = {c: e for c, e in edges.items() if len(e) >= 2}
@@ -133,7 +133,7 @@ def psi_categorical(reference: DataFrame, current: DataFrame, columns: Sequence[
 
 
 def psi_table(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None,
-              bins: int = 10, rows_per_sort: int = ROWS_PER_SORT) -> DataFrame:
+              bins: int = 10, rows_per_sort: int = QUANTILE_ROWS) -> DataFrame:
     """``(feature, psi, status)``, one row per compared column."""
     columns = list(columns) if columns is not None else shared_numeric(reference, current)
     columns = [c for c in columns if c in reference.columns and c in current.columns]

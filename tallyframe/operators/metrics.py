@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.functions.columns import arg_max, even_edges
 from tallyframe.operators.bins import OUTSIDE, add_bins
-from tallyframe.operators.order import (ROWS_PER_SORT, cut_points, exact_quantiles, local_rows,
-                                        running_counts, settle)
+from tallyframe.operators.order import (QUANTILE_ROWS, ROWS_PER_SORT, cut_points, exact_quantiles,
+                                        local_rows, running_counts, settle)
 from tallyframe.operators.profile import histogram
 
 CLASSES = ("Poor", "Standard", "Good")
@@ -126,7 +126,7 @@ def performance_stability(df: DataFrame, period: str) -> DataFrame:
     return group_metrics(df, period)
 
 
-def score_stability(df: DataFrame, value: str, period: str, rows_per_sort: int = ROWS_PER_SORT
+def score_stability(df: DataFrame, value: str, period: str, rows_per_sort: int = QUANTILE_ROWS
                     ) -> DataFrame:
     """Mean, population deviation and p10/p50/p90 per period, missing values ignored."""
     moments = df.dropna(subset=[period]).groupBy(period).agg(

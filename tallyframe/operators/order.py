@@ -2,10 +2,10 @@
 
 Quantiles, running counts and hash ranks all need a total order. Here the value
 range is first cut into buckets, the bucket counts (a small table) are summed up
-in order, and rows are sorted only inside their bucket. Cut points come from a
-mergeable sketch, so buckets hold similar shares of the rows whatever the
-distribution; since bucket counts are exact, a poor sketch costs balance and never
-correctness. Inputs below ``ROWS_PER_SORT`` rows use a single bucket.
+in order, and rows are sorted only inside their bucket. Cut points are quantiles of a
+sample, as for a range partitioning, so buckets hold similar shares of the rows whatever
+the distribution; every row is counted in its bucket, so a poor cut costs balance and
+never correctness. Small inputs use a single bucket.
 """
 
 from __future__ import annotations
@@ -19,7 +19,9 @@ from tallyframe.functions.columns import finite
 from tallyframe.operators.bins import add_buckets
 
 ROWS_PER_SORT = 2_000_000
+QUANTILE_ROWS = 100_000
 MAX_BUCKETS = 4096
+SAMPLED_PER_BUCKET = 400
 SETTLE_ROWS = 50_000
 
 
@@ -45,30 +47,36 @@ def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: Mapping[str,
     return spark.createDataFrame(pa.table(columns))
 
 
-def bucket_number(rows: int, rows_per_sort: int) -> int:
-    return max(1, min(MAX_BUCKETS, -(-rows // rows_per_sort)))
+def bucket_number(rows: int, rows_per_sort: int, at_least: int = 2) -> int:
+    """One bucket for small inputs, beyond several times as many as sorts need."""
+    if rows <= rows_per_sort:
+        return 1
+    return min(MAX_BUCKETS, max(at_least, -(-4 * rows // rows_per_sort)))
 
 
 def cut_points(df: DataFrame, columns: Sequence[str], rows_per_sort: int = ROWS_PER_SORT,
-               rows: int | None = None) -> dict[str, list[float]]:
+               rows: int | None = None, at_least: int = 2) -> dict[str, list[float]]:
     """Ascending bucket borders per column, empty lists for small inputs.
 
     The rows brought to the driver are at most MAX_BUCKETS numbers per column. ``rows``
     saves the count when the caller knows an upper bound of it.
     """
-    buckets = bucket_number(df.count() if rows is None else rows, rows_per_sort)
+    rows = df.count() if rows is None else rows
+    buckets = bucket_number(rows, rows_per_sort, at_least)
     if buckets == 1:
         return {c: [] for c in columns}
+    # The sketches of all tasks meet in one; sampling bounds what each of them carries.
     shares = [i / buckets for i in range(1, buckets)]
-    row = df.agg(*[
-        F.percentile_approx(finite(F.col(c).cast("double")), shares, 5 * MAX_BUCKETS).alias(c)
+    part = min(1.0, SAMPLED_PER_BUCKET * buckets / rows)
+    row = df.select(*columns).sample(part, 42).agg(*[
+        F.percentile_approx(finite(F.col(c).cast("double")), shares, 5 * buckets).alias(c)
         for c in columns
     ]).first()
     return {c: sorted(set(row[c] or [])) for c in columns}
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), rows_per_sort: int = ROWS_PER_SORT,
+                    by: Sequence[str] = (), rows_per_sort: int = QUANTILE_ROWS,
                     rows: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles of many columns, per group.
 
@@ -82,7 +90,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
                        *[finite(F.col(c).cast("double")).alias(c) for c in columns])
     if by:
         narrow = narrow.dropna(subset=by)
-    points = cut_points(narrow, columns, rows_per_sort, rows)
+    # Only buckets holding a wanted rank are moved, so there should be many per rank.
+    points = cut_points(narrow, columns, rows_per_sort, rows, 16 * len(probs))
     values = add_buckets(narrow, points).select(*by, F.inline(F.array(*[
         F.expr(f"named_struct('feature', '{c}', 'x', `{c}`, 'bucket', `bucket_{c}`)")
         for c in columns]))).where("x is not null")
@@ -133,7 +142,7 @@ def _ranks(p: float) -> tuple[str, str]:
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                   rows_per_sort: int = ROWS_PER_SORT, rows: int | None = None
+                   rows_per_sort: int = QUANTILE_ROWS, rows: int | None = None
                    ) -> dict[str, list[float]]:
     """Ungrouped :func:`exact_quantiles` on the driver: one short list per column."""
     found = exact_quantiles(df, columns, probs, rows_per_sort=rows_per_sort, rows=rows)

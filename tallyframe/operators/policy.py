@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.functions.columns import arg_max
 from tallyframe.operators.metrics import CLASSES, LOW_CONFIDENCE
-from tallyframe.operators.order import ROWS_PER_SORT, exact_quantiles
+from tallyframe.operators.order import QUANTILE_ROWS, exact_quantiles
 
 REVIEW = "manual_review"
 
@@ -72,7 +72,7 @@ def prediction_distribution(predicted: DataFrame, classes: Sequence[str] = CLASS
 
 
 def confidence_profile(predicted: DataFrame, threshold: float = LOW_CONFIDENCE,
-                       rows_per_sort: int = ROWS_PER_SORT) -> DataFrame:
+                       rows_per_sort: int = QUANTILE_ROWS) -> DataFrame:
     """Mean, quantiles and low share of the confidence, one row."""
     q = exact_quantiles(predicted, ["confidence"], [0.1, 0.25, 0.75, 0.9],
                         rows_per_sort=rows_per_sort)

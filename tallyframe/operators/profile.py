@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tallyframe.functions.columns import even_edges, finite
 from tallyframe.operators.bins import add_bins
-from tallyframe.operators.order import ROWS_PER_SORT, exact_quantiles, local_rows, settle
+from tallyframe.operators.order import QUANTILE_ROWS, exact_quantiles, local_rows, settle
 from tallyframe.operators.quality import null_rates
 
 PAIRS_IN_CODEGEN = 40
@@ -26,7 +26,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
-def describe(df: DataFrame, columns: Sequence[str], rows_per_sort: int = ROWS_PER_SORT) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], rows_per_sort: int = QUANTILE_ROWS) -> DataFrame:
     """``(feature, count, mean, std, min, p25, p50, p75, max)``; exact percentiles."""
     wide = df.agg(*[
         F.expr(f"named_struct('feature', '{c}', 'count', count({c}), 'mean', avg({c}), "
@@ -78,7 +78,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
         "feature", "bin", "lo", "hi", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
 
 
-def box_stats(df: DataFrame, columns: Sequence[str], by: str, rows_per_sort: int = ROWS_PER_SORT
+def box_stats(df: DataFrame, columns: Sequence[str], by: str, rows_per_sort: int = QUANTILE_ROWS
               ) -> DataFrame:
     """Quartiles and whiskers per class: the last values inside the 1.5 IQR fences."""
     quartiles = settle(exact_quantiles(df, columns, [0.25, 0.5, 0.75], [by], rows_per_sort))
@@ -173,7 +173,7 @@ def high_correlations(df: DataFrame, columns: Sequence[str], limit: float = 0.80
     return pairs.select("x", "y", F.round("r", 4).alias("r")).orderBy(F.desc(F.abs("r")), "x", "y")
 
 
-def iqr_outliers(df: DataFrame, columns: Sequence[str], rows_per_sort: int = ROWS_PER_SORT
+def iqr_outliers(df: DataFrame, columns: Sequence[str], rows_per_sort: int = QUANTILE_ROWS
                  ) -> DataFrame:
     """Quartiles, fences, and how many rows lie beyond them; pct is of all rows."""
     found = {r["feature"]: r["quantiles"] for r in exact_quantiles(

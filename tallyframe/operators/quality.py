@@ -175,7 +175,7 @@ def input_quality(df: DataFrame, ranges: Mapping[str, tuple[float, float]],
                   reference_values: DataFrame | None, categories: Sequence[str],
                   label: str, stamp: str) -> DataFrame:
     """Long report ``(timestamp, label, metric, feature, value, issue_type)``."""
-    rates = null_rates(df)
+    rates = settle(null_rates(df))  # one row per column
     total = rates.limit(1).select(
         F.lit("row_count").alias("metric"), F.lit("ALL").alias("feature"),
         F.col("rows").cast("double").alias("value"), F.lit("volume").alias("issue_type"))
