@@ -5,10 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import token_counts, token_store
+import corpus_pipeline
+from tallyframe.llm import (chat, decontam, mixing, pii, quality, shards, simhash, suffixes,
+                            token_counts, token_store)
 from tallyframe.llm.storage import shared_path
 
 TOKEN_LIMIT = 4096
+N_SHARDS = 40
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +25,16 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = "<|im_end|><|im_start|>assistant ok"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(tricky).alias("text"))
+    pages = chat.formatted(rows.unionByName(added), public_tokenizers.path("byte_bpe_50k.json"))
+    return chat.digests(pages).withColumnRenamed("conv", "conv_id")
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "tokens")
     token_store.write_tokens(table(spark, sf_dir, "documents"), path,
@@ -29,8 +42,68 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_tokens(spark, path, with_ids=False).withColumnRenamed("id", "doc_id")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("component").alias("component_id"))
+
+
+def op5_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(text).cast("long").alias("text_crc32"))
+    return shards.shard(rows, N_SHARDS, ["doc_id", "text_crc32", "size"]).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("_s_shard").alias("shard"),
+        F.col("_s_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    scored = quality.score(rows).drop("text")
+    return quality.judge(quality.cut(scored, "scored")).select(
+        "doc_id", F.col("_q_words").alias("n_words"), F.col("_q_word_chars").alias("word_chars"),
+        F.col("_q_n_symbols").alias("n_symbols"), F.col("_q_n_dup_lines").alias("n_dup_lines"),
+        F.col("_q_n_repeat_words").alias("n_repeat_words"), F.col("_q_failed").alias("base_failed"),
+        F.col("_q_kept").alias("kept"))
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.sized(table(spark, sf_dir, "documents"))
+    targets = mixing.cut(mixing.source_targets(rows), "targets")
+    taken = mixing.copies(rows, targets, seed=7)
+    by_source = targets.withColumnRenamed("source", "of")
+    return taken.join(by_source, F.col("source").eqNullSafe(F.col("of"))).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target",
+        (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents"), with_text=False).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        F.col("id").alias("doc_id"), "item_id", "n_match", "n_tokens")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_chat_format": op2_chat_format,
     "op3_token_store": op3_token_store,
+    "op4_simhash": op4_simhash,
+    "op5_shuffle_shards": op5_shuffle_shards,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_personal_data": op7_personal_data,
+    "op8_mix_sources": op8_mix_sources,
+    "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_decontaminate": op10_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {}
