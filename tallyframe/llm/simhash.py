@@ -180,23 +180,23 @@ def links(nodes: DataFrame, limit: int = KEY_LIMIT) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text",
                     limit: int = KEY_LIMIT) -> DataFrame:
-    """``(id, tie, fp, component)``: ``component`` is the smallest id reachable over links."""
+    """``(id, tie, fp, component, root)``: ``component`` is the smallest id reachable over links,
+    ``root`` the smallest fingerprint, which is the component's own even where ids repeat."""
     rows = cut(fingerprints(df, id_column, text), "fingerprints")
     nodes = cut(rows.groupBy("fp").agg(F.min("id").alias("first")), "nodes")
     found = components(links(nodes, limit)).withColumnRenamed("component", "root")
     rooted = nodes.join(found, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    return rows.join(rooted.join(named, "root").select("fp", "component"), "fp").select(
-        "id", "tie", "fp", "component")
+    return rows.join(rooted.join(named, "root").select("fp", "component", "root"), "fp").select(
+        "id", "tie", "fp", "component", "root")
 
 
 def keep_first(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component: smallest id, then digest of the text."""
     marked = near_duplicates(df, id_column, text)
-    group = F.coalesce(F.col("component").cast("string"), F.concat(F.lit("fp "), "fp"))
-    best = cut(marked.groupBy(group.alias("group")).agg(F.min(F.struct("id", "tie")).alias("best"))
-               .select(F.col("best.id").alias("_k_id"), F.col("best.tie").alias("_k_tie")), "kept")
+    best = cut(marked.groupBy("root").agg(F.min(F.struct("id", "tie")).alias("best")).select(
+        F.col("best.id").alias("_k_id"), F.col("best.tie").alias("_k_tie")), "kept")
     keyed = df.withColumn("_k_text", F.xxhash64(F.col(f"`{text}`")))
     kept = keyed.join(best, F.col(f"`{id_column}`").eqNullSafe(F.col("_k_id"))
                       & (F.col("_k_text") == F.col("_k_tie")), "left_semi")
