@@ -101,10 +101,11 @@ REGISTRY_SCHEMA = ("model_name string, version string, artifact_path string, "
 
 
 def registry_upsert(registry: DataFrame, entries: DataFrame) -> DataFrame:
-    """Latest registration per (model, version); combined in the tasks before the shuffle."""
-    rows = registry.unionByName(entries)
-    kept = rows.groupBy("model_name", "version").agg(
-        F.max_by(F.struct(*rows.columns), "registered_at").alias("r"))
+    """An entry replaces the registry's row of its (model, version), whatever the time stamps;
+    of several entries the latest counts. Combined in the tasks before the shuffle."""
+    rows = registry.withColumn("__new", F.lit(0)).unionByName(entries.withColumn("__new", F.lit(1)))
+    kept = rows.groupBy("model_name", "version").agg(F.max_by(
+        F.struct(*registry.columns), F.struct("__new", "registered_at")).alias("r"))
     return kept.select("r.*")
 
 

@@ -69,6 +69,8 @@ class DriftReference:
 def bin_rows(df: DataFrame, edges: Mapping[str, Sequence[float]], by: Sequence[str] = ()
              ) -> DataFrame:
     """One row per value: ``(*by, feature, bin)``; no shuffle."""
+    if not edges:
+        return df.select(*by, F.lit("").alias("feature"), F.lit(0).alias("bin")).limit(0)
     narrow = df.select(*by, *[finite(F.col(c).cast("double")).alias(c) for c in edges])
     binned = add_bins(narrow, edges, "left", close_end=True)
     return binned.select(*by, F.inline(F.array(*[
@@ -84,24 +86,48 @@ def bin_counts(df: DataFrame, edges: Mapping[str, Sequence[float]], by: Sequence
 
 def psi_from_counts(counts: DataFrame, ref: DriftReference, by: Sequence[str] = ()) -> DataFrame:
     """``(*by, feature, n, psi)`` from current bin counts; 6 decimals."""
-    widest = max(len(s) for s in ref.shares.values())
+    widest = max((len(s) for s in ref.shares.values()), default=0)
     return psi_select(counts.groupBy(*by, "feature").agg(
         F.sum("n").alias("n"),
         *[F.expr(f"sum(if(bin = {i}, n, 0L))").alias(f"b{i}") for i in range(widest)],
     ), ref, by)
 
 
+def psi_by_window(current: DataFrame, ref: DriftReference, by: Sequence[str],
+                  columns: Sequence[str]) -> DataFrame:
+    """``(*by, feature, n, psi)`` for every window and column, with NULL where nothing can be
+    compared: a column without two edges in the reference, or without a value in the window.
+
+    One aggregate, so it runs on streams too; rows without a bin are counted as no value.
+    """
+    narrow = current.select(*by, *[finite(F.col(c).cast("double")).alias(c) for c in ref.edges])
+    binned = add_bins(narrow, ref.edges, "left", close_end=True)
+    known = [f"named_struct('feature', '{c}', 'bin', `bin_{c}`)" for c in ref.edges]
+    empty = [f"named_struct('feature', '{c}', 'bin', cast(null as int))" for c in columns
+             if c not in ref.edges]
+    widest = max((len(s) for s in ref.shares.values()), default=0)
+    sums = binned.select(*by, F.inline(F.array(*map(F.expr, known + empty)))).groupBy(
+        *by, "feature").agg(F.count("bin").alias("n"), *[
+            F.expr(f"count_if(bin = {i})").alias(f"b{i}") for i in range(widest)])
+    return psi_select(sums, ref, by)
+
+
 def psi_select(sums: DataFrame, ref: DriftReference, by: Sequence[str] = ()) -> DataFrame:
     """PSI from rows holding the total ``n`` and one count ``b0``, ``b1``, ... per bin."""
+    if not ref.shares:
+        return sums.select(*by, "feature", "n", F.lit(None).cast("double").alias("psi"))
     widest = max(len(s) for s in ref.shares.values())
     expected = F.element_at(_literal_map({
         c: F.array(*[F.lit(float(x)) for x in s]) for c, s in ref.shares.items()}), F.col("feature"))
+    expected = F.when(F.col("feature").isin(*ref.shares), expected)
     terms = []
     for i in range(widest):
-        a, e = f"(b{i} / n + {EPSILON}D)", f"(expected[{i}] + {EPSILON}D)"
+        a, e = f"(b{i} / nullif(n, 0) + {EPSILON}D)", f"(expected[{i}] + {EPSILON}D)"
         terms.append(f"if({i} < size(expected), ({a} - {e}) * ln({a} / {e}), 0D)")
+    compared = F.col("expected").isNotNull() & (F.col("n") > 0)
     return (sums.withColumn("expected", expected)
-            .select(*by, "feature", "n", F.round(F.expr(" + ".join(terms)), 6).alias("psi")))
+            .select(*by, "feature", "n", F.when(
+                compared, F.round(F.expr(" + ".join(terms)), 6)).alias("psi")))
 
 
 def psi_numeric(current: DataFrame, ref: DriftReference, by: Sequence[str] = ()) -> DataFrame:
@@ -198,9 +224,10 @@ def drift_report(reference: DataFrame | None, current: DataFrame, window: str =
 
 def drift_by_window(reference: DataFrame, current: DataFrame, window: Column,
                     columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """PSI per window of the current side against one frozen reference."""
+    """PSI per window and column against one frozen reference, "unknown" where it has no value."""
     ref = DriftReference.fit(reference, columns, bins)
-    psi = psi_numeric(current.withColumn("monitoring_window", window), ref, ["monitoring_window"])
+    psi = psi_by_window(current.withColumn("monitoring_window", window), ref,
+                        ["monitoring_window"], columns)
     return psi.select("monitoring_window", "feature", "n", "psi",
                       psi_status(F.col("psi")).alias("status"))
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tallyframe.functions import columns as fx
 from tallyframe.operators.cleaning import CleanRules, clean, fit_caps
 from tallyframe.operators.order import quantile_table, settle
+from tallyframe.sources.tables import scratch_path
 
 MAX_CATEGORIES = 1000
 MIN_VARIANCE = 0.01
@@ -183,6 +184,10 @@ class FittedFeatures:
 
     @classmethod
     def fit(cls, train: DataFrame, spec: FeatureSpec) -> "FittedFeatures":
+        """Training rows are written once; all passes read that table, not their source."""
+        path = scratch_path(train.sparkSession, "fit")
+        train.write.parquet(path)
+        train = train.sparkSession.read.parquet(path)
         rows = train.count()
         caps = fit_caps(train, spec.rules, rows)
         cleaned = clean(train, spec.rules, caps)

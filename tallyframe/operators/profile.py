@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +14,6 @@ from tallyframe.operators.bins import add_bins
 from tallyframe.operators.order import QUANTILE_ROWS, exact_quantiles, local_rows, settle
 from tallyframe.operators.quality import null_rates
 
-PAIRS_IN_CODEGEN = 40
-
 
 def _rows(wide: DataFrame, structs: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*[F.expr(s) for s in structs])))
@@ -106,21 +103,12 @@ def crosstab_pct(df: DataFrame, row: str, column: str, row_values: Sequence[str]
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(x, y, r)`` for every unordered pair, pairwise complete, in one pass.
+    """``(x, y, r)`` for every unordered pair, pairwise complete; NULL where a side is constant.
 
-    Few pairs are built-in aggregates; many pairs would leave generated code, so there each
-    task multiplies its Arrow batches and only k*k sums per task are shuffled.
+    Each task multiplies its Arrow batches, shifted by the means, and only k*k sums per task are
+    shuffled. NaN and infinities count as missing, whatever the number of columns.
     """
-    pairs = list(combinations(columns, 2))
-    if len(pairs) > PAIRS_IN_CODEGEN:
-        return _correlations_by_products(df, list(columns))
-    wide = df.agg(*[F.expr(f"named_struct('x', '{a}', 'y', '{b}', 'r', "
-                           f"corr(cast({a} as double), cast({b} as double)))").alias(f"p{j}")
-                    for j, (a, b) in enumerate(pairs)])
-    return wide.select(F.inline(F.array(*[f"p{j}" for j in range(len(pairs))])))
-
-
-def _correlations_by_products(df: DataFrame, columns: list[str]) -> DataFrame:
+    columns = list(columns)
     narrow = df.select(*[finite(F.col(c).cast("double")).alias(c) for c in columns])
     means = narrow.agg(*[F.avg(c).alias(c) for c in columns]).first()
     shift = np.array([means[c] or 0.0 for c in columns])
@@ -145,25 +133,31 @@ def _correlations_by_products(df: DataFrame, columns: list[str]) -> DataFrame:
                                        "sxx double, syy double, sxy double")
     total = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c)
                                          for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    spread = "sqrt(n * sxx - sx * sx) * sqrt(n * syy - sy * sy)"
+    # what is left of a constant after the shift is rounding, far below its square
+    spread = " * ".join(f"sqrt(if(n * s{a}{a} - s{a} * s{a} > 1e-12 * n * n * pow(m{a}, 2), "
+                        f"n * s{a}{a} - s{a} * s{a}, 0D))" for a in "xy")
+    at = F.array(*[F.lit(float(v)) for v in shift])
+    total = total.withColumns({"mx": F.get(at, F.col("i")), "my": F.get(at, F.col("j"))})
     names = F.array(*[F.lit(c) for c in columns])
     return total.select(F.get(names, F.col("i")).alias("x"), F.get(names, F.col("j")).alias("y"),
                         F.expr(f"(n * sxy - sx * sy) / nullif({spread}, 0D)").alias("r"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Full symmetric matrix as rows, 1 on the diagonal."""
+    """Full symmetric matrix as rows; the diagonal is 1, NULL for a constant column."""
     half = correlations(df, columns)
     both = half.unionByName(half.select(F.col("y").alias("x"), F.col("x").alias("y"), "r"))
-    diagonal = local_rows(df.sparkSession, [(c, c, 1.0) for c in columns],
-                          {"x": "string", "y": "string", "r": "double"})
+    span = df.agg(*[F.expr(f"named_struct('x', '{c}', 'y', '{c}', 'r', if(min(v) < max(v), 1D, null))"
+                           .replace("(v)", f"(cast(`{c}` as double))")).alias(f"d{j}")
+                    for j, c in enumerate(columns)])
+    diagonal = span.select(F.inline(F.array(*[f"d{j}" for j in range(len(columns))])))
     return both.unionByName(diagonal).select("x", "y", F.round("r", 6).alias("r"))
 
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str, k: int = 12
                         ) -> DataFrame:
-    wide = df.agg(*[F.expr(f"abs(corr(cast({c} as double), cast({target} as double)))").alias(c)
-                    for c in columns])
+    wide = df.agg(*[F.abs(F.corr(finite(F.col(c).cast("double")), finite(
+        F.col(target).cast("double")))).alias(c) for c in columns])
     rows = _rows(wide, [f"named_struct('feature', '{c}', 'abs_r', round(`{c}`, 6))" for c in columns])
     return rows.orderBy(F.desc_nulls_last("abs_r"), "feature").limit(k)
 

@@ -7,6 +7,7 @@ import json
 import random
 import time
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -31,7 +32,7 @@ from tallyframe.operators.splits import (seeded_sample, shuffle_digest, stratifi
 
 KINDS = {"logistic": LogisticRegressionModel, "forest": RandomForestClassificationModel,
          "boosted": GBTClassificationModel}
-CALIBRATION_GRID = 10_000
+PATIENCE = 30
 
 
 @contextmanager
@@ -116,25 +117,43 @@ def train_forest(train: DataFrame, trees: int = 200, depth: int = 12, min_rows:
 
 def train_boosted(train: DataFrame, valid: DataFrame | None = None, classes: int = 3,
                   rounds: int = 300, depth: int = 5, rate: float = 0.05, subsample: float = 0.8,
-                  seed: int = 42) -> ClassModel:
-    """One binary booster per class with class weights; stops early on the validation rows."""
-    rows = with_class_weights(train, "y_true").withColumn("is_valid", F.lit(False))
-    if valid is not None:
-        rows = rows.unionByName(valid.withColumns(
-            {"weight": F.lit(1.0), "is_valid": F.lit(True)}).select(*rows.columns))
-    models = []
-    with kept(rows) as held:
-        for k in range(classes):
-            target = held.withColumn("target", (F.col("y_true") == k).cast("int"))
+                  seed: int = 42, patience: int = PATIENCE) -> ClassModel:
+    """One binary booster per class with class weights.
+
+    With validation rows a booster keeps the rounds up to the one after which the loss on them
+    does not improve for ``patience`` rounds; the same seed grows the same first trees again.
+    """
+    target = F.col("y_true")
+    with kept(with_class_weights(train, "y_true")) as held:
+        def fit(k: int):
             booster = GBTClassifier(
                 labelCol="target", weightCol="weight", maxIter=rounds, maxDepth=depth,
                 stepSize=rate, subsamplingRate=subsample, seed=seed)
-            if valid is not None:
-                booster = booster.setValidationIndicatorCol("is_valid")
-            models.append(booster.fit(target))
+            own = held.withColumn("target", (target == k).cast("int"))
+            model = booster.fit(own)
+            if valid is None:
+                return model
+            losses = model.evaluateEachIteration(valid.withColumns(
+                {"target": (target == k).cast("int"), "weight": F.lit(1.0)}))
+            best = best_round(losses, patience)
+            return model if best == rounds else booster.setMaxIter(best).fit(own)
+
+        with ThreadPoolExecutor(classes) as pool:  # only the driver's calls; Spark runs the fits
+            models = list(pool.map(fit, range(classes)))
     return ClassModel("boosted", models)
 
 
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """Number of rounds up to the lowest loss seen before ``patience`` rounds without a lower one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 # -- evaluation ---------------------------------------------------------------
 
 def metric_row(scored: DataFrame) -> dict[str, float]:
@@ -227,27 +246,28 @@ class Calibrator:
 
 
 def fit_calibrator(held_out: DataFrame, probs: str = "probs", method: str = "isotonic",
-                   classes: int = 3, grid: int = CALIBRATION_GRID) -> Calibrator:
+                   classes: int = 3, grid: int | None = None) -> Calibrator:
     """One calibrator per class on rows the scoring model has not seen.
 
-    Scores are first grouped on a grid with their mean outcome and weight. That is exact
-    for scores spelled on the grid, and bounds the fitted curve by ``grid`` + 1 points
-    whatever the number of rows.
+    Equal scores are first grouped with their mean outcome and weight; the isotonic fit then
+    pools neighbours inside each range of scores before it puts the ranges together. With
+    a ``grid`` scores are rounded to its steps first, which bounds the points by ``grid`` + 1.
     """
     models = []
     for k in range(classes):
         points = held_out.select(
-            F.round(F.get(probs, F.lit(k)) * grid).alias("cell"),
+            (F.round(F.get(probs, F.lit(k)) * grid) / grid if grid else F.get(probs, F.lit(k)))
+            .alias("cell"),
             (F.col("y_true") == k).cast("double").alias("hit"))
         if method == "isotonic":
             points = points.groupBy("cell").agg(F.avg("hit").alias("target"),
                                                 F.count("*").cast("double").alias("weight"))
-            points = points.select((F.col("cell") / grid).alias("score"), "target", "weight")
+            points = points.select(F.col("cell").alias("score"), "target", "weight")
             models.append(IsotonicRegression(featuresCol="score", labelCol="target",
                                              weightCol="weight").fit(points))
         else:
             points = points.groupBy("cell", "hit").agg(F.count("*").cast("double").alias("weight"))
-            points = points.select(array_to_vector(F.array(F.col("cell") / grid)).alias("score"),
+            points = points.select(array_to_vector(F.array("cell")).alias("score"),
                                    "hit", "weight")
             models.append(LogisticRegression(featuresCol="score", labelCol="hit",
                                              weightCol="weight").fit(points))

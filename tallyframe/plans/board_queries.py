@@ -63,6 +63,15 @@ def _registry(spark, sf):
                                  entries.where("registered_at >= '1998-07'"))
 
 
+def registry_upsert(spark, sf):
+    """The registry, then corrections: one with an older stamp, one with the same stamp."""
+    known = _registry(spark, sf)
+    fixed = known.where("model_name in ('A', 'R') and version = 'v1998'").withColumns({
+        "artifact_path": F.concat("artifact_path", F.lit("/fixed")),
+        "registered_at": F.expr("if(model_name = 'A', '1990-01-01', registered_at)")})
+    return _shown(board.registry_upsert(known, fixed))
+
+
 def _shown(df):
     return df.select("model_name", "version", "artifact_path", "registered_at", "status",
                      F.col("metrics")["f1_macro"].alias("f1_macro"),
@@ -138,7 +147,7 @@ QUERIES = {
                                                           ["base", "tuned"]),
     "hpo_convergence": lambda s, sf: board.search_convergence(_trials(s, sf)),
     "hpo_summary": lambda s, sf: board.search_summary(_trials(s, sf)),
-    "registry_upsert": lambda s, sf: _shown(_registry(s, sf)),
+    "registry_upsert": registry_upsert,
     "registry_promote": registry_promote, "registry_lookup": registry_lookup,
     "registry_best": lambda s, sf: _shown(board.registry_best(_registry(s, sf))),
     "validation_gate": validation_gate, "promotion_gate": promotion_gate,
@@ -197,7 +206,10 @@ ORACLES = {
         rows unbounded preceding) as best_so_far from {TRIALS}""",
     "hpo_summary": f"select model, max(value) as best_value, count(value) as completed "
                    f"from {TRIALS} group by model",
-    "registry_upsert": f"select * from {REGISTRY}",
+    "registry_upsert": f"""select * exclude (fixed) replace (
+        case when fixed then artifact_path || '/fixed' else artifact_path end as artifact_path,
+        case when fixed and model_name = 'A' then '1990-01-01' else registered_at end as registered_at)
+      from (select *, model_name in ('A', 'R') and version = 'v1998' as fixed from {REGISTRY})""",
     "registry_promote": f"select * from {PROMOTED}",
     "registry_lookup": f"""select * from {PROMOTED} where model_name = 'A' and version = 'v1998'
       union all select * from {PROMOTED} where model_name = 'N'""",

@@ -52,12 +52,21 @@ def q_label_shift(spark, sf):
     return drift.label_shift(scores(spark, sf), "probs", F.col("part") == "reference")
 
 
+WINDOW_COLUMNS = ["value", "user_id", "same", "gone"]
+
+
+def with_odd_columns(events):
+    """A constant column, and one without values from the cut on."""
+    return events.withColumns({"same": F.lit(0.1), "gone": F.expr(
+        "if(ts < timestamp_ntz '2024-01-11 00:00:00', value, null)")})
+
+
 def q_drift_by_window(spark, sf):
-    events = table(spark, sf, "events")
+    events = with_odd_columns(table(spark, sf, "events"))
     cut = F.lit("2024-01-11").cast("timestamp_ntz")
     day = F.date_format("ts", "yyyy-MM-dd")
     return drift.drift_by_window(events.where(F.col("ts") < cut), events.where(F.col("ts") >= cut),
-                                 day, ["value", "user_id"])
+                                 day, WINDOW_COLUMNS)
 
 
 def _edges_sql(x: str) -> str:
@@ -171,5 +180,7 @@ ORACLES = {
     "label_shift_w1": LABEL_SHIFT,
     "drift_by_window": " union all ".join(
         _status(psi_numeric_sql(c, _events_side(c, "<"), _events_side(c, ">="), "monitoring_window"))
-        for c in ("value", "user_id")),
+        for c in ("value", "user_id")) + "".join(
+        f""" union all select distinct strftime(ts, '%Y-%m-%d'), '{c}', 0, null, 'unknown' from events
+          where ts >= timestamp '2024-01-11'""" for c in ("same", "gone")),
 }

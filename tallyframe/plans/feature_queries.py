@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import functions as F
 from pyspark.ml.feature import VectorAssembler
@@ -29,14 +28,8 @@ def _clean(spark, sf):
     return cleaning.clean(raw, DEMO_RULES).withColumnRenamed("key", "id")
 
 
-@lru_cache(maxsize=8)
-def _state(session_id, sf, spark):
-    return features.FittedFeatures.fit(_train(dirty(spark, sf)), DEMO_SPEC)
-
-
 def fitted(spark, sf):
-    """Fitted state, small and kept for the session: several queries use it."""
-    return _state(spark.sparkContext.applicationId, sf, spark)
+    return features.FittedFeatures.fit(_train(dirty(spark, sf)), DEMO_SPEC)
 
 
 def safe_ratio_features(spark, sf):
@@ -71,7 +64,7 @@ def mode_impute(spark, sf):
 def impute_chain(spark, sf):
     c = _clean(spark, sf)
     train = _train(c)
-    filled = features.fill(c, {**features.fit_medians(train, NUMERIC[:6]),
+    filled = features.fill(c, {**features.fit_medians(train, NUMERIC),
                                **features.fit_modes(train, CATEGORICAL)})
     return profile.missing_report(filled.drop("id"))
 
@@ -222,7 +215,7 @@ ORACLES = {
     "impute_chain": " union all ".join(
         f"select '{c}' as feature, missing, round(missing * 100.0::double / n, 2) as pct from "
         f"(select count(*) as n, count(*) - count({c}) as missing from {q.CLEAN}) where missing > 0"
-        for c in ("salary", "cards", "label")),
+        for c in ("label",)),
     "ordinal_encode": f"""select id, cast(case mix when 'Bad' then 0 when 'Standard' then 1 end as double)
         as mix, cast(case mix when 'Bad' then 0 when 'Standard' then 1 else -1 end as int)
         as mix_or_minus from {q.DIRTY}""",

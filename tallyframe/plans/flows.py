@@ -82,12 +82,11 @@ def train(raw: DataFrame, key: str, group: str, spec: FeatureSpec, contract: qua
     calibrator = t.fit_calibrator(model.add_probs(valid))
     importance = t.permutation_importance(valid, key, model, state.features, seed=seed)
     tested = m.with_prediction(model.add_probs(matrix("test", ["__group"])))
-    numbers = [c for c in state.features if not c.startswith(tuple(f"{o}_" for o in spec.one_hot))]
     return Trained(
         state, model, board.rank_models(everyone), m.classification_report(tested),
         m.calibration_before_after(calibrator.apply(tested), "probs", "calibrated"), importance,
         m.fairness_by_group(tested, "__group"),
-        drift.DriftReference.fit(state.transform(raw_part["train"]), numbers),
+        drift.DriftReference.fit(state.transform(raw_part["train"]), state.features),
         quality.category_values(raw_part["train"], contract.categories), final)
 
 

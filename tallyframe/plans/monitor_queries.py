@@ -104,7 +104,10 @@ def alert_firing_stream(spark, sf):
 
 
 def heartbeat_gap(spark, sf):
-    gaps = mon.heartbeat_gaps(table(spark, sf, "events"), "event_type", 3600)
+    """Clicks stop early and never come back; the report is made at the time of the last event."""
+    events = table(spark, sf, "events")
+    heard = events.where("event_type <> 'click' or ts < timestamp_ntz '2024-01-12 00:00:00'")
+    gaps = mon.heartbeat_gaps(heard, "event_type", 3600, as_of=events.agg(F.max("ts")).scalar())
     shown = [F.date_format(c, mon.TIME_FORMAT).alias(c) for c in ("gap_start", "gap_end")]
     return gaps.select("event_type", *shown, F.round("seconds", 3).alias("seconds"))
 
@@ -140,8 +143,8 @@ def stream_drift(spark, sf):
     cut = F.lit("2024-01-11").cast("timestamp_ntz")
     ref = drift.DriftReference.fit(table(spark, sf, "events").where(F.col("ts") < cut),
                                    ["value", "user_id"])
-    late = run.read_stream(spark, sf, "events.parquet").where(F.col("ts") >= cut)
-    return run.run_append(run.drift_stream(late, ref), "drift")
+    late = dq.with_odd_columns(run.read_stream(spark, sf, "events.parquet").where(F.col("ts") >= cut))
+    return run.run_append(run.drift_stream(late, ref, columns=dq.WINDOW_COLUMNS), "drift")
 
 
 QUERIES = {
@@ -242,7 +245,11 @@ ORACLES = {
     "heartbeat_gap": """select event_type, strftime(prev, '%Y-%m-%d %H:%M:%S') as gap_start,
         strftime(ts, '%Y-%m-%d %H:%M:%S') as gap_end,
         round((epoch_us(ts) - epoch_us(prev)) / 1000000, 3) as seconds
-      from (select *, lag(ts) over (partition by event_type order by ts) as prev from events)
+      from (select event_type, ts, lag(ts) over (partition by event_type order by ts) as prev from (
+          select event_type, ts from events
+          where event_type <> 'click' or ts < timestamp '2024-01-12 00:00:00'
+          union all select distinct event_type, (select max(ts) from events) from events
+          where event_type <> 'click' or ts < timestamp '2024-01-12 00:00:00'))
       where epoch_us(ts) - epoch_us(prev) > 3600000000""",
     "heartbeat_sessions_stream": f"""select event_type, strftime(min(ts), '%Y-%m-%d %H:%M:%S') as active_from,
         strftime(max(ts) + interval 3600 second, '%Y-%m-%d %H:%M:%S') as silent_from, count(*) as n

@@ -52,7 +52,7 @@ def target_correlation_rank(spark, sf):
     df = table(spark, sf, "lineitem").withColumn(
         "target", map_label("l_returnflag", {"A": 0, "N": 1, "R": 2}))
     return profile.target_correlations(
-        df, [*LINE, "l_linenumber", "l_partkey", "l_suppkey"], "target", 5)
+        df, [*LINE, "l_linenumber", "l_partkey", "l_suppkey"], "target")
 
 
 def eda_insights(spark, sf):
@@ -145,7 +145,7 @@ ORACLES = {
     "target_correlation_rank": "select * from (" + _target(
         [*LINE, "l_linenumber", "l_partkey", "l_suppkey"], "lineitem",
         "cast(case l_returnflag when 'A' then 0 when 'N' then 1 when 'R' then 2 end as double)")
-        + ") order by abs_r desc, feature limit 5",
+        + ") order by abs_r desc, feature limit 12",
     "high_corr_pairs": "select x, y, round(r, 4) as r from (" + " union all ".join(
         f"select '{a}' as x, '{b}' as y, corr({a}, {b}) as r from {LINES}" for a, b in PAIRS)
         + ") where abs(r) > 0.8",

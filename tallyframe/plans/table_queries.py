@@ -94,8 +94,12 @@ def schema_diff(spark, sf):
     return quality.schema_diff(raw, DEMO_CONTRACT)
 
 
+ALL_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+              "pages benchmark labels conversations").split()
+
+
 def min_row_count(spark, sf):
-    names = "region nation customer supplier part orders lineitem events".split()
+    names = ALL_TABLES
     parts = [quality.row_count_check(table(spark, sf, n), n) for n in names]
     out = parts[0]
     for p in parts[1:]:
@@ -398,7 +402,7 @@ ORACLES = {
         union all select 'n_cards', 'extra', count(cards) from {q.DIRTY}""",
     "min_row_count": " union all ".join(
         f"select '{n}' as name, count(*) as row_count, count(*) >= 1000 as enough from {n}"
-        for n in "region nation customer supplier part orders lineitem events".split()),
+        for n in ALL_TABLES),
     "null_rate_profile": _null_rates(q.DIRTY, DIRTY_COLUMNS),
     "null_severity": _severity(_null_rates(GAPPY, GAPPY_COLUMNS)),
     "unexpected_labels": "select o_orderstatus as value, count(*) as rows from orders "

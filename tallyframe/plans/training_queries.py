@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from functools import lru_cache
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
@@ -17,24 +16,20 @@ from tallyframe.sources.tables import scratch_path
 from tallyframe.streaming import run
 
 
-@lru_cache(maxsize=8)
-def _matrix_path(session_id, sf, spark):
-    state = fq.fitted(spark, sf)
-    matrix = state.training_matrix(dirty(spark, sf), ["id"])
-    rows = t.assemble(matrix, state.features, "label", ["id"])
-    path = scratch_path(spark, "matrix")
-    io.write_parquet(splits.stratified_split(rows, "id", "y_true", {"train": 0.8, "valid": 0.2}), path)
-    return path
-
-
 def _parts(spark, sf):
     """(state, train rows, validation rows), assembled, keyed by id.
 
     The matrix is a written table: iterative fits read it again and again, also after an
     executor is lost.
     """
-    split = spark.read.parquet(_matrix_path(spark.sparkContext.applicationId, sf, spark))
-    return (fq.fitted(spark, sf), split.where("split = 'train'").drop("split"),
+    state = fq.fitted(spark, sf)
+    matrix = state.training_matrix(dirty(spark, sf), ["id"])
+    rows = t.assemble(matrix, state.features, "label", ["id"])
+    path = scratch_path(spark, "matrix")
+    splits.stratified_split(rows, "id", "y_true", {"train": 0.8, "valid": 0.2}).write.partitionBy(
+        "split").parquet(path)
+    split = spark.read.parquet(path)
+    return (state, split.where("split = 'train'").drop("split"),
             split.where("split = 'valid'").drop("split"))
 
 
@@ -48,22 +43,22 @@ def _evaluated(fit):
 
 
 def _logistic(train, _valid=None):
-    return t.train_logistic(train, iterations=50)
+    return t.train_logistic(train)
 
 
 def train_evaluate_table(spark, sf):
     _, train, valid = _parts(spark, sf)
     table, _ = t.train_evaluate({
-        "logistic": _logistic, "forest": lambda rows: t.train_forest(rows, 10, 5)}, train, valid)
+        "logistic": _logistic, "forest": t.train_forest}, train, valid)
     return table
 
 
 def param_search_cv(spark, sf):
     _, train, _ = _parts(spark, sf)
     estimator = LogisticRegression(family="multinomial", labelCol="y_true", weightCol="weight",
-                                   maxIter=15)
+                                   maxIter=100)
     _, trials = t.param_search(train, "id", estimator, {
-        "regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]}, "logistic", trials=4)
+        "regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]}, "logistic")
     return trials
 
 
@@ -77,7 +72,7 @@ def calibrate_isotonic(spark, sf):
 
 def builtin_importance(spark, sf):
     state, train, _ = _parts(spark, sf)
-    return t.builtin_importance(spark, t.train_forest(train, 10, 5), state.features)
+    return t.builtin_importance(spark, t.train_forest(train), state.features)
 
 
 def permutation_importance(spark, sf):
@@ -115,7 +110,7 @@ def stream_score(spark, sf):
 
 QUERIES = {
     "train_logistic": _evaluated(_logistic),
-    "train_random_forest": _evaluated(lambda rows, v: t.train_forest(rows, 20, 6)),
+    "train_random_forest": _evaluated(lambda rows, v: t.train_forest(rows)),
     "train_boosted": _evaluated(lambda rows, v: t.train_boosted(rows, v, rounds=8, depth=3, rate=0.1)),
     "train_evaluate_table": train_evaluate_table, "param_search_cv": param_search_cv,
     "calibrate_isotonic": calibrate_isotonic, "builtin_importance": builtin_importance,
@@ -130,8 +125,8 @@ ORACLES: dict[str, str] = {}
 
 def _tuned_logistic(train, _valid):
     estimator = LogisticRegression(family="multinomial", labelCol="y_true", weightCol="weight",
-                                   maxIter=10)
-    best, _ = t.param_search(train, "id", estimator, {"regParam": [0.001, 0.1]}, "logistic", folds=2)
+                                   maxIter=100)
+    best, _ = t.param_search(train, "id", estimator, {"regParam": [0.001, 0.1]}, "logistic")
     return t.ClassModel("logistic", [estimator.copy().setParams(**best).fit(
         splits.with_class_weights(train, "y_true"))])
 
@@ -141,7 +136,7 @@ def _trained(spark, sf):
     contract = replace(DEMO_CONTRACT, min_rows=100)
     raw = dirty(spark, sf).where("label is not null")
     return flows, contract, flows.train(raw, "id", "occupation", DEMO_SPEC, contract, {
-        "logistic": _logistic, "forest": lambda rows, _: t.train_forest(rows, 10, 5)},
+        "logistic": _logistic, "forest": lambda rows, _: t.train_forest(rows)},
         tuners={"logistic": _tuned_logistic})
 
 

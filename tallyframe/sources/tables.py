@@ -11,8 +11,16 @@ from pyspark.sql import types as T
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of the session, or a temporary one in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyframe-")
+    """A new path in the folder of ``spark.checkpoint.dir``, which driver and executors share.
+
+    Without it only a local master gets a temporary folder: elsewhere every executor would
+    write to a disk of its own, and a later read would miss rows without an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="tallyframe-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

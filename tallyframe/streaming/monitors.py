@@ -11,8 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyframe.operators.bins import add_buckets
-from tallyframe.operators.order import ROWS_PER_SORT, cut_points, exact_quantiles, settle
+from tallyframe.operators.order import exact_quantiles, settle
 
 # Fixed values of the request metrics.
 LATENCY_EDGES = (5, 10, 25, 50, 100, 250, 500, 1000, 2500)
@@ -122,24 +121,26 @@ def held_alerts(ticks: DataFrame, by: Sequence[str] = (), hold_seconds: int = 12
 
 
 def heartbeat_gaps(df: DataFrame, source: str, limit_seconds: float = 60, ts: str = "ts",
-                   rows_per_sort: int = ROWS_PER_SORT) -> DataFrame:
-    """``(source, gap_start, gap_end)``: silences longer than the limit between two rows.
+                   as_of: Column | None = None) -> DataFrame:
+    """``(source, gap_start, gap_end, seconds)``: silences longer than the limit.
 
-    Rows are ordered inside a source and time bucket; the gaps across buckets are found on
-    one row per bucket, so a busy source is spread over many tasks.
+    A silence lies between two rows, or between a source's last row and ``as_of``. Rows are
+    combined into panes of the limit's length before the shuffle: a longer silence always crosses
+    a pane border, so first and last row of each pane are enough, however busy the source.
     """
-    rows = event_time(df, ts).select(source, ts, F.unix_micros(ts).cast("double").alias("at"))
-    points = cut_points(rows, ["at"], rows_per_sort)
-    rows = add_buckets(rows, points).withColumnRenamed("bucket_at", "bucket")
-    inner = Window.partitionBy(source, "bucket").orderBy(ts)
-    inside = rows.select(source, F.lag(ts).over(inner).alias("gap_start"), F.col(ts).alias("gap_end"))
-    edges = rows.groupBy(source, "bucket").agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
-    across = edges.select(
-        source, F.lag("last").over(Window.partitionBy(source).orderBy("bucket")).alias("gap_start"),
-        F.col("first").alias("gap_end"))
+    width = int(limit_seconds * 1_000_000)
+    rows = event_time(df, ts).where(F.col(ts).isNotNull())
+    panes = rows.groupBy(source, F.expr(f"unix_micros({ts}) div {width}").alias("pane")).agg(
+        F.min(ts).alias("first"), F.max(ts).alias("last"))
+    by_time = Window.partitionBy(source).orderBy("pane")
+    between = panes.select(source, F.lag("last").over(by_time).alias("gap_start"),
+                           F.col("first").alias("gap_end"))
+    if as_of is not None:
+        between = between.unionByName(rows.groupBy(source).agg(F.max(ts).alias("gap_start")).select(
+            source, "gap_start", as_of.cast("timestamp").alias("gap_end")))
     length = (F.unix_micros("gap_end") - F.unix_micros("gap_start")) / 1e6
-    return inside.unionByName(across).where("gap_start is not null").withColumn(
-        "seconds", length).where(F.col("seconds") > limit_seconds)
+    return between.where("gap_start is not null").withColumn("seconds", length).where(
+        F.col("seconds") > limit_seconds)
 
 
 def heartbeat_sessions(df: DataFrame, source: str, gap_seconds: int = 60, ts: str = "ts"

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
-from tallyframe.operators.drift import DriftReference, bin_rows, psi_select, psi_status
+from tallyframe.operators.drift import DriftReference, psi_by_window, psi_status
 from tallyframe.sources.tables import scratch_path
 from tallyframe.streaming.monitors import TICK_SECONDS, event_time
 
@@ -157,13 +157,10 @@ def held_alerts_stream(ticks: DataFrame, hold_seconds: int = 120, step: int = TI
 
 # -- drift on streams ---------------------------------------------
 
-def drift_stream(events: DataFrame, ref: DriftReference, length: str = "1 day") -> DataFrame:
-    """PSI per tumbling window against frozen edges, one stateful aggregate."""
+def drift_stream(events: DataFrame, ref: DriftReference, length: str = "1 day",
+                 columns: Sequence[str] | None = None) -> DataFrame:
+    """PSI per tumbling window and column against frozen edges, one stateful aggregate."""
     df = event_time(events).withColumn("w", F.window("ts", length))
-    rows = bin_rows(df, ref.edges, ["w"])
-    widest = max(len(s) for s in ref.shares.values())
-    sums = rows.groupBy("w", "feature").agg(F.count("*").alias("n"), *[
-        F.expr(f"count_if(bin = {i})").alias(f"b{i}") for i in range(widest)])
-    psi = psi_select(sums, ref, ["w"])
+    psi = psi_by_window(df, ref, ["w"], list(columns or ref.edges))
     return psi.select(F.date_format("w.start", "yyyy-MM-dd").alias("monitoring_window"), "feature",
                       "n", "psi", psi_status(F.col("psi")).alias("status"))

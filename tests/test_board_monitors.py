@@ -150,16 +150,41 @@ def test_held_alerts_stream_over_many_batches(spark, tmp_path):
         assert rows_of(done) == rows_of(want)
 
 
-@pytest.mark.parametrize("rows_per_sort", [100_000, 100])
-def test_heartbeat_gaps(requests, rows_per_sort):
+def test_heartbeat_gaps(requests):
     df, _ = requests
-    got = mon.heartbeat_gaps(df, "source", 60, rows_per_sort=rows_per_sort)
+    got = mon.heartbeat_gaps(df, "source", 60)
     pdf = df.select("source", "at").toPandas().sort_values(["source", "at"])
     step = pdf.groupby("source")["at"].diff()
     assert got.count() == int((step > 60).sum())
     assert sorted(r["seconds"] for r in got.collect()) == sorted(step[step > 60])
 
 
+def test_silence_at_the_end_is_reported(requests):
+    df, _ = requests
+    end = df.agg(F.max("at")).first()[0] + 100
+    got = mon.heartbeat_gaps(df, "source", 60, as_of=F.timestamp_seconds(F.lit(float(end))))
+    assert got.count() == mon.heartbeat_gaps(df, "source", 60).count() + df.select("source").distinct().count()
+
+
+def test_registry_entry_replaces_whatever_its_stamp(spark):
+    def row(path, stamp):
+        return ("m", "1", path, {}, {}, {}, stamp, "staging")
+    known = spark.createDataFrame([row("old", "2024-02-01")], board.REGISTRY_SCHEMA)
+    for stamp in ("2024-01-01", "2024-02-01", "2024-03-01"):
+        entry = spark.createDataFrame([row("new", stamp)], board.REGISTRY_SCHEMA)
+        assert [r.artifact_path for r in board.registry_upsert(known, entry).collect()] == ["new"]
+
+
+def test_scratch_needs_a_shared_folder_off_local(spark):
+    class Conf(dict):
+        pass
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+    with pytest.raises(ValueError):
+        io.scratch_path(Session, "x")
+
+
 def test_sources_and_reports(spark, tmp_path):
     df = local_rows(spark, [(1, 'a "quoted", text'), (2, None)], {"id": "bigint", "t": "string"})
     df.write.option("header", True).option("escape", '"').csv(str(tmp_path / "x"))

@@ -192,3 +192,36 @@ def test_histogram_of_a_constant(spark):
     rows = profile.histogram(df, ["x"], 4).collect()
     assert len(rows) == 4 and sum(r["n"] for r in rows) == 2
     assert math.isclose(min(r["lo"] for r in rows), 1.5)
+
+
+def test_correlations_do_not_depend_on_the_number_of_columns(spark):
+    from tallyframe.operators import profile
+
+    df = spark.range(200).selectExpr(
+        "cast(id as double) as c0", "if(id % 7 = 0, double('nan'), sin(id)) as c1", "0.1D as c2",
+        *[f"cos(id * {k}) as c{k}" for k in range(3, 12)])
+    few = {(r.x, r.y): r.r for r in profile.correlation_matrix(df, [f"c{k}" for k in range(4)]).collect()}
+    many = {(r.x, r.y): r.r for r in profile.correlation_matrix(df, [f"c{k}" for k in range(12)]).collect()}
+    assert few == {k: many[k] for k in few}
+    assert few["c0", "c1"] is not None and few["c0", "c2"] is None and few["c2", "c2"] is None
+
+
+def test_windows_without_values_are_unknown(spark):
+    from tallyframe.operators import drift
+
+    ref = spark.range(100).selectExpr("cast(id as double) as a", "0.5D as same")
+    cur = spark.range(40).selectExpr("cast(id div 20 as string) as w",
+                                     "if(id < 20, cast(id as double), null) as a", "0.5D as same")
+    got = {(r.monitoring_window, r.feature): r.status
+           for r in drift.drift_by_window(ref, cur, F.col("w"), ["a", "same"]).collect()}
+    assert got == {("0", "a"): "drift", ("1", "a"): "unknown", ("0", "same"): "unknown",
+                   ("1", "same"): "unknown"}
+    only = drift.drift_by_window(ref, cur, F.col("w"), ["same"]).collect()
+    assert [r.status for r in only] == ["unknown", "unknown"]
+
+
+def test_best_round_waits():
+    from tallyframe.operators.training import best_round
+
+    losses = [5, 4, 4.5, 4.2, 3, 3.5, 3.2, 2]
+    assert best_round(losses, 3) == 8 and best_round(losses, 2) == 2 and best_round([1.0], 3) == 1
