@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tallyframe.llm import (chat, decontam, mixing, pii, quality, shards, simhash, suffixes,
-                            token_counts, token_store)
+from tallyframe.llm import (chat, decontam, mixing, pii, quality, shards, simhash, sql,
+                            suffixes, token_counts, token_store)
 from tallyframe.llm.storage import shared_path
 
 TOKEN_LIMIT = 4096
@@ -32,7 +32,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(tricky).alias("text"))
     pages = chat.formatted(rows.unionByName(added), public_tokenizers.path("byte_bpe_50k.json"))
-    return chat.digests(pages).withColumnRenamed("conv", "conv_id")
+    return chat.digests(pages).drop("n_tokens").withColumnRenamed("conv", "conv_id")
 
 
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,4 +106,4 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = sql.ORACLES
