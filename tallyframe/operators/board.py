@@ -19,13 +19,13 @@ RETRAIN_LABEL_SHIFT = 0.1
 # Fixed values of the alert rules: metric, comparison, limit, type, severity, message, action.
 ALERT_RULES = [
     ("psi_max", ">", 0.20, "drift", "HIGH", "PSI drift detected",
-     "Investigate feature distributions; schedule retraining if persistent."),
+     "Look at the moved columns; retrain if they stay where they are."),
     ("f1_macro", "<", 0.65, "performance", "HIGH", "Model F1 degraded",
-     "Run full evaluation; trigger retraining pipeline."),
+     "Evaluate on fresh labels and start a retraining run."),
     ("p95_latency_ms", ">", 500.0, "latency", "MEDIUM", "High latency",
-     "Profile inference; consider model compression or batching."),
-    ("missing_rate", ">", 0.30, "missing_rate", "MEDIUM", "High missing rate",
-     "Check upstream data pipeline for data quality issues."),
+     "Find the slow step of scoring; batch requests or use a smaller model."),
+    ("missing_rate", ">", 0.30, "data_quality", "MEDIUM", "High missing rate",
+     "Ask the source of the column what has changed."),
 ]
 
 

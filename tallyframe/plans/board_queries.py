@@ -135,7 +135,9 @@ def alert_rules(spark, sf):
     missing = null_rates(dirty(spark, sf).withColumn("half", F.expr("if(id % 2 = 0, id, null)"))
                          ).select(F.lit("missing_rate").alias("metric"), "feature",
                                   F.col("missing_rate").alias("value"))
-    rows = board.union_all([f1, p95, missing])
+    psi = dq.q_drift_by_window(spark, sf).groupBy("feature").agg(F.max("psi").alias("value")).select(
+        F.lit("psi_max").alias("metric"), "feature", "value")
+    rows = board.union_all([f1, p95, missing, psi])
     return board.alert_rules(rows).withColumn("value", F.round("value", 6))
 
 
@@ -236,5 +238,7 @@ ORACLES = {
         _alerts("p95_latency_ms", "select strftime(ts, '%Y-%m-%d') as feature, "
                                   "quantile_cont(value * 4, 0.95) as value from events group by 1"),
         _alerts("missing_rate", "select feature, missing_rate as value from ("
-                + _null_rates(HALF, [*DIRTY_COLUMNS, "half"]) + ")")]),
+                + _null_rates(HALF, [*DIRTY_COLUMNS, "half"]) + ")"),
+        _alerts("psi_max", f"select feature, max(psi) as value from ({dq.ORACLES['drift_by_window']}) "
+                           "group by feature")]),
 }
