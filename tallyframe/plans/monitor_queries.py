@@ -59,6 +59,24 @@ def batch_size_histogram(spark, sf):
     return mon.bucket_histogram(sizes, "size", mon.BATCH_EDGES)
 
 
+def _as_stream(df, name):
+    """The rows of a table arriving as files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return run.read_stream(df.sparkSession, path)
+
+
+def prediction_class_counter_stream(spark, sf):
+    rows = _as_stream(with_prediction(scores(spark, sf)).select("y_pred"), "predictions")
+    return run.run_complete(mon.counters(rows, ["y_pred"]), "classes")
+
+
+def batch_size_histogram_stream(spark, sf):
+    sizes = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("size"))
+    return run.run_complete(mon.bucket_histogram(_as_stream(sizes, "sizes"), "size", mon.BATCH_EDGES),
+                            "batch_sizes")
+
+
 def rolling_last_n_latency(spark, sf):
     return mon.last_n_latency(table(spark, sf, "events"), 1000, "value", IS_ERROR,
                               ["ts", "event_id"])
@@ -88,6 +106,11 @@ def p95_from_buckets_5m(spark, sf):
                   F.round("p95", 4).alias("p95"), "breach")
 
 
+def p95_from_buckets_5m_stream(spark, sf):
+    ticks = run.run_append(mon.p95_from_buckets(_stream(spark, sf), "value"), "p95")
+    return _ticks(ticks, "count", F.round("p95", 4).alias("p95"), "breach")
+
+
 def alert_pending_firing(spark, sf):
     ticks = mon.error_rate(_events(spark, sf), IS_ERROR)
     return _ticks(mon.held_alerts(ticks), "state")
@@ -152,6 +175,9 @@ QUERIES = {
     "latency_histogram": latency_histogram, "latency_histogram_stream": latency_histogram_stream,
     "prediction_class_counter": prediction_class_counter,
     "batch_size_histogram": batch_size_histogram,
+    "prediction_class_counter_stream": prediction_class_counter_stream,
+    "batch_size_histogram_stream": batch_size_histogram_stream,
+    "p95_from_buckets_5m_stream": p95_from_buckets_5m_stream,
     "rolling_last_n_latency": rolling_last_n_latency,
     "rolling_latency_stream": rolling_latency_stream,
     "error_rate_5m": error_rate_5m, "error_rate_5m_stream": error_rate_5m_stream,
@@ -238,9 +264,15 @@ ORACLES = {
     "prediction_class_counter": f"select y_pred, count(*) as n from {sq.S} group by y_pred",
     "batch_size_histogram": _histogram("(select count(*) as size from lineitem group by l_orderkey)",
                                        "size", mon.BATCH_EDGES, "", "cast(sum(size) as bigint)"),
+    "prediction_class_counter_stream": f"select y_pred, count(*) as n from {sq.S} group by y_pred",
+    "batch_size_histogram_stream": _histogram(
+        "(select count(*) as size from lineitem group by l_orderkey)", "size", mon.BATCH_EDGES, "",
+        "cast(sum(size) as bigint)"),
     "rolling_last_n_latency": LAST_N, "rolling_latency_stream": LAST_N,
     "error_rate_5m": _rate_sql(), "error_rate_5m_stream": _rate_sql(CLOSED),
     "p95_from_buckets_5m": _p95_sql(),
+    "p95_from_buckets_5m_stream": f"select * from ({_p95_sql()}) where window_end <= strftime("
+                                  "(select max(ts) - interval 10 minute from events), '%Y-%m-%d %H:%M:%S')",
     "alert_pending_firing": _held_sql(), "alert_firing_stream": _held_sql(CLOSED),
     "heartbeat_gap": """select event_type, strftime(prev, '%Y-%m-%d %H:%M:%S') as gap_start,
         strftime(ts, '%Y-%m-%d %H:%M:%S') as gap_end,

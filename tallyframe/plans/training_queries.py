@@ -14,6 +14,7 @@ from tallyframe.plans.views import dirty, scores
 from tallyframe.sources import tables as io
 from tallyframe.sources.tables import scratch_path
 from tallyframe.streaming import run
+from tallyframe.streaming.monitors import counters
 
 
 def _parts(spark, sf):
@@ -98,14 +99,22 @@ def batch_score(spark, sf):
     return _shown(t.batch_score(dirty(spark, sf), state, _logistic(train), ["id"]))
 
 
-def stream_score(spark, sf):
-    """Records arrive as files of the demo view; class counts are a by-product of the sink."""
+def _scored_stream(spark, sf):
+    """Records arrive as files of the demo view."""
     state, train, _ = _parts(spark, sf)
     model = _logistic(train)
     path = scratch_path(spark, "records")
     dirty(spark, sf).write.parquet(path)
-    records = run.read_stream(spark, path)
-    return run.run_append(_shown(t.batch_score(records, state, model, ["id"])), "scored")
+    return _shown(t.batch_score(run.read_stream(spark, path), state, model, ["id"]))
+
+
+def stream_score(spark, sf):
+    return run.run_append(_scored_stream(spark, sf), "scored")
+
+
+def stream_score_counts(spark, sf):
+    """Predictions per class so far, as a running total of the scoring stream."""
+    return run.run_complete(counters(_scored_stream(spark, sf), ["predicted_class"]), "classes")
 
 
 QUERIES = {
@@ -116,6 +125,7 @@ QUERIES = {
     "calibrate_isotonic": calibrate_isotonic, "builtin_importance": builtin_importance,
     "permutation_importance": permutation_importance, "save_load_fitted": save_load_fitted,
     "batch_score": batch_score, "stream_score": stream_score,
+    "stream_score_counts": stream_score_counts,
 }
 
 ORACLES: dict[str, str] = {}

@@ -1,8 +1,8 @@
 """Request monitoring. Each monitor is one function for static and streaming tables.
 
 Requests have an event time ``ts``, an endpoint, a latency and an error flag. Sliding
-windows on a static table are summed from panes of one step, so a row is expanded after
-aggregation and not before it.
+windows are summed from panes of one step, so a row is expanded after aggregation and not
+before it.
 """
 
 from __future__ import annotations
@@ -73,7 +73,10 @@ def sliding_sums(df: DataFrame, sums: Mapping[str, str], by: Sequence[str] = (),
     df = event_time(df, ts)
     aggs = [F.expr(text).alias(name) for name, text in sums.items()]
     if df.isStreaming:
-        out = df.groupBy(*by, F.window(ts, f"{length} seconds", f"{step} seconds")).agg(*aggs)
+        panes = df.groupBy(*by, F.window(ts, f"{step} seconds").alias("pane")).agg(*aggs)
+        out = panes.groupBy(*by, F.window(
+            F.window_time("pane"), f"{length} seconds", f"{step} seconds").alias("window")).agg(
+            *[F.sum(n).alias(n) for n in sums])
         return out.select(*by, (F.unix_seconds("window.end") / step).cast("bigint").alias("tick"),
                           *sums)
     panes = df.groupBy(*by, F.expr(f"unix_seconds({ts}) div {step}").alias("pane")).agg(*aggs)

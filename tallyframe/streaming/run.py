@@ -46,18 +46,28 @@ def run_append(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def run_complete(df: DataFrame, name: str) -> DataFrame:
-    """Same for running totals: every batch replaces the table of its number."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    written: list[int] = []
+def save_slot(df: DataFrame, path: str, number: int) -> None:
+    """Write the table of a batch over that of the last but one.
+
+    A batch that is repeated after a failure finds the table before it untouched, and what
+    is kept does not grow with the number of batches.
+    """
+    df.withColumn("__batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/slot={number % 2}")
+
 
-    def save(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
-        written.append(number)
+def newest_slot(spark: SparkSession, path: str) -> DataFrame:
+    """The table of the latest batch, found from the files alone."""
+    both = spark.read.parquet(path)
+    latest = both.agg(F.max("__batch")).first()[0]
+    return both.where(F.col("__batch") == latest).drop("__batch", "slot")
 
-    run_batches(df, save, path, "complete")
-    return spark.read.schema(df.schema).parquet(f"{path}/batch={written[-1]}")
+
+def run_complete(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Same for running totals: the table of the newest batch replaces the others."""
+    spark = df.sparkSession
+    path = path or scratch_path(spark, name)
+    run_batches(df, lambda batch, number: save_slot(batch, path, number), path, "complete")
+    return newest_slot(spark, path)
 
 
 def run_batches(df: DataFrame, save: Callable[[DataFrame, int], None], path: str,
@@ -73,20 +83,20 @@ class LastN:
     """Keeps the last n requests and the totals over a stream.
 
     Each batch is cut to its own last n before it meets the kept ones, so whatever the
-    traffic only 2n rows are merged. State is written per batch number: a repeated batch
-    starts again from the state before it.
+    traffic only 2n rows are merged. State lies in two slots that batches write in turn: a
+    repeated batch starts again from the state before it, also in a new process.
     """
 
     def __init__(self, spark: SparkSession, n: int, latency: str, is_error: str,
                  order: tuple[str, ...], path: str | None = None):
         self.spark, self.n, self.latency, self.is_error = spark, n, latency, is_error
         self.order, self.path = order, path or scratch_path(spark, "last_n")
-        self.latest: int | None = None
 
     def _previous(self, number: int, kind: str) -> DataFrame | None:
         if number == 0:
             return None
-        return self.spark.read.parquet(f"{self.path}/{kind}/batch={number - 1}")
+        before = self.spark.read.parquet(f"{self.path}/{kind}/slot={(number - 1) % 2}")
+        return before.where(F.col("__batch") == number - 1).drop("__batch")
 
     def save(self, batch: DataFrame, number: int) -> None:
         newest = [F.desc(c) for c in self.order]
@@ -99,13 +109,11 @@ class LastN:
             totals = totals.unionByName(before).agg(
                 F.sum("request_count").alias("request_count"),
                 F.sum("error_count").alias("error_count"))
-        last.write.mode("overwrite").parquet(f"{self.path}/last/batch={number}")
-        totals.write.mode("overwrite").parquet(f"{self.path}/totals/batch={number}")
-        self.latest = number
+        save_slot(last, f"{self.path}/last", number)
+        save_slot(totals, f"{self.path}/totals", number)
 
     def tables(self) -> tuple[DataFrame, DataFrame]:
-        return (self.spark.read.parquet(f"{self.path}/last/batch={self.latest}"),
-                self.spark.read.parquet(f"{self.path}/totals/batch={self.latest}"))
+        return newest_slot(self.spark, f"{self.path}/last"), newest_slot(self.spark, f"{self.path}/totals")
 
 
 # -- alerts held over time ----------------------------------------------------

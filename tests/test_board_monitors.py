@@ -123,11 +123,24 @@ def test_counters_stream_like_batch(spark, requests):
     assert rows_of(done) == rows_of(mon.counters(df, ["source"]))
 
 
+def test_state_survives_a_restart_without_new_rows(spark, requests, tmp_path):
+    df, folder = requests
+    counted = mon.counters(df, ["source"])
+    for _ in range(2):  # the second run finds its checkpoint and no new files
+        done = run.run_complete(mon.counters(stream(spark, folder, df.schema), ["source"]), "counters",
+                                str(tmp_path / "c"))
+        assert rows_of(done) == rows_of(counted)
+    for _ in range(2):
+        keep = run.LastN(spark, 300, "value", "failed", ("ts", "event_id"), str(tmp_path / "n"))
+        run.run_batches(stream(spark, folder, df.schema), keep.save, keep.path)
+        assert keep.tables()[1].first()["request_count"] == df.count()
+    assert len(list((tmp_path / "n" / "last").iterdir())) == 2
+
+
 def test_last_n_over_many_batches(spark, requests):
     df, folder = requests
     keep = run.LastN(spark, 300, "value", "failed", ("ts", "event_id"))
     run.run_batches(stream(spark, folder, df.schema), keep.save, keep.path)
-    assert keep.latest == 7
     got = mon._latency_summary(*keep.tables(), "value").first()
     want = mon.last_n_latency(df, 300, "value", "failed", ["ts", "event_id"]).first()
     assert got.asDict() == want.asDict()
