@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tallyframe.functions.columns import even_edges, finite
 from tallyframe.operators.bins import add_bins
 from tallyframe.operators.order import (QUANTILE_ROWS, ROWS_PER_SORT, cut_points, local_rows,
-                                        quantile_table, running_counts, settle)
+                                        quantile_ranks, running_counts, settle)
 
 EPSILON = 1e-6
 STABLE_BELOW = 0.10
@@ -46,16 +46,13 @@ class DriftReference:
     @classmethod
     def fit(cls, reference: DataFrame, columns: Sequence[str], bins: int = 10,
             rows_per_sort: int = QUANTILE_ROWS) -> "DriftReference":
-        found = quantile_table(reference, columns, even_edges(bins), rows_per_sort)
-        edges = {c: sorted(set(v)) for c, v in found.items()}
-        edges = {c: e for c, e in edges.items() if len(e) >= 2}
-        shares: dict[str, list[float]] = {}
-        if edges:
-            rows = bin_counts(reference, edges).collect()
-            for c, e in edges.items():
-                total = sum(r["n"] for r in rows if r["feature"] == c)
-                by_bin = {r["bin"]: r["n"] for r in rows if r["feature"] == c}
-                shares[c] = [by_bin.get(i, 0) / total for i in range(len(e) - 1)]
+        """Edges are quantiles, so their ranks already tell how many values each bin holds."""
+        edges, shares = {}, {}
+        for c, (n, below) in quantile_ranks(reference, columns, even_edges(bins), rows_per_sort).items():
+            if len(below) >= 2:
+                edges[c] = sorted(below)
+                upto = [below[e] for e in edges[c][:-1]] + [n]
+                shares[c] = [(b - a) / n for a, b in zip(upto, upto[1:])]
         return cls(edges, shares)
 
     def to_json(self) -> str:

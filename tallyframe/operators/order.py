@@ -81,8 +81,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """Linear-interpolation quantiles of many columns, per group.
 
     One row per group and column that has any value: ``(*by, feature, n,
-    quantiles)`` with the quantiles in the order of ``probs``. NULL, NaN and
-    infinite values and NULL groups are left out.
+    quantiles, below)`` in the order of ``probs``; ``below`` is the number of values
+    smaller than the quantile. NULL, NaN and infinite values and NULL groups are left out.
     """
     names, columns, probs = list(by), list(columns), [float(p) for p in probs]
     by = [f"__by_{i}" for i in range(len(names))]
@@ -127,10 +127,16 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     ).where("n = 1 or near_v > near_u")
     picked = near.groupBy(*cell, "n").agg(*[
         F.expr(f"max(case when {rank} >= lo and {rank} < hi then x end)").alias(f"{side}{i}")
-        for i, p in enumerate(probs) for side, rank in zip("ab", _ranks(p))])
-    return picked.select(*[F.col(a).alias(b) for a, b in zip(by, names)], "feature", "n", F.array(*[
-        F.expr(f"a{i} + (b{i} - a{i}) * ({_position(p)} - floor({_position(p)}))")
-        for i, p in enumerate(probs)]).alias("quantiles"))
+        for i, p in enumerate(probs) for side, rank in zip("ab", _ranks(p))], *[
+        F.expr(f"max(case when {_ranks(p)[0]} >= lo and {_ranks(p)[0]} < hi then {end} end)").alias(
+            f"{end}{i}") for i, p in enumerate(probs) for end in ("lo", "hi")])
+    values = [f"a{i} + (b{i} - a{i}) * ({_position(p)} - floor({_position(p)}))"
+              for i, p in enumerate(probs)]
+    # the lower of the two ranks: its value is the quantile itself or the last one below it
+    below = [f"if({v} > a{i}, hi{i}, lo{i})" for i, v in enumerate(values)]
+    return picked.select(
+        *[F.col(a).alias(b) for a, b in zip(by, names)], "feature", "n",
+        F.array(*map(F.expr, values)).alias("quantiles"), F.array(*map(F.expr, below)).alias("below"))
 
 
 def _position(p: float) -> str:
@@ -149,6 +155,13 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
     return {r["feature"]: list(r["quantiles"]) for r in found.collect()}
 
 
+def quantile_ranks(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                   rows_per_sort: int = QUANTILE_ROWS) -> dict[str, tuple[int, dict[float, int]]]:
+    """Per column its number of values, and how many are below each quantile."""
+    found = exact_quantiles(df, columns, probs, rows_per_sort=rows_per_sort)
+    return {r["feature"]: (r["n"], dict(zip(r["quantiles"], r["below"]))) for r in found.collect()}
+
+
 def running_counts(dist: DataFrame, curve: Sequence[str], score: str, measures: Sequence[str],
                    points: Sequence[float] = ()) -> DataFrame:
     """Running and total sums along ``score`` per curve.
