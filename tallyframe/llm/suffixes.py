@@ -4,7 +4,8 @@ Full suffix arrays take several times the corpus, so the arrays here are sparse.
 *anchors*: of every ``LENGTH`` bytes of a document, the ``GRAM`` bytes with the smallest hash. Two equal
 passages have the same anchor at the same place, so only anchors whose bytes occur twice can lie in a
 repeat. Anchors are dealt by these bytes. If even the whole surroundings of two anchors (all
-passages around them) are equal, the surroundings are repeats, and nothing else is asked.
+passages around them) are equal, the surroundings are repeats, and nothing else is asked. That is looked for in
+each batch of documents first, so a passage that many documents share goes on once per batch.
 
 The rest, the borders of repeats, go to the index family. A task reads the surroundings of its anchors in
 batches. A batch becomes a suffix array: the starts of its passages, in the order of the digests of
@@ -36,8 +37,6 @@ LENGTH, GRAM = 400, 96
 LEFT = LENGTH - GRAM
 KEY_LIMIT = 20_000
 CONTEXTS_PER_TASK = 8_000
-#: Rows of a table of narrow rows up to which it is sent to all tasks in place of a shuffle.
-SENT_ROWS = 1_000_000
 PIECE = 1 << 18
 
 U = np.uint64
@@ -120,25 +119,42 @@ def anchors(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         yield places + low, grams[places], rolling.of(starts, ends) ^ sides
 
 
+ANCHORS = "deal long, key long, ctx long, id long, tie long, pos long, state int"
+#: States of an anchor: it goes on; it goes on for several equal ones; one of those, done.
+ONE, SEVERAL, DONE = 0, 1, 2
+
+
+def _combined(ids: pa.Array, ties: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+    """Anchors of a batch: equal surroundings are repeats already, and one of them goes on.
+
+    What is done is dealt out by its place and not by its key, which may be a very common one.
+    """
+    keys, contexts, places = (np.concatenate([r[k] for r in rows]) for k in (0, 1, 3))
+    docs = np.repeat([r[2] for r in rows], [len(r[3]) for r in rows])
+    order = np.lexsort((contexts, keys))
+    keys, contexts, places, docs = (x[order] for x in (keys, contexts, places, docs))
+    alike = (keys[1:] == keys[:-1]) & (contexts[1:] == contexts[:-1])
+    state = np.where(np.r_[False, alike], DONE, np.where(np.r_[alike, False], SEVERAL, ONE))
+    own = ties.take(pa.array(docs))
+    deal = np.where(state == DONE, mixed(np.asarray(own).view(np.uint64) + places.astype(np.uint64)), keys)
+    return pa.record_batch([
+        deal.view(np.int64), keys.view(np.int64), contexts.view(np.int64), ids.take(pa.array(docs)), own,
+        places, pa.array(state, pa.int32())], ["deal", "key", "ctx", "id", "tie", "pos", "state"])
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["key", "ctx", "id", "tie", "pos"]
     for batch in batches:
-        ids, ties = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        ids, ties = batch.column(0), batch.column(1)
         rows, size = [], 0
         for i, text in enumerate(batch.column(2).cast(pa.large_binary())):
             for places, keys, contexts in anchors(text.as_py()):
                 rows.append((keys, contexts, i, places))
                 size += len(places)
-            if size > 100_000 or i == batch.num_rows - 1:
-                if rows:
-                    sizes = [len(r[3]) for r in rows]
-                    of = np.repeat([r[2] for r in rows], sizes)
-                    yield pa.record_batch([
-                        np.concatenate([r[0] for r in rows]).view(np.int64),
-                        np.concatenate([r[1] for r in rows]).view(np.int64),
-                        pa.array(ids, pa.int64()).take(pa.array(of)), pa.array(ties, pa.int64())
-                        .take(pa.array(of)), np.concatenate([r[3] for r in rows])], names)
+            if size > 500_000:
+                yield _combined(ids, ties, rows)
                 rows, size = [], 0
+        if rows:
+            yield _combined(ids, ties, rows)
 
 
 FOUND = "key long, id long, tie long, start long, end long, pos long, single boolean"
@@ -161,6 +177,14 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "start": pa.array(pos - LEFT, mask=~repeat), "end": pa.array(pos + LENGTH, mask=~repeat),
             "pos": pa.array(pos, mask=~ask), "single": pa.array(single)}).to_batches()
 
+    def done(batch):
+        """Spans of the anchors that are settled, and the others."""
+        settled = np.asarray(batch["state"]) == DONE
+        every = settled[settled]
+        if len(every):
+            yield from out(batch.filter(pa.array(settled)), every, ~every, ~every)
+        return pa.Table.from_batches([batch.filter(pa.array(~settled))])
+
     def sort_out(table, before, after):
         """``before`` and ``after``: key and surroundings of the rows next to the table."""
         key = np.r_[before[0], np.asarray(table["key"]), after[0]]
@@ -168,7 +192,7 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         there = np.r_[before[2], np.ones(len(key) - 2, bool), after[2]]
         next_key = (key[1:] == key[:-1]) & there[1:] & there[:-1]
         next_ctx = next_key & (ctx[1:] == ctx[:-1])
-        repeat = next_ctx[:-1] | next_ctx[1:]
+        repeat = next_ctx[:-1] | next_ctx[1:] | (np.asarray(table["state"]) == SEVERAL)
         first = ~next_ctx[:-1]  # the first of its surroundings
         return repeat, first, next_key
 
@@ -176,7 +200,7 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # run by the row before it or by the row after the run. So runs are closed one batch late.
     before = (0, 0, False)
     for batch in batches:
-        table = pa.Table.from_batches([batch])
+        table = yield from done(batch)
         held = table if held is None else pa.concat_tables([held, table])
         key, ctx = np.asarray(held["key"]), np.asarray(held["ctx"])
         if not len(key) or (key[0] == key[-1] and ctx[0] == ctx[-1]):
@@ -329,46 +353,40 @@ def _grouped(contexts: DataFrame) -> DataFrame:
             .selectExpr("id", "tie", "pos - high as start", f"pos - low + {LENGTH} as end"))
 
 
-def sent(df: DataFrame, rows: int) -> DataFrame:
-    """With a broadcast hint if the table has few enough (narrow) rows."""
-    return F.broadcast(df) if rows <= SENT_ROWS else df
-
-
 def narrow(df: DataFrame, id_column: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     return df.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.xxhash64(body).alias("tie"),
                      body.alias("body"))
 
 
-def repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text", limit: int = KEY_LIMIT
-            ) -> tuple[DataFrame, int]:
-    """Spans ``(id, tie, start, end)`` of repeated bytes (they overlap and may reach over the
-    borders of the text), and their number."""
-    docs = narrow(df, id_column, text)
-    long_enough = docs.where(F.octet_length("body") >= LENGTH)
-    rows = long_enough.mapInArrow(_anchor_rows, "key long, ctx long, id long, tie long, pos long")
-    found = cut(rows.repartition("key").sortWithinPartitions("key", "ctx").mapInArrow(_sort_out, FOUND),
-                "anchors")
-    asked = found.where("pos is not null")
-    n_asked = asked.count()
-    per_doc = asked.groupBy(F.col("id").alias("of"), F.col("tie").alias("of_tie")).agg(
-        F.collect_list(F.struct("pos", "key", "single")).alias("asked"))
-    matched = long_enough.join(sent(per_doc, n_asked), F.col("id").eqNullSafe(F.col("of"))
-                               & (F.col("tie") == F.col("of_tie"))).select("id", "tie", "body", "asked")
-    contexts = matched.mapInArrow(_contexts, CONTEXTS)
-    tasks = max(1, -(-n_asked // CONTEXTS_PER_TASK))
+def of_document(docs: DataFrame, rows: DataFrame, values: str, how: str) -> DataFrame:
+    """``docs`` with the list of its ``rows (id, tie, ...)`` as a column."""
+    lists = rows.groupBy(F.col("id").alias("of"), F.col("tie").alias("of_tie")).agg(
+        F.collect_list(F.struct(*[c for c in rows.columns if c not in ("id", "tie")])).alias(values))
+    return docs.join(lists, F.col("id").eqNullSafe(F.col("of")) & (F.col("tie") == F.col("of_tie")),
+                     how).select("id", "tie", "body", values)
+
+
+def repeats(docs: DataFrame, limit: int = KEY_LIMIT) -> DataFrame:
+    """Spans ``(id, tie, start, end)`` of repeated bytes of ``narrow`` documents.
+
+    They overlap and may reach over the borders of the text.
+    """
+    rows = docs.where(F.octet_length("body") >= LENGTH).mapInArrow(_anchor_rows, ANCHORS)
+    found = cut(rows.repartition("deal").sortWithinPartitions("key", "ctx").drop("deal")
+                .mapInArrow(_sort_out, FOUND), "anchors")
+    asked = found.where("pos is not null").select("id", "tie", "pos", "key", "single")
+    contexts = of_document(docs, asked, "asked", "inner").mapInArrow(_contexts, CONTEXTS)
+    tasks = max(1, -(-asked.count() // CONTEXTS_PER_TASK))
     hot = asked.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("key")
     hot = cut(hot, "hot-anchors")
     spans = found.where("start is not null").select("id", "tie", "start", "end")
     if hot.isEmpty():
-        spans = spans.unionByName(contexts.repartition(tasks, "key").mapInArrow(_index, SPANS))
-    else:
-        contexts = cut(contexts, "contexts")
-        usual = contexts.join(hot, "key", "left_anti").select(*contexts.columns)
-        spans = spans.unionByName(usual.repartition(tasks, "key").mapInArrow(_index, SPANS))
-        spans = spans.unionByName(_grouped(contexts.join(hot, "key", "left_semi").select(*contexts.columns)))
-    spans = cut(spans, "spans")
-    return spans, spans.count()
+        return spans.unionByName(contexts.repartition(tasks, "key").mapInArrow(_index, SPANS))
+    contexts = cut(contexts, "contexts")
+    usual = contexts.join(hot, "key", "left_anti").select(*contexts.columns)
+    return spans.unionByName(usual.repartition(tasks, "key").mapInArrow(_index, SPANS)).unionByName(
+        _grouped(contexts.join(hot, "key", "left_semi").select(*contexts.columns)))
 
 
 def merged(spans: list[dict], size: int) -> list[tuple[int, int]]:
@@ -406,9 +424,7 @@ def _remove(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.R
 def without_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text",
                     with_text: bool = True, limit: int = KEY_LIMIT) -> DataFrame:
     """``id, n_bytes, n_removed, n_spans, kept_sha256, kept`` per row; ``kept`` are bytes."""
-    spans, n = repeats(df, id_column, text, limit)
-    per_doc = spans.groupBy(F.col("id").alias("of"), F.col("tie").alias("of_tie")).agg(
-        F.collect_list(F.struct("start", "end")).alias("spans"))
-    joined = narrow(df, id_column, text).join(
-        sent(per_doc, n), F.col("id").eqNullSafe(F.col("of")) & (F.col("tie") == F.col("of_tie")), "left")
+    docs = narrow(df, id_column, text)
+    # Both joins of the documents are by the same keys: their texts are shuffled once.
+    joined = of_document(docs, repeats(docs, limit), "spans", "left")
     return joined.select("id", "body", "spans").mapInArrow(lambda b: _remove(b, with_text), REMOVED)
