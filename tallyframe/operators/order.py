@@ -13,7 +13,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import types as T
 
 from tallyframe.functions.columns import finite
 from tallyframe.operators.bins import add_buckets
@@ -23,18 +25,24 @@ QUANTILE_ROWS = 100_000
 MAX_BUCKETS = 4096
 SAMPLED_PER_BUCKET = 400
 SETTLE_ROWS = 50_000
+SETTLE_TEXT = 1000
 
 
-def settle(df: DataFrame, max_rows: int = SETTLE_ROWS) -> DataFrame:
+def settle(df: DataFrame, max_rows: int = SETTLE_ROWS, max_text: int = SETTLE_TEXT) -> DataFrame:
     """Turn a small result into a local relation, whose size the optimizer knows.
 
     Joins against it broadcast by themselves and do not recompute it. A result
-    over ``max_rows`` is returned as it was and joins by shuffling.
+    over ``max_rows``, or with a text of more than ``max_text`` bytes, is returned as it was and
+    joins by shuffling; longer texts are left out while fetching, so what is fetched is bounded.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
+    texts = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    long = F.greatest(F.lit(0), F.lit(0), *[F.octet_length(F.col(f"`{c}`")) for c in texts]) > max_text
+    rows = df.limit(max_rows + 1).select(
+        *[F.when(F.octet_length(F.col(f"`{c}`")) <= max_text, F.col(f"`{c}`")).alias(c) if c in texts
+          else F.col(f"`{c}`") for c in df.columns], long.alias("__long")).toArrow()
+    if rows.num_rows > max_rows or pc.any(rows["__long"]).as_py():
         return df
-    return df.sparkSession.createDataFrame(rows, schema=df.schema)
+    return df.sparkSession.createDataFrame(rows.drop_columns("__long"), schema=df.schema)
 
 
 _ARROW = {"string": pa.string(), "double": pa.float64(), "int": pa.int32(), "bigint": pa.int64()}

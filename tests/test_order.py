@@ -147,3 +147,12 @@ def test_class_weights(spark):
     df = local_rows(spark, [("a",)] * 6 + [("b",)] * 2, {"c": "string"})
     got = {r["class"]: r["weight"] for r in splits.class_weights(df, "c").collect()}
     assert got == {"a": 8 / (2 * 6), "b": 8 / (2 * 2)}
+
+
+def test_settle_leaves_long_texts_where_they_are(spark):
+    from tallyframe.operators.order import settle
+
+    short = spark.range(20).selectExpr("id", "repeat('x', 5) as t")
+    assert settle(short).collect() == short.collect() and settle(short) is not short
+    long = spark.range(20).selectExpr("id", "repeat('x', if(id = 7, 5000, 5)) as t")
+    assert settle(long) is long
