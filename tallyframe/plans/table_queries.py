@@ -60,11 +60,19 @@ def sink_csv_splits(spark, sf):
 
 
 def report_json_roundtrip(spark, sf):
+    """A nested report with a date, a decimal and bytes; a value that came back changed loses its row."""
     rates = quality.null_rates(dirty(spark, sf))
+    stats = F.struct(*[c for c in rates.columns if c != "feature"])
+    extra = F.struct(F.lit("2024-02-01").cast("date").alias("day"), F.expr("12.50BD").alias("cost"),
+                     F.col("feature").cast("binary").alias("raw"), F.array(F.lit(1), F.lit(2)).alias("list"))
+    report = rates.select("feature", stats.alias("stats"), extra.alias("extra"))
     path = io.scratch_path(spark, "report")
-    io.as_document(rates).write.text(path)
+    io.as_document(report).write.text(path)
     docs = spark.read.text(path).withColumnRenamed("value", "document")
-    return io.from_document(docs, rates.schema)
+    back = io.from_document(docs, report.schema).where(
+        "extra.day = date'2024-02-01' and extra.cost = 12.50 and cast(extra.raw as string) = feature "
+        "and extra.list = array(1, 2)")
+    return back.select("feature", "stats.*").select(*rates.columns)
 
 
 def append_report(spark, sf):
