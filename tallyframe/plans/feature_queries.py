@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 
 from tallyframe.functions import columns as fx
 from tallyframe.operators import cleaning, features, profile
@@ -128,10 +129,12 @@ def residual_fill(spark, sf):
 
 
 def assemble_matrix(spark, sf):
+    """The assembled vectors as ``(id, label, position, value)``."""
     state = fitted(spark, sf)
     matrix = state.training_matrix(dirty(spark, sf), ["id"]).where("label is not null")
-    return VectorAssembler(inputCols=state.features, outputCol="features").transform(matrix).select(
-        "id", F.col("label").cast("int").alias("label"), "features")
+    vectors = VectorAssembler(inputCols=state.features, outputCol="features").transform(matrix)
+    return vectors.select("id", F.col("label").cast("int").alias("label"), F.posexplode(
+        vector_to_array("features")).alias("position", "value")).withColumn("value", F.round("value", 6))
 
 
 def feature_transform_fitted(spark, sf):
@@ -234,6 +237,12 @@ ORACLES = {
     "residual_fill": f"""select id, round(coalesce(a, m), 6) as a, cast(0 as double) as b
         from (select id, salary / nullif(loans_txt, 0) as a from {q.CLEAN})
         cross join (select median(salary / nullif(loans_txt, 0)) as m from {q.CLEAN} where {q.TRAIN})""",
+    "assemble_matrix": "select id, cast(code as int) as label, cast(position as int) as position, value from "
+        "(select id, unnest([" + ", ".join(
+            f"round(coalesce(cast({c} as double), 0), 6)" for c in FEATURES)
+        + f"]) as value, unnest(range({len(FEATURES)})) as position from {ENCODED}) join (select id, case label "
+        f"when 'Poor' then 0 when 'Standard' then 1 when 'Good' then 2 end as code from {q.DIRTY}) using (id) "
+        "where code is not null",
     "feature_transform_fitted": "select id, " + ", ".join(
         f"round(coalesce(cast({c} as double), 0), 6) as {c}" for c in FEATURES) + f" from {ENCODED}",
 }
