@@ -6,6 +6,8 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -92,7 +94,8 @@ def _categories(counts: DataFrame, columns: Sequence[str]) -> dict[str, list[str
         found[r["feature"]].append(r["value"])
     for c, values in found.items():
         if len(values) > MAX_CATEGORIES:
-            raise ValueError(f"{c} has too many categories for one column each")
+            raise ValueError(f"{c} has too many categories for one column each; "
+                             "wide_one_hot makes one sparse vector of it")
     return {c: sorted(v) for c, v in found.items()}
 
 
@@ -113,6 +116,18 @@ def one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]], drop_first:
                      *[e.alias(n) for n, e in new.items()])
 
 
+def wide_one_hot(train: DataFrame, columns: Sequence[str]) -> PipelineModel:
+    """Any number of categories: a sparse vector ``<column>_vector`` per column.
+
+    Training categories in alphabetical order; NULL and unseen values are zero everywhere.
+    """
+    index = StringIndexer(inputCols=list(columns), outputCols=[f"{c}_index" for c in columns],
+                          handleInvalid="keep", stringOrderType="alphabetAsc")
+    spread = OneHotEncoder(inputCols=[f"{c}_index" for c in columns],
+                           outputCols=[f"{c}_vector" for c in columns])
+    return Pipeline(stages=[index, spread]).fit(train)
+
+
 def align(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exactly these columns in this order; absent ones are 0."""
     return df.select(*[F.col(f"`{c}`") if c in df.columns else F.lit(0).alias(c) for c in columns])

@@ -157,3 +157,15 @@ def test_quarantine_keeps_every_row(spark):
     assert sorted(r["id"] for r in accepted.collect()) == [1, 4]
     found = {r["id"]: r["violations"] for r in rejected.collect()}
     assert found == {2: ["a: negative"], 3: ["a: not a number", "b: negative"]}
+
+
+def test_wide_one_hot_has_no_limit(spark):
+    from tallyframe.operators import features
+
+    train = spark.range(1500).selectExpr("concat('v', lpad(id, 4, '0')) as c")
+    with pytest.raises(ValueError):
+        features.fit_categories(train, ["c"])
+    model = features.wide_one_hot(train, ["c"])
+    rows = model.transform(spark.createDataFrame([("v0003",), ("new",), (None,)], "c string")).collect()
+    assert [list(r.c_vector.indices) for r in rows] == [[3], [], []]
+    assert rows[0].c_vector.size == 1500
