@@ -86,7 +86,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Record
         nulls = np.array([i is None for i in ids], np.int64)
         known = np.array([0 if i is None else i for i in ids], np.int64)
         head = pack(nulls, known & 0xFFFFFFFF, known >> 32, np.array(sizes), np.array(lengths),
-                    np.concatenate(places), np.concatenate(often))
+                    *_steps(np.array(lengths), np.concatenate(places), np.concatenate(often)))
         yield pa.record_batch([[block], [DOCS_PART], [head]], schema)
 
     def fresh():
@@ -113,6 +113,22 @@ def _blocks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Record
         yield from flush(*state)
 
 
+def _steps(lengths: np.ndarray, places: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ascending order within each document, as steps from one to the next."""
+    doc = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths)
+    order = np.argsort((doc << 32) | places)
+    steps = np.diff(places[order], prepend=0)
+    starts = (np.cumsum(lengths) - lengths)[lengths > 0]
+    steps[starts] = places[order][starts]
+    return steps, often[order]
+
+
+def _places(lengths: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    upto = np.cumsum(steps, dtype=np.int64)
+    before = np.r_[0, upto][np.cumsum(lengths) - lengths]
+    return upto - np.repeat(before, lengths)
+
+
 def hash_of(word: str) -> int:
     import xxhash
 
@@ -163,7 +179,8 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if part != DOCS_PART:
                 found.append(unpack(payload, 2))
                 continue
-            nulls, low, high, sizes, lengths, places, often = unpack(payload, 7)
+            nulls, low, high, sizes, lengths, steps, often = unpack(payload, 7)
+            places = _places(lengths.astype(np.int64), steps)
             table = np.zeros(sum(len(p) for p, _ in found), np.int64)
             for at, n in found:
                 table[at] = n
