@@ -37,6 +37,7 @@ LENGTH, GRAM = 400, 96
 LEFT = LENGTH - GRAM
 KEY_LIMIT = 20_000
 CONTEXTS_PER_TASK = 8_000
+CONTEXTS_PER_BATCH = 1_000
 PIECE = 1 << 18
 
 U = np.uint64
@@ -56,6 +57,13 @@ def _powers(base: int, size: int) -> np.ndarray:
     return np.multiply.accumulate(factors)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, for steps that hold many bytes for each row."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _room(size: int) -> int:
     return max(1 << 20, 1 << (size - 1).bit_length())
 
@@ -234,7 +242,7 @@ CONTEXTS = "key long, id long, tie long, pos long, left int, single boolean, bod
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["key", "id", "tie", "pos", "left", "single", "body"]
-    for batch in batches:
+    for batch in slices(batches, 200):
         rows = []
         for id_, tie, text, asked in zip(*(c.to_pylist() for c in batch.columns)):
             data = text.encode()
@@ -309,9 +317,7 @@ SPANS = "id long, tie long, start long, end long"
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     family, asked, rows = IndexFamily(), [], 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in slices(batches, CONTEXTS_PER_BATCH):
         digest, row, offset = passages(batch)
         family.add(digest, (row + rows) * 512 + offset)
         asked.append(batch.select(["id", "tie", "pos", "single"]))
@@ -334,13 +340,12 @@ def _spans(asked: pa.Table, owners: np.ndarray, rows: int) -> Iterator[pa.Record
 
 
 def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            digest, row, offset = passages(batch)
-            take = pa.array(row)
-            yield pa.record_batch([
-                digest.view(np.int64), *(batch.column(n).take(take) for n in ("id", "tie", "pos")),
-                batch.column("single").take(take), offset], ["digest", "id", "tie", "pos", "single", "offset"])
+    for batch in slices(batches, CONTEXTS_PER_BATCH):
+        digest, row, offset = passages(batch)
+        take = pa.array(row)
+        yield pa.record_batch([
+            digest.view(np.int64), *(batch.column(n).take(take) for n in ("id", "tie", "pos")),
+            batch.column("single").take(take), offset], ["digest", "id", "tie", "pos", "single", "offset"])
 
 
 def _grouped(contexts: DataFrame) -> DataFrame:
@@ -403,7 +408,7 @@ REMOVED = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 stri
 
 
 def _remove(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 500):
         rows = []
         for id_, text, spans in zip(*(c.to_pylist() for c in batch.columns)):
             data = text.encode()
@@ -416,8 +421,7 @@ def _remove(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.R
             rows.append((id_, len(data), len(data) - len(kept), len(gone),
                          hashlib.sha256(kept).hexdigest(), kept if with_text else None))
         types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-        columns = list(zip(*rows)) or [[]] * 6
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)],
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)],
                               ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
