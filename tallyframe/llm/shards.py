@@ -19,14 +19,21 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyframe.llm.storage import cut
 
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
+RUN = 1_000
 
 
 def bucket_plan(rows: DataFrame, seed: int) -> DataFrame:
     """``(_s_bucket, _s_base, _s_order)`` from the buckets of the rows."""
-    counts = rows.groupBy("_s_bucket").agg(F.count("*").alias("n"))
-    before = Window.orderBy("_s_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    based = counts.select("_s_bucket", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_s_base"))
+    counts = rows.groupBy("_s_bucket").agg(F.count("*").alias("n")).withColumn(
+        "run", F.expr(f"_s_bucket div {RUN}"))
+    # Sums of runs of buckets first: the window without partitions sees one row per run.
+    before = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("run").orderBy("_s_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    runs = counts.groupBy("run").agg(F.sum("n").alias("of_run")).select(
+        "run", F.coalesce(F.sum("of_run").over(before), F.lit(0)).alias("of_earlier"))
+    based = counts.join(runs, "run").select("_s_bucket", "n", (
+        F.col("of_earlier") + F.coalesce(F.sum("n").over(within), F.lit(0))).alias("_s_base"))
     # The generator is seeded by partition; a fixed number of sorted partitions fixes the draws.
     dealt = based.repartition(64, "_s_bucket").sortWithinPartitions("_s_bucket")
     return dealt.select("_s_bucket", "_s_base", F.shuffle(
