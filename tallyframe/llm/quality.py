@@ -124,15 +124,15 @@ def adaptive_limits(scored: DataFrame, lang: str = "lang", source: str = "source
     cells = cut(sketch(named, ["_q_lang", "_q_source"]), "sketches")
     fine = limits(cells, ["_q_lang", "_q_source"]).alias("a")
     by_lang = limits(merge(cells, ["_q_lang"]), ["_q_lang"]).alias("b")
-    overall = limits(merge(cells, []).withColumn("_q_all", F.lit(1)), ["_q_all"]).alias("c")
-    joined = (fine.join(by_lang, same(F.col("a._q_lang"), F.col("b._q_lang")))
-              .withColumn("_q_one", F.lit(1)).join(overall, F.col("_q_one") == F.col("c._q_all")))
     names = [f"{side}{m}" for m in MEASURES for side in ("low", "high")]
+    overall = limits(merge(cells, []).withColumn("_q_all", F.lit(1)), ["_q_all"])
+    joined = fine.join(by_lang, same(F.col("a._q_lang"), F.col("b._q_lang"))).withColumn(
+        "c", overall.select(F.struct(*names)).scalar())  # one row, as a value
     return joined.select(
         F.col("a._q_lang"), F.col("a._q_source"),
         *[F.when(F.col("a.size") >= MIN_GROUP, F.col(f"a.{n}"))
           .when(F.col("b.size") >= MIN_GROUP, F.col(f"b.{n}"))
-          .otherwise(F.col(f"c.{n}")).alias(n) for n in names])
+          .otherwise(F.col("c")[n]).alias(n) for n in names])
 
 
 def judge(scored: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
