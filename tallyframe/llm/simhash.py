@@ -192,9 +192,13 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
         "id", "tie", "fp", "component", "root")
 
 
-def keep_first(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component: smallest id, then digest of the text."""
-    marked = near_duplicates(df, id_column, text)
+def keep_first(df: DataFrame, id_column: str = "doc_id", text: str = "text",
+               marked: DataFrame | None = None) -> DataFrame:
+    """One row of each component: smallest id, then digest of the text.
+
+    ``marked (id, tie, root)`` names the components; without it they are those of ``near_duplicates``.
+    """
+    marked = near_duplicates(df, id_column, text) if marked is None else marked
     best = cut(marked.groupBy("root").agg(F.min(F.struct("id", "tie")).alias("best")).select(
         F.col("best.id").alias("_k_id"), F.col("best.tie").alias("_k_tie")), "kept")
     keyed = df.withColumn("_k_text", F.xxhash64(F.col(f"`{text}`")))
