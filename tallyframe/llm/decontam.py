@@ -1,16 +1,16 @@
-"""Documents that hold benchmark items, found by spaced seeds.
+"""Documents that hold benchmark items, found by short runs of equal tokens.
 
-Texts become runs of letters and digits in lower case, each as a 64-bit hash. A mask looks at some
-positions of a window and ignores the others, so a changed word at an ignored place does not
-hide a copy. The hashes of all masked windows of the items are joined to those of the documents;
-a hit fixes how item and document lie against each other, and there the tokens of the whole item
-are compared one by one. A document holds an item if at least ``SIMILARITY`` of its tokens agree.
-Masks and tokens of a document never leave its row: hits are verified where they are found.
+Texts become runs of letters and digits in lower case, each as a 64-bit hash. A document holds an item
+if at least ``SIMILARITY`` of the item's tokens agree on one alignment. So at most ``e`` tokens differ, and
+of ``e + 1`` equal pieces of the item one agrees in full, wherever the others differ: an item's seeds are
+these pieces, of one to four tokens. Items of less than five tokens are one piece, the whole item. The
+hashes of the pieces are joined to those of the documents' windows of the same length; a hit fixes how
+item and document lie against each other, and there the tokens of the whole item are compared one by
+one. Tokens of a document never leave its row: hits are verified where they are found.
 
 The items' seeds are broadcast in blocks of at most ``BLOCK_SEEDS`` rows, whatever the size of
-the benchmark; each block meets all documents. Items with fewer tokens than a mask spans are too
-short to tell and match nothing. Null texts match nothing, null ids are ids, repeated rows give
-one result row, other columns are not read, empty tables give an empty result.
+the benchmark; each block meets all documents. Null texts match nothing, null ids are ids, repeated
+rows give one result row, other columns are not read, empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -22,8 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyframe.llm.columns import fenced
 from tallyframe.llm.storage import cut
 
-#: Places a mask looks at. Both span nine tokens.
-MASKS = ((0, 1, 2, 3, 6, 8), (0, 2, 4, 5, 7, 8))
+#: Items with fewer tokens match nothing by default; ``min_tokens`` lowers it.
 SPAN = 9
 SIMILARITY = 0.8
 BLOCK_SEEDS = 200_000
@@ -35,52 +34,61 @@ def tokens(text: Column) -> Column:
     return F.coalesce(F.transform(found, lambda w: F.xxhash64(w)), F.array().cast("array<bigint>"))
 
 
-def seeds(hashes: str) -> Column:
-    """All masked windows, those of the first mask before those of the second."""
+def _needed(n: str) -> str:
+    """SQL for the number of agreeing tokens that an item of ``n`` tokens needs."""
+    return f"cast(ceil({n} * {SIMILARITY}D - 1e-9) as int)"
+
+
+def _runs(df: DataFrame, hashes: str, length: int) -> DataFrame:
+    """One row per run of ``length`` tokens with its place ``_w_at`` and ``_w_seed``."""
     every = F.col(hashes)
-    starts = F.slice(every, F.lit(1), F.greatest(F.size(every) - (SPAN - 1), F.lit(0)))
+    starts = F.slice(every, F.lit(1), F.greatest(F.size(every) - (length - 1), F.lit(0)))
+    keyed = F.transform(starts, lambda x, i: F.xxhash64(
+        F.lit(length), *[F.get(every, i + place) for place in range(length)]))
+    return df.select("*", F.posexplode(keyed).alias("_w_at", "_w_seed"))
+
+
+def _items(benchmark: DataFrame, item_column: str, item_text: str, min_tokens: int) -> DataFrame:
+    """``(item_id, item, piece, n_pieces)`` of the items that are long enough."""
+    items = benchmark.select(F.col(f"`{item_column}`").alias("item_id"), tokens(F.col(f"`{item_text}`")).alias("item"))
+    pieces = F.expr(f"size(item) - {_needed('size(item)')} + 1")
+    return cut(items.where(F.size("item") >= max(min_tokens, 1)).withColumn("n_pieces", pieces)
+               .withColumn("piece", F.expr("size(item) div n_pieces").cast("int")), "items")
 
-    def masked(number: int, mask: tuple[int, ...]) -> Column:
-        return F.transform(starts, lambda x, i: F.xxhash64(
-            F.lit(number), *[F.get(every, i + place) for place in mask]))
 
-    return F.concat(*[masked(number, mask) for number, mask in enumerate(MASKS)])
+def _documents(df: DataFrame, id_column: str, text: str) -> DataFrame:
+    docs = fenced(df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("body")),
+                  hashes=tokens(F.col("body")), tie=F.xxhash64("body"))
+    return docs.select("id", "tie", "hashes")
 
 
-def _windows(df: DataFrame, hashes: str) -> DataFrame:
-    """One row per masked window with its place ``_w_at`` and ``_w_seed``."""
-    placed = df.select("*", F.posexplode(seeds(hashes)).alias("_w_n", "_w_seed"))
-    width = F.size(hashes) - (SPAN - 1)
-    return placed.withColumn("_w_at", F.when(F.col("_w_n") < width, F.col("_w_n"))
-                             .otherwise(F.col("_w_n") - width)).drop("_w_n")
+def _blocks(items: DataFrame, n_seeds: int) -> list[DataFrame]:
+    """The items by hash in blocks of half ``BLOCK_SEEDS`` seeds on average."""
+    blocks = max(1, -(-2 * n_seeds // BLOCK_SEEDS))
+    return [items.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)) == block) for block in range(blocks)]
 
 
 def leaks(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text",
-          item_column: str = "item_id", item_text: str = "text") -> DataFrame:
+          item_column: str = "item_id", item_text: str = "text", min_tokens: int = SPAN) -> DataFrame:
     """``(id, tie, item_id, n_match, n_tokens, at)``: the best place of each held item.
 
     ``tie`` is a digest of the document's text, for tables whose ids repeat.
     """
-    items = cut(benchmark.select(F.col(f"`{item_column}`").alias("item_id"),
-                                 tokens(F.col(f"`{item_text}`")).alias("item"))
-                .where(F.size("item") >= SPAN), "items")
-    docs = fenced(df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("body")),
-                  hashes=tokens(F.col("body")), tie=F.xxhash64("body"))
-    docs = docs.select("id", "tie", "hashes")
-    largest = items.agg(F.max(F.size("item")).alias("m"), F.sum(F.size("item")).alias("s")).first()
-    # Blocks by hash of the item, small enough that even the fullest keeps to the limit.
-    blocks = max(1, -(-len(MASKS) * 2 * (largest["s"] or 0) // BLOCK_SEEDS))
+    items = _items(benchmark, item_column, item_text, min_tokens)
+    docs = _documents(df, id_column, text)
+    sizes = {r["piece"]: r["s"] for r in items.groupBy("piece").agg(F.sum("n_pieces").alias("s")).collect()}
     found = []
-    for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)) == block)
-        sought = _windows(own, "item").select(
-            F.col("_w_seed").alias("seed"), F.col("_w_at").alias("item_at"), "item_id", "item")
-        hits = _windows(docs, "hashes").join(F.broadcast(sought), F.col("_w_seed") == F.col("seed"))
-        every, start = F.col("hashes"), F.col("_w_at") - F.col("item_at")
-        agreeing = F.size(F.filter("item", lambda x, i: F.get(every, start + i) == x))
-        found.append(hits.select("id", "tie", "item_id", agreeing.cast("long").alias("n_match"),
-                                 F.size("item").cast("long").alias("n_tokens"),
-                                 start.cast("long").alias("at")))
+    for length, n_seeds in sorted(sizes.items()) or [(1, 0)]:
+        for own in _blocks(items.where(F.col("piece") == length), n_seeds):
+            sought = _runs(own, "item", length).where(
+                f"_w_at % {length} = 0 and _w_at < n_pieces * {length}").select(
+                F.col("_w_seed").alias("seed"), F.col("_w_at").alias("item_at"), "item_id", "item")
+            hits = _runs(docs, "hashes", length).join(F.broadcast(sought), F.col("_w_seed") == F.col("seed"))
+            every, start = F.col("hashes"), F.col("_w_at") - F.col("item_at")
+            agreeing = F.size(F.filter("item", lambda x, i: F.get(every, start + i) == x))
+            found.append(hits.select("id", "tie", "item_id", agreeing.cast("long").alias("n_match"),
+                                     F.size("item").cast("long").alias("n_tokens"),
+                                     start.cast("long").alias("at")))
     matches = reduce(DataFrame.unionByName, found).where(
         F.col("n_match") >= F.col("n_tokens") * SIMILARITY)
     return matches.groupBy("id", "tie", "item_id", "n_tokens").agg(
@@ -88,9 +96,10 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text:
 
 
 def without_leaks(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
-                  text: str = "text") -> DataFrame:
+                  text: str = "text", min_tokens: int = SPAN) -> DataFrame:
     """The rows that hold no item."""
-    held = cut(leaks(df, benchmark, id_column, text).select("id", "tie").distinct(), "leaks")
+    held = leaks(df, benchmark, id_column, text, min_tokens=min_tokens).select("id", "tie")
+    held = cut(held.distinct(), "leaks")
     held = held.select(F.col("id").alias("_w_id"), F.col("tie").alias("_w_tie"))
     return df.join(held, F.col(f"`{id_column}`").eqNullSafe(F.col("_w_id"))
                    & (F.xxhash64(F.col(f"`{text}`")) == F.col("_w_tie")), "left_anti")
