@@ -8,6 +8,10 @@ hashes of the pieces are joined to those of the documents' windows of the same l
 item and document lie against each other, and there the tokens of the whole item are compared one by
 one. Tokens of a document never leave its row: hits are verified where they are found.
 
+``excerpts`` finds documents that quote a part of an item, or all of it with words put in or left out.
+There the item's places count that lie in runs of ``RUN`` or more agreeing tokens, united over ``SHIFT + 1``
+neighbouring alignments.
+
 The items' seeds are broadcast in blocks of at most ``BLOCK_SEEDS`` rows, whatever the size of
 the benchmark; each block meets all documents. Null texts match nothing, null ids are ids, repeated
 rows give one result row, other columns are not read, empty tables give an empty result.
@@ -25,6 +29,8 @@ from tallyframe.llm.storage import cut
 #: Items with fewer tokens match nothing by default; ``min_tokens`` lowers it.
 SPAN = 9
 SIMILARITY = 0.8
+#: An excerpt has so many of the item's tokens, or ``SIMILARITY`` of a shorter item, in runs.
+EXCERPT, RUN, SHIFT = 20, 3, 4
 BLOCK_SEEDS = 200_000
 
 
@@ -95,10 +101,40 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text:
         F.max("n_match").alias("n_match"), F.max_by("at", F.struct("n_match", -F.col("at"))).alias("at"))
 
 
+def excerpts(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text",
+             item_column: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``(id, tie, item_id, n_places, n_tokens)``: most places of an item in runs on close alignments."""
+    items = _items(benchmark, item_column, item_text, RUN)
+    docs = _documents(df, id_column, text)
+    n_seeds = items.agg(F.sum(F.size("item"))).first()[0] or 0
+    found = []
+    for own in _blocks(items, n_seeds):
+        sought = _runs(own, "item", RUN).select(
+            F.col("_w_seed").alias("seed"), F.col("_w_at").alias("item_at"), "item_id",
+            F.xxhash64("item").alias("item"), F.size("item").cast("long").alias("n_tokens"))
+        hits = _runs(docs.select("id", "tie", "hashes"), "hashes", RUN).join(
+            F.broadcast(sought), F.col("_w_seed") == F.col("seed"))
+        found.append(hits.select("id", "tie", "item_id", "item", "n_tokens", "item_at",
+                                 (F.col("_w_at") - F.col("item_at")).alias("start")))
+    # A run counts for all alignments that it is at most SHIFT behind.
+    keys = ["id", "tie", "item_id", "item", "n_tokens", "first"]
+    runs = reduce(DataFrame.unionByName, found).select(
+        *keys[:-1], "item_at", F.explode(F.sequence(F.col("start") - SHIFT, F.col("start"))).alias("first"))
+    places = runs.groupBy(*keys).agg(F.collect_set("item_at").alias("runs"))
+    needed = F.least(F.lit(EXCERPT), F.expr(_needed("n_tokens")))
+    places = places.where(F.size("runs") * RUN >= needed)
+    every = F.flatten(F.transform("runs", lambda x: F.sequence(x, x + (RUN - 1))))
+    places = places.withColumn("n_places", F.size(F.array_distinct(every)).cast("long"))
+    return places.where(F.col("n_places") >= needed).groupBy("id", "tie", "item_id", "n_tokens").agg(
+        F.max("n_places").alias("n_places"))
+
+
 def without_leaks(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
-                  text: str = "text", min_tokens: int = SPAN) -> DataFrame:
-    """The rows that hold no item."""
+                  text: str = "text", min_tokens: int = SPAN, with_excerpts: bool = False) -> DataFrame:
+    """The rows that hold no item, nor an excerpt of one if that is asked for."""
     held = leaks(df, benchmark, id_column, text, min_tokens=min_tokens).select("id", "tie")
+    if with_excerpts:
+        held = held.unionByName(excerpts(df, benchmark, id_column, text).select("id", "tie"))
     held = cut(held.distinct(), "leaks")
     held = held.select(F.col("id").alias("_w_id"), F.col("tie").alias("_w_tie"))
     return df.join(held, F.col(f"`{id_column}`").eqNullSafe(F.col("_w_id"))

@@ -22,3 +22,32 @@ def test_all_placements_of_substitutions(spark, prose):
     for least in (decontam.SPAN, 1):
         got = {(r.id, r.item_id) for r in decontam.leaks(df, bench, min_tokens=least).collect()}
         assert got == held_items(docs, [i for i in items if len(i[1].split()) >= least])
+
+
+def quoted(doc, item):
+    """Most places of the item in runs of three equal tokens on five neighbouring alignments."""
+    d, w = doc.lower().split(), item.lower().split()
+    runs = {(p - k, k) for p in range(len(d) - 2) for k in range(len(w) - 2) if d[p:p + 3] == w[k:k + 3]}
+    return max((len({k + j for s, k in runs if first <= s <= first + 4 for j in range(3)}) for first, _ in runs), default=0)
+
+
+def test_excerpts(spark, prose):
+    items = [(k, prose(800 + k, n)) for k, n in enumerate((100, 60, 24, 14, 10, 6, 3, 2))]
+    parts = []
+    for k, t in items:
+        w = t.split()
+        half = len(w) // 2
+        parts += [w[:half], w[half:], w[:19], w[5:25], w[10:80], w[:half] + ["added"] + w[half:],
+                  w[:half] + w[half + 1:], w[:half] + ["a", "b", "c", "d"] + w[half:],
+                  w[:half] + ["many"] * 5 + w[half:], w[half:] + w[:half],
+                  ["other" if k % 5 == 4 else x for k, x in enumerate(w)]]
+    docs = [(k, f"{prose(k, 30)} {' '.join(p)} {prose(-k, 20)}") for k, p in enumerate(parts)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame([*docs, (None, docs[4][1]), (999, None)], "doc_id long, text string")
+    got = {(r.id, r.item_id): r.n_places for r in decontam.excerpts(df, bench).collect() if r.id is not None}
+    places = {(d, i): quoted(t, w) for d, t in docs for i, w in items}
+    need = {i: min(20, -(-4 * len(w.split()) // 5)) for i, w in items}
+    want = {(d, i): n for (d, i), n in places.items() if n >= need[i] and len(items[i][1].split()) > 2}
+    assert got == want and (4, 0) in want and (11 * 3 + 5, 3) in want
+    clean = {r.doc_id for r in decontam.without_leaks(df, bench, with_excerpts=True).collect()}
+    assert not clean & {4, 5, 6, 11 * 3 + 5, None} and 999 in clean
