@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tallyframe.llm import (chat, decontam, mixing, pii, quality, shards, simhash, sql,
-                            suffixes, token_counts, token_store)
+from tallyframe.llm import (chat, decontam, importance, line_quality, mixing, negatives, pii, quality, shards,
+                            simhash, sql, suffixes, token_counts, token_store)
 from tallyframe.llm.storage import shared_path
 
 TOKEN_LIMIT = 4096
@@ -93,6 +93,22 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "item_id", "n_match", "n_tokens")
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", noisy.alias("label"))
+    return negatives.hard_negatives(rows, F.col("id") % 50 == 0)
+
+
+def op13_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -104,6 +120,9 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_importance": op11_importance,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_line_quality": op13_line_quality,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = sql.ORACLES

@@ -91,4 +91,53 @@ where n >= {decontam.SIMILARITY} * size group by doc_id, item_id, size
 """
 
 
-ORACLES = {"op2_chat_format": CHAT, "op6_quality_rules": _quality(), "op10_decontaminate": _leaks()}
+IMPORTANCE = r"""
+with recursive
+-- CRC-32 by its rule: a table of the 256 bytes, then one step per byte of each distinct word
+steps(n, k, c) as (select range, 0, range from range(256) union all
+  select n, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from steps where k < 8),
+bytewise as (select list(c order by n) as t from steps where k = 8),
+texts as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+wanted as (select unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word from benchmark),
+used as (select doc_id, unnest(w) as word from texts),
+words as (select word, hex(encode(word)) as h from (select word from used union select word from wanted)),
+coded as (select word, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(
+    range(1, length(h), 2), lambda i: (16 * (instr('0123456789ABCDEF', h[i]) - 1)
+      + instr('0123456789ABCDEF', h[i + 1]) - 1)::bigint)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 10000 as bucket from words, bytewise),
+source as (select bucket, count(*) as s from used join coded using (word) group by bucket),
+target as (select bucket, count(*) as t from wanted join coded using (word) group by bucket),
+sums as (select (select coalesce(sum(s), 0) from source)::double as n, (select coalesce(sum(t), 0) from target)::double as m),
+gains as (select bucket, floor(1000 * ln((coalesce(t, 0) + 1)::double * (n + 10000)
+    / ((s + 1)::double * (m + 10000))))::bigint as gain from source left join target using (bucket), sums),
+weights as (select doc_id, count(*) as n_features, floor(sum(gain)::double / count(*))::bigint as weight
+  from used join coded using (word) join gains using (bucket) group by doc_id),
+scored as (select doc_id, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[:8])::bigint + 0.5::double) / 4294967296)))::bigint as score
+  from texts left join weights using (doc_id)),
+placed as (select doc_id, row_number() over (order by score desc, doc_id) as rank from scored where n_features >= 20),
+drawn as (select * from placed where rank <= (select count(*) * 10 // 100 from placed))
+select doc_id, n_features, weight, score, rank from scored left join drawn using (doc_id)
+"""
+
+NEGATIVES = """
+with rows as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same,
+    list_dot_product(a.q, b.q)::bigint as score from rows a join rows b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+positives as (select *, row_number() over (partition by anchor_id order by score desc, other) as k
+  from scored where same qualify k <= 5),
+windows as (select p.anchor_id, p.other as positive_id, n.other as negative_id, p.score as positive_score,
+    n.score as negative_score,
+    row_number() over (partition by p.anchor_id, p.other order by n.score desc, n.other) as rank
+  from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
+    and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from windows where rank <= 3
+"""
+
+ORACLES = {"op2_chat_format": CHAT, "op6_quality_rules": _quality(), "op10_decontaminate": _leaks(),
+           "op11_importance": IMPORTANCE, "op12_hard_negatives": NEGATIVES}

