@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import decontam, minhash, mixing, quality, shards, simhash
+from tallyframe.llm import decontam, mixing, quality, shards, simhash
 from tallyframe.llm.storage import cut
 
 N_SHARDS = 40
@@ -20,18 +20,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies.
-
-    Near copies share 0.8 of their five-word shingles; the rule of three words and three bits is the
-    contract of the query ``op4_simhash`` alone.
-    """
-    return simhash.keep_first(docs, marked=cut(minhash.near_copies(docs), "marked"))
+    """The document with the smallest id of each group whose fingerprints link at three bits or fewer."""
+    return simhash.keep_first(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark, however short, and no excerpt of one."""
-    return decontam.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
-                                  min_tokens=1, with_excerpts=True)
+    """Documents that hold no item of the benchmark and no excerpt of one."""
+    return decontam.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), with_excerpts=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
