@@ -75,19 +75,24 @@ from wide
 
 
 def _leaks() -> str:
-    """All alignments of all items, without seeds."""
+    """All alignments of all items of five tokens or more, without seeds; shorter items as whole lines."""
     def tokens(text: str) -> str:
         return rf"regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}]+')"
     return f"""
-with items as (select item_id, w, len(w) as size from (select item_id, {tokens('text')} as w from benchmark)
-  where len(w) >= {decontam.SPAN}),
-asked as (select item_id, size, unnest(w) as token, unnest(range(len(w))) as k from items),
+with items as (select item_id, w, len(w) as size from (select item_id, {tokens('text')} as w from benchmark)),
+asked as (select item_id, size, unnest(w) as token, unnest(range(len(w))) as k from items
+  where size >= {decontam.GROUP}),
 placed as (select doc_id, unnest(w) as token, unnest(range(len(w))) as p
   from (select doc_id, {tokens('text')} as w from documents)),
 lined as (select doc_id, item_id, size, p - k as at, count(*) as n
-  from placed join asked using (token) group by all)
+  from placed join asked using (token) group by all),
+lines as (select doc_id, {tokens('line')} as w
+  from (select doc_id, unnest(string_split(text, chr(10))) as line from documents))
 select doc_id, item_id, max(n) as n_match, cast(size as bigint) as n_tokens from lined
 where n >= {decontam.SIMILARITY} * size group by doc_id, item_id, size
+union all
+select distinct doc_id, item_id, size as n_match, cast(size as bigint) as n_tokens
+from lines join items using (w) where size between 1 and {decontam.GROUP - 1}
 """
 
 

@@ -230,7 +230,7 @@ def test_leaks(spark, odd_docs, no_docs, prose):
     docs += [(70, items[2][1]), (71, " ".join(items[3][1].split()[10:])), (72, items[5][1]), (73, None)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = {(r.id, r.item_id) for r in decontam.leaks(df, bench).collect()}
-    long_enough = [i for i in items if len((i[1] or "").split()) >= decontam.SPAN]
+    long_enough = [i for i in items if len((i[1] or "").split()) >= decontam.GROUP]
     want = held_items(docs, long_enough)
     assert got == want and len(want) > 25
     clean = {r.doc_id for r in decontam.without_leaks(df, bench).collect()}
