@@ -6,16 +6,16 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions import columns as fx
 from tallyframe.operators.cleaning import CleanRules, clean, fit_caps
+from tallyframe.operators.dictionary import Dictionary
 from tallyframe.operators.order import quantile_table, settle
 from tallyframe.sources.tables import scratch_path
 
+#: A column with more values is not spread over columns of its own but kept as one sparse vector.
 MAX_CATEGORIES = 1000
 MIN_VARIANCE = 0.01
 
@@ -83,20 +83,22 @@ def residual_fill(df: DataFrame, medians: Mapping[str, float], columns: Sequence
 def fit_categories(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Sorted training categories. They turn into columns, so their number is checked."""
     cols = [c for c in columns if c in train.columns]
-    return _categories(value_counts(train, cols), cols) if cols else {}
-
-
-def _categories(counts: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    rows = counts.where(F.col("feature").isin(*columns)).select("feature", "value").limit(
-        MAX_CATEGORIES * len(columns) + 1).collect()
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
+    found, wide = _categories(value_counts(train, cols), cols) if cols else ({}, [])
+    if wide:
+        raise ValueError(f"{', '.join(wide)}: too many categories for one column each; "
+                         "wide_one_hot makes one sparse vector of them")
+    return found
+
+
+def _categories(counts: DataFrame, columns: Sequence[str]) -> tuple[dict[str, list[str]], list[str]]:
+    """(values of the columns with few of them, names of the others); only the former are collected."""
+    own = counts.where(F.col("feature").isin(*columns))
+    sizes = {r["feature"]: r["n"] for r in own.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    wide = [c for c in columns if sizes.get(c, 0) > MAX_CATEGORIES]
+    found: dict[str, list[str]] = {c: [] for c in columns if c not in wide}
+    for r in own.where(F.col("feature").isin(*found)).select("feature", "value").collect() if found else []:
         found[r["feature"]].append(r["value"])
-    for c, values in found.items():
-        if len(values) > MAX_CATEGORIES:
-            raise ValueError(f"{c} has too many categories for one column each; "
-                             "wide_one_hot makes one sparse vector of it")
-    return {c: sorted(v) for c, v in found.items()}
+    return {c: sorted(v) for c, v in found.items()}, wide
 
 
 def one_hot_columns(column: str, categories: Sequence[str], drop_first: bool = False
@@ -116,16 +118,12 @@ def one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]], drop_first:
                      *[e.alias(n) for n, e in new.items()])
 
 
-def wide_one_hot(train: DataFrame, columns: Sequence[str]) -> PipelineModel:
-    """Any number of categories: a sparse vector ``<column>_vector`` per column.
+def wide_one_hot(train: DataFrame, columns: Sequence[str]) -> Dictionary:
+    """Any number of categories: its ``transform`` adds a sparse vector ``<column>_vector`` per column.
 
-    Training categories in alphabetical order; NULL and unseen values are zero everywhere.
+    Training categories in the order of their bytes; NULL and unseen values are zero everywhere.
     """
-    index = StringIndexer(inputCols=list(columns), outputCols=[f"{c}_index" for c in columns],
-                          handleInvalid="keep", stringOrderType="alphabetAsc")
-    spread = OneHotEncoder(inputCols=[f"{c}_index" for c in columns],
-                           outputCols=[f"{c}_vector" for c in columns])
-    return Pipeline(stages=[index, spread]).fit(train)
+    return Dictionary.fit(train, columns)
 
 
 def align(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -183,6 +181,7 @@ class FeatureSpec:
     selected: Sequence[str] | None = None
     min_variance: float = MIN_VARIANCE
     label: str | None = None
+    wide: Sequence[str] = ()
 
 
 @dataclass(frozen=True)
@@ -196,6 +195,17 @@ class FittedFeatures:
     categories: dict[str, list[str]] = field(default_factory=dict)
     features: list[str] = field(default_factory=list)
     residual_medians: dict[str, float] = field(default_factory=dict)
+    dictionary: dict | None = None
+
+    @property
+    def wide(self) -> list[str]:
+        """Columns that stay one sparse vector each, ``<column>_vector``."""
+        return list(self.dictionary["sizes"]) if self.dictionary else []
+
+    @property
+    def inputs(self) -> list[str]:
+        """What a model is fitted on, in order: features, then the vectors of wide columns."""
+        return [*self.features, *(f"{c}_vector" for c in self.wide)]
 
     @classmethod
     def fit(cls, train: DataFrame, spec: FeatureSpec) -> "FittedFeatures":
@@ -209,13 +219,15 @@ class FittedFeatures:
         text = [c for c in {*spec.categorical, *spec.one_hot} if c in cleaned.columns]
         counts = settle(value_counts(cleaned, text)) if text else None
         modes = _modes(counts, [c for c in spec.categorical if c in text]) if text else {}
-        categories = _categories(counts, [c for c in spec.one_hot if c in text]) if text else {}
+        categories, wide = _categories(counts, [c for c in spec.one_hot if c in text]) if text else ({}, [])
+        wide = [*wide, *(c for c in spec.wide if c in cleaned.columns and c not in wide)]
         for c in categories:  # a column without any value is filled with its mode ""
             categories[c] = categories[c] or [modes[c]] if c in modes else categories[c]
-        state = cls(spec, caps, fit_medians(cleaned, spec.numeric, rows), modes, categories)
+        coded = asdict(Dictionary.fit(cleaned, wide)) if wide else None
+        state = cls(spec, caps, fit_medians(cleaned, spec.numeric, rows), modes, categories, dictionary=coded)
         derived = state.derive(state.encode(state.impute(cleaned)))
         wanted = spec.selected if spec.selected is not None else derived.columns
-        listed = [c for c in wanted if c in derived.columns and c != spec.label]
+        listed = [c for c in wanted if c in derived.columns and c != spec.label and c not in wide]
         kept = select_by_variance(derived, spec.min_variance, spec.label, columns=listed)
         open_ = [c for c in kept if derived.schema[c].nullable]  # imputed columns never are
         return replace(state, features=kept, residual_medians=fit_medians(derived, open_, rows))
@@ -238,7 +250,7 @@ class FittedFeatures:
         return residual_fill(out, self.residual_medians, self.features)
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        """Scoring-time features in training order, NULLs 0, label dropped. No shuffle.
+        """Scoring-time features in training order, NULLs 0, label dropped. No shuffle, but for wide columns.
 
         ``keep`` names input columns (keys) carried along untouched.
         """
@@ -248,10 +260,19 @@ class FittedFeatures:
         keep = [c for c in keep if c and c in df.columns]
         carried = {f"__keep_{c}": F.col(c) for c in keep if c != self.spec.label}
         cleaned = clean(df.withColumns(carried) if carried else df, self.spec.rules, self.caps)
-        built = self.derive(self.encode(self.impute(cleaned)))
-        return align(built, [*[f"__keep_{c}" if c != self.spec.label else c for c in keep],
-                             *self.features]).withColumnsRenamed(
-            {f"__keep_{c}": c for c in keep})
+        imputed = self.impute(cleaned)
+        if self.dictionary:
+            imputed = imputed.withColumns({f"__wide_{c}": F.col(c) if c in imputed.columns else F.lit(None).cast("string")
+                                           for c in self.wide})
+        built = self.derive(self.encode(imputed))
+        names = [*[f"__keep_{c}" if c != self.spec.label else c for c in keep], *self.features]
+        if not self.dictionary:
+            out = align(built, names)
+        else:
+            coded = Dictionary(**self.dictionary).transform(align(built, [*names, *(f"__wide_{c}" for c in self.wide)]
+                                                                  ).withColumnsRenamed({f"__wide_{c}": c for c in self.wide}))
+            out = coded.drop(*self.wide)
+        return out.withColumnsRenamed({f"__keep_{c}": c for c in keep})
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), sort_keys=False)

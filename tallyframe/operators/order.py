@@ -22,8 +22,11 @@ from tallyframe.operators.bins import add_buckets
 
 ROWS_PER_SORT = 2_000_000
 QUANTILE_ROWS = 100_000
+#: Buckets of one pass. Where these are too wide, those that hold a wanted rank are cut again.
 MAX_BUCKETS = 4096
 SAMPLED_PER_BUCKET = 400
+#: A bucket with so many times the rows of a sort is looked at again.
+WIDE = 4
 SETTLE_ROWS = 50_000
 SETTLE_TEXT = 1000
 
@@ -100,10 +103,12 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         narrow = narrow.dropna(subset=by)
     # Only buckets holding a wanted rank are moved, so there should be many per rank.
     points = cut_points(narrow, columns, rows_per_sort, rows, 16 * len(probs))
-    values = add_buckets(narrow, points).select(*by, F.inline(F.array(*[
-        F.expr(f"named_struct('feature', '{c}', 'x', `{c}`, 'bucket', `bucket_{c}`)")
-        for c in columns]))).where("x is not null")
+    def spread(points: Mapping[str, Sequence[float]]) -> DataFrame:
+        return add_buckets(narrow, points).select(*by, F.inline(F.array(*[
+            F.expr(f"named_struct('feature', '{c}', 'x', `{c}`, 'bucket', `bucket_{c}`)")
+            for c in columns]))).where("x is not null")
 
+    values = spread(points)
     cell = [*by, "feature"]
     ordered = Window.partitionBy(*cell, "bucket").orderBy("x")
     if not any(points.values()):
@@ -111,16 +116,14 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             "*", F.sum("c").over(Window.partitionBy(*cell, "bucket")).alias("n"),
             F.expr("0L").alias("start"))
     else:
-        counts = values.groupBy(*cell, "bucket").agg(F.count("*").alias("in_bucket"))
-        upto = Window.partitionBy(*cell).orderBy("bucket")
-        counts = counts.select(
-            *cell, "bucket",
-            F.sum("in_bucket").over(Window.partitionBy(*cell)).alias("n"),
-            (F.sum("in_bucket").over(upto) - F.col("in_bucket")).alias("start"), "in_bucket")
-        wanted = " or ".join(f"({rank} >= start and {rank} < start + in_bucket)"
-                             for p in probs for rank in _ranks(p))
-        need = settle(counts.where(wanted).drop("in_bucket"))
-        counted = (values.join(need, [*cell, "bucket"])
+        while True:
+            need = _needed(values, cell, probs)
+            more = _finer(values, need, cell, points, rows_per_sort)
+            if not more:
+                break
+            points = {c: sorted({*p, *more.get(c, ())}) for c, p in points.items()}
+            values = spread(points)
+        counted = (values.join(need.drop("in_bucket"), [*cell, "bucket"])
                    .groupBy(*cell, "bucket", "n", "start", "x").agg(F.count("*").alias("c")))
     ranked = counted.select(
         *cell, "n", "x", (F.col("start") + F.sum("c").over(ordered)).alias("hi"), "c",
@@ -147,6 +150,43 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         F.array(*map(F.expr, values)).alias("quantiles"), F.array(*map(F.expr, below)).alias("below"))
 
 
+def _needed(values: DataFrame, cell: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``(*cell, bucket, n, start, in_bucket)`` of the buckets that hold a wanted rank."""
+    counts = values.groupBy(*cell, "bucket").agg(F.count("*").alias("in_bucket"))
+    upto = Window.partitionBy(*cell).orderBy("bucket")
+    counts = counts.select(
+        *cell, "bucket", F.sum("in_bucket").over(Window.partitionBy(*cell)).alias("n"),
+        (F.sum("in_bucket").over(upto) - F.col("in_bucket")).alias("start"), "in_bucket")
+    wanted = " or ".join(f"({rank} >= start and {rank} < start + in_bucket)"
+                         for p in probs for rank in _ranks(p))
+    return settle(counts.where(wanted))
+
+
+def _finer(values: DataFrame, need: DataFrame, cell: Sequence[str], points: Mapping[str, Sequence[float]],
+           limit: int) -> dict[str, list[float]]:
+    """New cut points inside needed buckets with too many different values, none if all are small.
+
+    Repeats of one value are counted in the tasks, so they are no reason to cut.
+    """
+    wide = need.where(F.col("in_bucket") > WIDE * limit)
+    if wide.isEmpty():
+        return {}
+    inside = values.join(wide.select(*cell, "bucket"), [*cell, "bucket"])
+    kinds = inside.groupBy(*cell, "bucket").agg(
+        F.approx_count_distinct("x").alias("kinds"), F.count("*").alias("n")).where(F.col("kinds") > WIDE * limit)
+    crowded = kinds.groupBy("feature", "bucket").agg(F.max("kinds").alias("kinds"), F.sum("n").alias("n")).collect()
+    out: dict[str, list[float]] = {}
+    for r in crowded:
+        pieces = min(MAX_BUCKETS, max(2, -(-2 * r["kinds"] // (WIDE * limit))))
+        rows = inside.where((F.col("feature") == r["feature"]) & (F.col("bucket") == r["bucket"]))
+        part = min(1.0, SAMPLED_PER_BUCKET * pieces / r["n"])
+        shares = [i / pieces for i in range(1, pieces)]
+        # Of the different values of the sample, so that repeats do not take all cuts.
+        cuts = rows.sample(part, 42).select("x").distinct().agg(F.percentile_approx("x", shares, 5 * pieces)).first()[0]
+        out.setdefault(r["feature"], []).extend(x for x in cuts or [] if x not in set(points[r["feature"]]))
+    return {c: p for c, p in out.items() if p}
+
+
 def _position(p: float) -> str:
     return f"(n - 1) * {p!r}D"
 

@@ -24,7 +24,11 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def describe(df: DataFrame, columns: Sequence[str], rows_per_sort: int = QUANTILE_ROWS) -> DataFrame:
-    """``(feature, count, mean, std, min, p25, p50, p75, max)``; exact percentiles."""
+    """``(feature, count, mean, std, min, p25, p50, p75, max)``; exact percentiles.
+
+    NaN and infinite values count as missing everywhere.
+    """
+    df = _finite(df, columns)
     wide = df.agg(*[
         F.expr(f"named_struct('feature', '{c}', 'count', count({c}), 'mean', avg({c}), "
                f"'std', stddev_samp({c}), 'min', cast(min({c}) as double), "
@@ -37,6 +41,13 @@ def describe(df: DataFrame, columns: Sequence[str], rows_per_sort: int = QUANTIL
         "max")
 
 
+def _finite(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """These columns alone; fractions that are NaN or infinite become NULL."""
+    fractions = (T.DoubleType, T.FloatType)
+    return df.select(*[finite(F.col(c).cast("double")).alias(c) if isinstance(df.schema[c].dataType, fractions)
+                       else F.col(c) for c in columns])
+
+
 def top_values(df: DataFrame, columns: Sequence[str], k: int = 15) -> DataFrame:
     """The k most frequent values per column with their share of all rows.
 
@@ -187,7 +198,7 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], rows_per_sort: int = QUA
 
 def variance_rank(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     columns = list(columns or numeric_columns(df))
-    wide = df.agg(*[F.var_samp(F.col(c).cast("double")).alias(c) for c in columns])
+    wide = _finite(df, columns).agg(*[F.var_samp(F.col(c).cast("double")).alias(c) for c in columns])
     return _rows(wide, [f"named_struct('feature', '{c}', 'variance', round(`{c}`, 6))"
                         for c in columns]).orderBy(F.desc("variance"), "feature")
 

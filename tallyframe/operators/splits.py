@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyframe.operators.order import ROWS_PER_SORT, settle
 
+#: Digits by which heads of digests grow, and those of a whole digest.
+HEAD_DIGITS, DIGEST_DIGITS = 3, 32
+
 
 def shuffle_digest(key: str | Column, seed: int) -> Column:
     key = F.col(key) if isinstance(key, str) else key
@@ -24,39 +27,40 @@ def _cut_digests(df: DataFrame, key: str, stratum: str, shares: Sequence[float],
     """``(__stratum, __cut_0, ...)``: digest of the last row of every part but the last.
 
     The cut rank is the cumulative share of the stratum size, rounded half up; an empty
-    part gets "" so that no digest is below it. NULL is a stratum of its own.
+    part gets "" so that no digest is below it. NULL is a stratum of its own. Each rank is looked
+    for among the heads of the digests, then among longer heads inside the one that holds it, until what
+    is left fits one sort of different digests; equal digests are counted in the tasks and never ranked.
     """
     rows = df.select(F.col(stratum).alias("stratum"), shuffle_digest(key, seed).alias("digest"))
-    sizes = rows.groupBy("stratum").agg(F.count("*").alias("n"))
-    # Leading digits share the rows out evenly, so their number bounds the largest sort.
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    digits = 0
-    while digits < 4 and largest > rows_per_sort * 16 ** digits:
-        digits += 1
-    head = F.substring("digest", 1, digits) if digits else F.lit("")
-    rows = rows.withColumn("head", head)
-    upto = Window.partitionBy("stratum").orderBy("head")
-    heads = rows.groupBy("stratum", "head").agg(F.count("*").alias("in_head")).select(
-        "stratum", "head", "in_head",
-        F.sum("in_head").over(Window.partitionBy("stratum")).alias("n"),
-        (F.sum("in_head").over(upto) - F.col("in_head")).alias("start"))
     ranks, done = [], 0.0
     for share in list(shares)[:-1]:
         done = round(done + share, 12)
-        ranks.append(f"cast(floor({done!r}D * n + 0.5D) as bigint)")
-    wanted = " or ".join(f"({r} > start and {r} <= start + in_head)" for r in ranks)
-    border = settle(heads.where(wanted).drop("in_head"))
-    inside = Window.partitionBy("stratum", "head").orderBy("digest")
-    ranked = rows.join(
-        border.withColumnsRenamed({"stratum": "s", "head": "h"}),
-        F.col("stratum").eqNullSafe(F.col("s")) & (F.col("head") == F.col("h")),
-    ).withColumn("rank", F.col("start") + F.row_number().over(inside))
-    cuts = ranked.groupBy("stratum").agg(*[
-        F.expr(f"max(if(rank = {r}, digest, null))").alias(f"cut_{i}")
-        for i, r in enumerate(ranks)])
-    return settle(sizes.select(F.col("stratum").alias("__stratum")).join(
-        cuts, F.col("__stratum").eqNullSafe(F.col("stratum")), "left").select("__stratum", *[
-            F.coalesce(f"cut_{i}", F.lit("")).alias(f"__cut_{i}") for i in range(len(ranks))]))
+        ranks.append(F.expr(f"cast(floor({done!r}D * n + 0.5D) as bigint)"))
+    sizes = rows.groupBy("stratum").agg(F.count("*").alias("n"))
+    wanted = settle(sizes.select("stratum", F.lit("").alias("head"), F.col("n").alias("within"), F.lit(False).alias("one"),
+                                 F.posexplode(F.array(*ranks)).alias("cut", "rank")))
+    digits = 0
+    while digits < DIGEST_DIGITS:
+        largest = wanted.where("not one and rank > 0").agg(F.max("within")).first()[0] or 0
+        step = DIGEST_DIGITS if largest <= rows_per_sort else min(digits + HEAD_DIGITS, DIGEST_DIGITS)
+        inside = rows.withColumn("of", F.substring("digest", 1, digits))
+        if digits:
+            held = wanted.select(F.col("stratum").alias("s"), F.col("head").alias("h")).distinct()
+            inside = inside.join(held, F.col("stratum").eqNullSafe(F.col("s")) & (F.col("of") == F.col("h")), "left_semi")
+        counts = inside.groupBy("stratum", "of", F.substring("digest", 1, step).alias("longer")).agg(
+            F.count("*").alias("c"), (F.min("digest") == F.max("digest")).alias("same"))
+        upto = F.sum("c").over(Window.partitionBy("stratum", "of").orderBy("longer"))
+        counted = counts.select("*", upto.alias("upto"))
+        at = wanted.select(F.col("stratum").alias("s"), "head", "cut", "rank")
+        wanted = settle(counted.join(at, F.col("stratum").eqNullSafe(F.col("s")) & (F.col("of") == F.col("head"))).where(
+            "(rank > upto - c and rank <= upto) or (rank = 0 and upto = c)").select(
+            "stratum", F.col("longer").alias("head"), F.col("c").alias("within"), F.col("same").alias("one"), "cut",
+            F.when(F.col("rank") > 0, F.col("rank") - F.col("upto") + F.col("c")).otherwise(0).alias("rank")))
+        digits = step
+    cuts = wanted.groupBy("stratum").agg(*[F.max(F.when((F.col("cut") == i) & (F.col("rank") > 0), F.col("head")))
+                                           .alias(f"cut_{i}") for i in range(len(ranks))])
+    return settle(cuts.select(F.col("stratum").alias("__stratum"), *[
+        F.coalesce(f"cut_{i}", F.lit("")).alias(f"__cut_{i}") for i in range(len(ranks))]))
 
 
 def stratified_split(df: DataFrame, key: str, stratum: str, parts: dict[str, float],

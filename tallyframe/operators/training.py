@@ -7,14 +7,12 @@ import json
 import random
 import time
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
-                                       LogisticRegressionModel, RandomForestClassificationModel,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import (LogisticRegression, LogisticRegressionModel,
+                                       RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -24,15 +22,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyframe.functions.columns import arg_max
 from tallyframe.operators import metrics as m
+from tallyframe.operators.boosting import BoostedTrees, fit_boosted
+from tallyframe.operators.dictionary import Dictionary
 from tallyframe.operators.features import FittedFeatures
+from tallyframe.operators.isotonic import knots
 from tallyframe.operators.order import local_rows
 from tallyframe.operators.policy import apply_decision, soft_vote
 from tallyframe.operators.splits import (seeded_sample, shuffle_digest, stratified_folds,
                                          with_class_weights)
 
 KINDS = {"logistic": LogisticRegressionModel, "forest": RandomForestClassificationModel,
-         "boosted": GBTClassificationModel}
+         "boosted": BoostedTrees}
 PATIENCE = 30
+NODE_MEMORY_MB = 2048
 
 
 @contextmanager
@@ -53,6 +55,8 @@ class ClassModel:
     models: list
 
     def add_probs(self, df: DataFrame, out: str = "probs") -> DataFrame:
+        if self.kind == "boosted":
+            return self.models[0].add_probs(df, out)
         if len(self.models) == 1:
             scored = self.models[0].transform(df)
             return scored.select(*df.columns, vector_to_array("probability").alias(out))
@@ -108,39 +112,25 @@ def train_logistic(train: DataFrame, c: float = 1.0, iterations: int = 1000) ->
 
 
 def train_forest(train: DataFrame, trees: int = 200, depth: int = 12, min_rows: int = 2,
-                 seed: int = 42) -> ClassModel:
+                 seed: int = 42, memory_mb: int = NODE_MEMORY_MB) -> ClassModel:
+    """``memory_mb`` bounds the sums a task holds: the more, the fewer passes over the rows."""
     model = RandomForestClassifier(
-        labelCol="y_true", weightCol="weight", numTrees=trees, maxDepth=depth,
-        minInstancesPerNode=min_rows, seed=seed).fit(with_class_weights(train, "y_true"))
+        labelCol="y_true", weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=min_rows,
+        seed=seed, maxMemoryInMB=memory_mb).fit(with_class_weights(train, "y_true"))
     return ClassModel("forest", [model])
 
 
 def train_boosted(train: DataFrame, valid: DataFrame | None = None, classes: int = 3,
                   rounds: int = 300, depth: int = 5, rate: float = 0.05, subsample: float = 0.8,
                   seed: int = 42, patience: int = PATIENCE) -> ClassModel:
-    """One binary booster per class with class weights.
+    """One tree per class and round on softmax gradients, with class weights.
 
-    With validation rows a booster keeps the rounds up to the one after which the loss on them
-    does not improve for ``patience`` rounds; the same seed grows the same first trees again.
+    With validation rows growing stops when the loss on them has not improved for ``patience`` rounds,
+    and the rounds up to the best one are kept.
     """
-    target = F.col("y_true")
-    with kept(with_class_weights(train, "y_true")) as held:
-        def fit(k: int):
-            booster = GBTClassifier(
-                labelCol="target", weightCol="weight", maxIter=rounds, maxDepth=depth,
-                stepSize=rate, subsamplingRate=subsample, seed=seed)
-            own = held.withColumn("target", (target == k).cast("int"))
-            model = booster.fit(own)
-            if valid is None:
-                return model
-            losses = model.evaluateEachIteration(valid.withColumns(
-                {"target": (target == k).cast("int"), "weight": F.lit(1.0)}))
-            best = best_round(losses, patience)
-            return model if best == rounds else booster.setMaxIter(best).fit(own)
-
-        with ThreadPoolExecutor(classes) as pool:  # only the driver's calls; Spark runs the fits
-            models = list(pool.map(fit, range(classes)))
-    return ClassModel("boosted", models)
+    model = fit_boosted(with_class_weights(train, "y_true"), valid, classes, rounds, depth, rate, subsample,
+                        seed, patience)
+    return ClassModel("boosted", [model])
 
 
 def best_round(losses: Sequence[float], patience: int) -> int:
@@ -249,9 +239,9 @@ def fit_calibrator(held_out: DataFrame, probs: str = "probs", method: str = "iso
                    classes: int = 3, grid: int | None = None) -> Calibrator:
     """One calibrator per class on rows the scoring model has not seen.
 
-    Equal scores are first grouped with their mean outcome and weight; the isotonic fit then
-    pools neighbours inside each range of scores before it puts the ranges together. With
-    a ``grid`` scores are rounded to its steps first, which bounds the points by ``grid`` + 1.
+    Equal scores are first grouped with their outcomes and weight; neighbours are then pooled inside each
+    range of scores and the ranges merged level by level (``isotonic``), so that the fit itself gets
+    the knots of the curve only. With a ``grid`` scores are rounded to its steps first.
     """
     models = []
     for k in range(classes):
@@ -260,11 +250,10 @@ def fit_calibrator(held_out: DataFrame, probs: str = "probs", method: str = "iso
             .alias("cell"),
             (F.col("y_true") == k).cast("double").alias("hit"))
         if method == "isotonic":
-            points = points.groupBy("cell").agg(F.avg("hit").alias("target"),
-                                                F.count("*").cast("double").alias("weight"))
-            points = points.select(F.col("cell").alias("score"), "target", "weight")
+            points = points.groupBy(F.col("cell").alias("score")).agg(
+                F.sum("hit").alias("total"), F.count("*").cast("double").alias("weight"))
             models.append(IsotonicRegression(featuresCol="score", labelCol="target",
-                                             weightCol="weight").fit(points))
+                                             weightCol="weight").fit(knots(points)))
         else:
             points = points.groupBy("cell", "hit").agg(F.count("*").cast("double").alias("weight"))
             points = points.select(array_to_vector(F.array("cell")).alias("score"),
@@ -324,11 +313,17 @@ def permutation_importance(rows: DataFrame, key: str, model: ClassModel, feature
 
 def save_bundle(spark: SparkSession, path: str, state: FittedFeatures,
                 model: ClassModel | Ensemble) -> None:
-    """Features, models and their order under one folder."""
+    """Features, models, their order and the dictionary of wide columns under one folder."""
+    if state.dictionary:
+        state = replace(state, dictionary=asdict(Dictionary(**state.dictionary).copied(spark, f"{path}/dictionary")))
     members = model.members if isinstance(model, Ensemble) else [model]
     for i, member in enumerate(members):
         for k, fitted in enumerate(member.models):
-            fitted.write().overwrite().save(f"{path}/member-{i}/model-{k}")
+            target = f"{path}/member-{i}/model-{k}"
+            if isinstance(fitted, BoostedTrees):
+                fitted.save(spark, target)
+            else:
+                fitted.write().overwrite().save(target)
     head = json.dumps({"members": [[x.kind, len(x.models)] for x in members]})
     local_rows(spark, [(head,), (state.to_json(),)], {"value": "string"}).coalesce(1).write.mode(
         "overwrite").text(f"{path}/state")
@@ -346,6 +341,6 @@ def load_bundle(spark: SparkSession, path: str) -> tuple[FittedFeatures, ClassMo
 def batch_score(df: DataFrame, state: FittedFeatures, model: ClassModel | Ensemble,
                 keep: Sequence[str]) -> DataFrame:
     """Original key columns, probabilities and decisions of every row, all narrow."""
-    features = VectorAssembler(inputCols=state.features, outputCol="features").transform(
+    features = VectorAssembler(inputCols=state.inputs, outputCol="features").transform(
         state.transform(df, keep)).select(*keep, "features")
     return apply_decision(model.add_probs(features)).drop("features")

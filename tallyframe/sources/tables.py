@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -59,11 +60,16 @@ def from_document(df: DataFrame, schema: T.StructType | str, column: str = "docu
     return df.select(F.from_json(column, schema).alias("r")).select("r.*")
 
 
-def append_report(df: DataFrame, path: str, stamp: str, status: str) -> None:
-    """Append rows stamped with time and overall status, one folder per report date."""
+def append_report(df: DataFrame, path: str, stamp: str, status: str, run_id: str | None = None) -> None:
+    """Append rows stamped with time and overall status, one folder per report date and run.
+
+    A run that is repeated under its id (by default its time stamp) replaces its own folder, so the
+    table holds every run once however often a job is started again.
+    """
+    run_id = stamp if run_id is None else run_id
     (df.withColumns({"timestamp": F.lit(stamp), "overall_status": F.lit(status),
-                     "report_date": F.lit(stamp[:10])})
-     .write.mode("append").partitionBy("report_date").parquet(path))
+                     "report_date": F.lit(stamp[:10]), "run": F.lit(re.sub(r"[^\w.-]", "-", run_id))})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("report_date", "run").parquet(path))
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:

@@ -156,3 +156,57 @@ def test_settle_leaves_long_texts_where_they_are(spark):
     assert settle(short).collect() == short.collect() and settle(short) is not short
     long = spark.range(20).selectExpr("id", "repeat('x', if(id = 7, 5000, 5)) as t")
     assert settle(long) is long
+
+
+@pytest.mark.parametrize("buckets, rows_per_sort", [(4, 5), (3, 20), (8, 2)])
+def test_wanted_buckets_are_cut_again(skewed, monkeypatch, buckets, rows_per_sort):
+    """A pass of very few buckets is refined until sorts are small; a third of the rows share one value."""
+    from tallyframe.operators import order
+
+    monkeypatch.setattr(order, "MAX_BUCKETS", buckets)
+    passes, finer = [], order._finer
+    monkeypatch.setattr(order, "_finer", lambda *a: passes.append(finer(*a)) or passes[-1])
+    df, values, groups = skewed
+    clean = [v for v in values if v is not None and not np.isnan(v)]
+    got = quantile_table(df, ["x"], PROBS, rows_per_sort=rows_per_sort)["x"]
+    assert got == pytest.approx(np.quantile(clean, PROBS)) and len(passes) > 1 and not passes[-1]
+    rows = exact_quantiles(df, ["x"], [0.5], ["g"], rows_per_sort).collect()
+    for r in rows:
+        mine = [v for v, g in zip(values, groups) if g == r["g"] and v is not None and not np.isnan(v)]
+        assert r["quantiles"][0] == pytest.approx(np.median(mine))
+
+
+def test_one_value_is_never_cut(spark, monkeypatch):
+    from tallyframe.operators import order
+
+    monkeypatch.setattr(order, "MAX_BUCKETS", 4)
+    df = frame(spark, [7.0] * 500 + [1.0, 9.0])
+    assert quantile_table(df, ["x"], [0.0, 0.5, 1.0], rows_per_sort=2)["x"] == [1.0, 7.0, 9.0]
+
+
+@pytest.mark.parametrize("rows_per_sort, digits", [(100_000, 3), (40, 1), (3, 1), (3, 2)])
+def test_split_with_a_key_of_a_third_of_the_rows(spark, monkeypatch, rows_per_sort, digits):
+    """Equal keys land together, at the first cut whose rank they reach; the others as if ranked one by one."""
+    import hashlib
+
+    monkeypatch.setattr(splits, "HEAD_DIGITS", digits)
+    keys = [f"k{i}" for i in range(400)] + ["same"] * 200
+    df = local_rows(spark, [(k, ("a", "b", None)[i % 3]) for i, k in enumerate(keys)], {"k": "string", "s": "string"})
+    parts = {"x": 0.5, "y": 0.2, "none": 0.0, "z": 0.3}
+    got = {(r["k"], r["s"], r["split"]) for r in splits.stratified_split(df, "k", "s", parts, 1, rows_per_sort=rows_per_sort).collect()}
+    want = set()
+    for s in ("a", "b", None):
+        own = sorted((hashlib.md5(f"{k}-1".encode()).hexdigest(), k) for i, k in enumerate(keys) if ("a", "b", None)[i % 3] == s)
+        cuts = [own[int(share * len(own) + 0.5) - 1][0] for share in (0.5, 0.7, 0.7)]
+        for digest, k in own:
+            want.add((k, s, next((n for n, c in zip(parts, cuts) if digest <= c), "z")))
+    assert got == want
+
+
+def test_moments_leave_out_what_percentiles_leave_out(spark):
+    from tallyframe.operators import profile
+
+    df = frame(spark, [1.0, 2.0, 3.0, float("nan"), float("inf"), None])
+    row = profile.describe(df, ["x"]).first()
+    assert (row["count"], row["mean"], row["std"], row["min"], row["p50"], row["max"]) == (3, 2.0, 1.0, 1.0, 2.0, 3.0)
+    assert profile.variance_rank(df, ["x"]).first()["variance"] == 1.0
