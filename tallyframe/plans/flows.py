@@ -56,7 +56,7 @@ def train(raw: DataFrame, key: str, group: str, spec: FeatureSpec, contract: qua
     def matrix(part: str, keep: Sequence[str] = ()) -> DataFrame:
         rows = raw_part[part].withColumn("__group", F.col(group)) if keep else raw_part[part]
         return io.cached(raw.sparkSession, f"{path}/{part}", lambda: t.assemble(
-            state.training_matrix(rows, [key, *keep]), state.features, label, [key, *keep]))
+            state.training_matrix(rows, [key, *keep]), state.inputs, label, [key, *keep]))
 
     fit_rows, valid = matrix("train"), matrix("valid")
     ranked, models = t.train_evaluate(
@@ -119,7 +119,7 @@ def score(batch: DataFrame, key: str, trained: Trained, contract: quality.Contra
 def validate(labelled: DataFrame, trained: Trained, forced: bool = False) -> DataFrame:
     """Gate on labelled raw rows, with the caps stored at training time."""
     spec = trained.state.spec
-    rows = t.assemble(trained.state.training_matrix(labelled), trained.state.features, spec.label)
+    rows = t.assemble(trained.state.training_matrix(labelled), trained.state.inputs, spec.label)
     report = m.classification_report(m.with_prediction(trained.model.add_probs(rows)))
     return board.validation_gate(report, forced=forced)
 

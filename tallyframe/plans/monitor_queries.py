@@ -147,6 +147,14 @@ def _known(spark, sf):
     return drift.settle(early.select("event_type").distinct())
 
 
+def heartbeat_silence_stream(spark, sf):
+    """Every source falls silent once the rows have all come in; found by timers, with no further row."""
+    with run.rocksdb_state(spark):
+        found = run.run_until_quiet(run.silence_stream(_stream(spark, sf), "event_type", 1.5), "silences", 8)
+    return found.where("state = 'silent'").select(
+        F.col("source").alias("event_type"), F.date_format("last_seen", "yyyy-MM-dd HH:mm:ss").alias("last_seen"))
+
+
 def input_quality_windows(spark, sf):
     day = F.date_format("ts", "yyyy-MM-dd")
     return mon.input_quality_windows(_events(spark, sf), day, "value", 1, 200, "event_type",
@@ -184,6 +192,7 @@ QUERIES = {
     "p95_from_buckets_5m": p95_from_buckets_5m, "alert_pending_firing": alert_pending_firing,
     "alert_firing_stream": alert_firing_stream, "heartbeat_gap": heartbeat_gap,
     "heartbeat_sessions_stream": heartbeat_sessions_stream,
+    "heartbeat_silence_stream": heartbeat_silence_stream,
     "input_quality_windows": input_quality_windows, "stream_input_quality": stream_input_quality,
     "stream_drift": stream_drift,
 }
@@ -287,6 +296,8 @@ ORACLES = {
         strftime(max(ts) + interval 3600 second, '%Y-%m-%d %H:%M:%S') as silent_from, count(*) as n
       from {SESSIONS} group by event_type, session
       having max(ts) + interval 3600 second <= (select max(ts) - interval 10 minute from events)""",
+    "heartbeat_silence_stream": "select event_type, strftime(max(ts), '%Y-%m-%d %H:%M:%S') as last_seen "
+                                "from events group by event_type",
     "input_quality_windows": _quality_sql(),
     "stream_input_quality": _quality_sql(
         "having date_trunc('day', min(ts)) + interval 1 day <= "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyframe.functions import columns as fx
-from tallyframe.operators import cleaning, quality, splits
+from tallyframe.operators import cleaning, dictionary, quality, splits
 from tallyframe.operators.order import quantile_table
 from tallyframe.plans.presets import DEMO_CONTRACT, DEMO_RULES
 from tallyframe.plans import sql_text as q
@@ -431,9 +431,10 @@ ORACLES = {
     "unseen_categories": _unseen(f"(select * from {PRIORITY} where o_orderdate >= timestamp '1999-01-01')",
                                  f"(select * from {PRIORITY} where o_orderdate < timestamp '1999-01-01')",
                                  ["priority", "o_orderstatus"]),
-    "category_sets": f"""select feature, string_agg(value, '|' order by value) as categories,
-        count(*) as n from (select distinct feature, value
-          from ({q.unpivot(['occupation', 'mix'], q.DIRTY)}) where value is not null) group by feature""",
+    "category_sets": f"""select feature, value,
+        cast(row_number() over (partition by feature order by value) - 1 as integer) as code
+      from (select distinct feature, value
+          from ({q.unpivot(['occupation', 'mix'], q.DIRTY)}) where value is not null)""",
     "input_quality_long": QUALITY,
     "input_quality_alerts": f"""select feature, metric as issue_type, value,
         cast(case when metric = 'missing_rate' then 0.3 else 0 end as double) as threshold,

@@ -25,7 +25,7 @@ def _parts(spark, sf):
     """
     state = fq.fitted(spark, sf)
     matrix = state.training_matrix(dirty(spark, sf), ["id"])
-    rows = t.assemble(matrix, state.features, "label", ["id"])
+    rows = t.assemble(matrix, state.inputs, "label", ["id"])
     path = scratch_path(spark, "matrix")
     splits.stratified_split(rows, "id", "y_true", {"train": 0.8, "valid": 0.2}).write.partitionBy(
         "split").parquet(path)

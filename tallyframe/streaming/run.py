@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from tallyframe.operators.drift import DriftReference, psi_by_window, psi_status
+from tallyframe.operators.training import batch_score, load_bundle
+from tallyframe.sources.registry import RegistryStore
 from tallyframe.sources.tables import scratch_path
 from tallyframe.streaming.monitors import TICK_SECONDS, event_time
 
@@ -163,6 +167,127 @@ def held_alerts_stream(ticks: DataFrame, hold_seconds: int = 120, step: int = TI
         outputMode="append", timeMode="None")
 
 
+# -- sources that fall silent -------------------------------------------------
+
+class SilenceWatch(StatefulProcessor):
+    """One timer per source, set anew by every batch with rows of it.
+
+    It runs on the clock and not on event time, so a source is reported although no row of any
+    source arrives any more. State is one row per source.
+    """
+
+    def __init__(self, limit_ms: int):
+        self.limit_ms = limit_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.heard = handle.getValueState("heard", "newest bigint, due bigint, silent boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        newest, found = int(max(batch["newest"].max() for batch in rows)), []
+        if self.heard.exists():
+            before, due, silent = self.heard.get()
+            newest = max(newest, before)
+            if silent:
+                found.append((key[0], newest, "back"))
+            else:
+                self.handle.deleteTimer(due)
+        due = timerValues.getCurrentProcessingTimeInMs() + self.limit_ms
+        self.handle.registerTimer(due)
+        self.heard.update((newest, due, False))
+        yield _silences(found)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        newest, due, _ = self.heard.get()
+        self.heard.update((newest, due, True))
+        yield _silences([(key[0], newest, "silent")])
+
+    def close(self) -> None:
+        pass
+
+
+def _silences(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["source", "newest", "state"]).astype({"newest": "int64"})
+
+
+def _newest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per source and Arrow batch, so that a busy source is not shuffled row by row."""
+    for batch in batches:
+        found = pa.Table.from_batches([batch]).group_by("source").aggregate([("newest", "max")])
+        yield from found.rename_columns(["source", "newest"]).cast(batch.schema).to_batches()
+
+
+def silence_stream(events: DataFrame, source: str, limit_seconds: float, ts: str = "ts") -> DataFrame:
+    """``(source, last_seen, state)`` from a stream: ``silent`` when no row of a source has arrived for so
+    long by the clock, ``back`` when one arrives after that. Rows without source or time are left out."""
+    rows = events.select(F.col(source).cast("string").alias("source"), F.unix_micros(F.col(ts).cast("timestamp"))
+                         .alias("newest")).dropna()
+    found = rows.mapInArrow(_newest, rows.schema).groupBy("source").transformWithStateInPandas(
+        statefulProcessor=SilenceWatch(int(limit_seconds * 1000)), outputStructType="source string, newest bigint, state string",
+        outputMode="append", timeMode="ProcessingTime")
+    return found.select("source", F.timestamp_micros("newest").alias("last_seen"), "state")
+
+
+def run_until_quiet(df: DataFrame, name: str, quiet_seconds: float, path: str | None = None) -> DataFrame:
+    """Run a stream, empty batches included, until no row has come in for so long; what it appended."""
+    spark = df.sparkSession
+    path = path or scratch_path(spark, name)
+    query = (df.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{path}-checkpoint")
+             .trigger(processingTime="500 milliseconds").start(path))
+    seen, since = -1, time.monotonic()
+    while query.isActive and time.monotonic() - since < quiet_seconds:
+        last = query.lastProgress
+        if last is None or (last["batchId"] > seen and last["numInputRows"] > 0):
+            seen, since = -1 if last is None else last["batchId"], time.monotonic()
+        time.sleep(0.1)
+    failed = query.exception()
+    query.stop()
+    if failed:
+        raise failed
+    return spark.read.schema(df.schema).parquet(path)
+
+
+# -- scoring under the production pointer -------------------------------------
+
+class ProductionModel:
+    """The bundle the registry points at; read again only when the pointer has moved."""
+
+    def __init__(self, store: RegistryStore, name: str):
+        self.store, self.name = store, name
+        self.version: str | None = None
+        self.bundle: tuple = ()
+
+    def current(self) -> tuple:
+        """(version, fitted features, model)."""
+        _, version, path = self.store.production(self.name)
+        if version is None:
+            raise KeyError(f"no version of {self.name} is in production")
+        if version != self.version:
+            self.bundle, self.version = load_bundle(self.store.spark, path), version
+        return (self.version, *self.bundle)
+
+
+def score_following(records: DataFrame, production: ProductionModel, keep: Sequence[str], path: str | None = None,
+                    after: Callable[[int], None] | None = None) -> DataFrame:
+    """Score a stream, each micro-batch under the version in production when it starts.
+
+    A promotion takes over with the next batch, without a restart. Rows carry ``model_version``. A batch that is repeated
+    after a failure replaces what it wrote. ``after`` is called with the number of each finished batch.
+    """
+    spark = records.sparkSession
+    path = path or scratch_path(spark, "scored")
+
+    def save(batch: DataFrame, number: int) -> None:
+        version, state, model = production.current()
+        scored = batch_score(batch, state, model, keep).withColumn("model_version", F.lit(version))
+        scored.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if after:
+            after(number)
+
+    run_batches(records, save, path)
+    return spark.read.parquet(path).drop("batch")
+
+
 # -- drift on streams ---------------------------------------------
 
 def drift_stream(events: DataFrame, ref: DriftReference, length: str = "1 day",

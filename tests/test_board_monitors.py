@@ -218,3 +218,114 @@ def test_sources_and_reports(spark, tmp_path):
     assert calls == [1]
     nested = df.select(F.struct("id", F.struct("t").alias("in")).alias("r"))
     assert io.flatten_struct(nested).columns == ["r.id", "r.in.t"]
+
+
+def test_a_lone_source_that_falls_silent_is_reported(spark, requests, tmp_path):
+    """No row of any source arrives after the first batch: only the clock can tell."""
+    df, folder = requests
+    with run.rocksdb_state(spark):
+        found = run.run_until_quiet(run.silence_stream(stream(spark, folder, df.schema, 8), "source", 1), "silent", 6)
+        states = rows_of(found.groupBy("source", "state").count())
+    assert states == [(s, "silent", 1) for s in sorted({r["source"] for r in df.select("source").distinct().collect()})]
+    newest = {r["source"]: r["m"] for r in df.groupBy("source").agg(F.max("ts").alias("m")).collect()}
+    assert {r["source"]: r["last_seen"] for r in found.collect()} == newest
+
+
+def test_silence_timers(monkeypatch):
+    """A row moves the timer on; after a silence the source is reported back, with its newest time."""
+    import pandas as pd
+
+    class Value:
+        kept = None
+
+        def exists(self):
+            return self.kept is not None
+
+        def get(self):
+            return self.kept
+
+        def update(self, value):
+            self.kept = value
+
+    class Handle:
+        def __init__(self):
+            self.timers = set()
+
+        def getValueState(self, *_):
+            return Value()
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+    class Clock:
+        def __init__(self, now):
+            self.now = now
+
+        def getCurrentProcessingTimeInMs(self):
+            return self.now
+
+    handle, watch = Handle(), run.SilenceWatch(1000)
+    watch.init(handle)
+
+    def rows(now, *newest):
+        out = watch.handleInputRows(("s",), iter([pd.DataFrame({"newest": newest})]), Clock(now))
+        return [tuple(r) for f in out for r in f.itertuples(index=False)]
+
+    assert rows(0, 5, 9) == [] and handle.timers == {1000}
+    assert rows(400, 7) == [] and handle.timers == {1400}
+    handle.timers.clear()
+    fired = [tuple(r) for f in watch.handleExpiredTimer(("s",), Clock(1400), None) for r in f.itertuples(index=False)]
+    assert fired == [("s", 9, "silent")]
+    assert rows(5000, 8) == [("s", 9, "back")] and handle.timers == {6000}
+    assert rows(5500, 20) == [] and handle.timers == {6500}
+
+
+def test_registry_of_two_writers(spark, tmp_path):
+    """A writer that is overtaken between reading and committing starts again; no entry is lost."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tallyframe.sources.registry import RegistryStore
+
+    def entry(name, version, at="2024-01-01"):
+        return spark.createDataFrame([(name, version, f"p/{name}/{version}", {"f1_macro": 0.5}, {}, {}, at, "staging")],
+                                     board.REGISTRY_SCHEMA)
+
+    path = str(tmp_path / "registry")
+    first, second = RegistryStore(spark, path), RegistryStore(spark, path)
+    assert first.state().version == 0 and first.state().entries.count() == 0
+    first.upsert(entry("m", "1"))
+    put, raced = first._put_if_absent, []
+
+    def overtaken(version, text):
+        if not raced:
+            raced.append(second.upsert(entry("m", "2")).version)
+        return put(version, text)
+
+    first._put_if_absent = overtaken
+    assert first.upsert(entry("m", "3")).version == 3 and raced == [2]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: RegistryStore(spark, path).upsert(entry("n", str(k))), range(6)))
+    state = second.state()
+    assert state.version == 9 and {(r.model_name, r.version) for r in state.entries.collect()} == (
+        {("m", str(k)) for k in (1, 2, 3)} | {("n", str(k)) for k in range(6)})
+    assert first.production("m") == (9, None, None)
+    with pytest.raises(KeyError):
+        first.promote("m", "9")
+    first.promote("m", "2")
+    assert second.production("m") == (10, "2", "p/m/2")
+    second.promote("m", "3", demote=True)
+    status = {r.version: r.status for r in first.state().entries.where("model_name = 'm'").collect()}
+    assert first.production("m")[1] == "3" and status == {"1": "staging", "2": "archived", "3": "production"}
+
+
+def test_repeated_runs_do_not_double_reports(spark, tmp_path):
+    df = local_rows(spark, [(1, "a"), (2, "b")], {"id": "bigint", "t": "string"})
+    path = str(tmp_path / "reports")
+    for stamp in ("2024-01-01T00:00:00", "2024-01-01T06:00:00", "2024-01-01T00:00:00"):
+        io.append_report(df, path, stamp, "stable")
+    io.append_report(df.limit(1), path, "2024-01-01T09:00:00", "drift", run_id="2024-01-01T06:00:00")
+    rows = rows_of(spark.read.parquet(path).groupBy("timestamp", "overall_status").count())
+    assert rows == [("2024-01-01T00:00:00", "stable", 2), ("2024-01-01T09:00:00", "drift", 1)]

@@ -169,3 +169,44 @@ def test_wide_one_hot_has_no_limit(spark):
     rows = model.transform(spark.createDataFrame([("v0003",), ("new",), (None,)], "c string")).collect()
     assert [list(r.c_vector.indices) for r in rows] == [[3], [], []]
     assert rows[0].c_vector.size == 1500
+
+
+def test_wide_columns_inside_the_feature_fit(spark, tmp_path):
+    """A column with 100 000 values becomes one sparse vector; new and missing values are zero; bundles carry it."""
+    from tallyframe.operators import features, training
+    from tallyframe.operators.cleaning import CleanRules
+
+    n = 100_000
+    train = spark.range(n).selectExpr("id", "id % 7 as x", "concat('v', lpad(id, 6, '0')) as code",
+                                      "if(id % 2 = 0, 'a', 'b') as few", "cast(id % 3 as int) as label")
+    spec = features.FeatureSpec(CleanRules(), numeric=["x"], categorical=["few"], one_hot=["few", "code"],
+                                drop=["id"], label="label")
+    state = features.FittedFeatures.fit(train, spec)
+    assert state.wide == ["code"] and state.dictionary["sizes"] == {"code": n} and list(state.categories) == ["few"]
+    assert state.inputs == [*state.features, "code_vector"] and "code" not in state.features
+    again = features.FittedFeatures.from_json(state.to_json())
+    asked = spark.createDataFrame([(1, 2, "v000003", "a"), (2, 3, "new", "b"), (3, 4, None, None), (4, 1, "v099999", "c")],
+                                  "id long, x long, code string, few string")
+    for fitted in (state, again):
+        rows = fitted.transform(asked, ["id"]).orderBy("id").collect()
+        assert [list(r.code_vector.indices) for r in rows] == [[3], [], [], [n - 1]] and rows[0].code_vector.size == n
+        assert [r.x for r in rows] == [2.0, 3.0, 4.0, 1.0]
+    known = training.assemble(state.training_matrix(train.where("id < 300"), ["id"]), state.inputs, "label", ["id"])
+    model = training.train_logistic(known, iterations=5)
+    training.save_bundle(spark, str(tmp_path / "b"), state, model)
+    loaded, member = training.load_bundle(spark, str(tmp_path / "b"))
+    assert loaded.dictionary["path"].startswith(str(tmp_path))
+    want = training.batch_score(asked, state, model, ["id"]).select("id", "predicted_class").orderBy("id").collect()
+    assert training.batch_score(asked, loaded, member, ["id"]).select("id", "predicted_class").orderBy("id").collect() == want
+
+
+def test_dictionary_codes(spark):
+    from tallyframe.operators.dictionary import Dictionary
+
+    df = spark.createDataFrame([("b", 3), ("a", 3), (None, 20), ("é", None), ("a", 1), ("B", 100)], "t string, n int")
+    codes = Dictionary.fit(df.repartition(5), ["t", "n"])
+    assert codes.sizes == {"t": 4, "n": 4}
+    assert {(r.feature, r.value): r.code for r in codes.codes(spark).collect()} == {
+        ("t", "B"): 0, ("t", "a"): 1, ("t", "b"): 2, ("t", "é"): 3, ("n", "1"): 0, ("n", "100"): 1, ("n", "20"): 2, ("n", "3"): 3}
+    empty = Dictionary.fit(df.limit(0), ["t"])
+    assert empty.sizes == {"t": 0} and empty.transform(df).count() == 6
