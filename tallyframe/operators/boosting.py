@@ -27,7 +27,7 @@ from tallyframe.functions.columns import finite
 from tallyframe.operators.order import local_rows
 from tallyframe.sources.tables import scratch_path
 
-BINS, BLOCK_ROWS, SNAPSHOT, SAMPLE_ROWS, ROWS_PER_TASK = 64, 32_768, 20, 200_000, 2_000
+BINS, BLOCK_ROWS, SNAPSHOT, SAMPLE_ROWS, ROWS_PER_TASK = 64, 32_768, 20, 200_000, 50_000
 NO_SPLIT = 255
 
 
@@ -277,7 +277,7 @@ def fit_boosted(train: DataFrame, valid: DataFrame | None, classes: int, rounds:
     tasks = max(1, min(spark.sparkContext.defaultParallelism, n_rows // ROWS_PER_TASK))
     tasks = max(tasks, n_rows // 1_000_000)
     both.repartition(tasks).mapInArrow(lambda b: _packed(b, cuts, classes), BLOCKS).write.parquet(f"{path}/0")
-    held = spark.read.parquet(f"{path}/0").persist()
+    held = _held(spark, f"{path}/0", tasks)
     trees, since = Trees.none(classes, depth), Trees.none(classes, depth)
     gains, losses, best = np.zeros(len(cuts)), [], 0
     merging = max(1, min(spark.sparkContext.defaultParallelism, len(cuts) // 8))
@@ -287,7 +287,9 @@ def fit_boosted(train: DataFrame, valid: DataFrame | None, classes: int, rounds:
             leaf = np.zeros((classes, 1 << depth))
             for level in range(depth):
                 job = _Level(since, feature, step, level, turn, seed, subsample, bins)
-                sums = held.mapInArrow(job.sums, "feature int, sums binary").repartition(merging, "feature")
+                sums = held.mapInArrow(job.sums, "feature int, sums binary")
+                if tasks > 1:  # the sums of one task need no exchange
+                    sums = sums.repartition(merging, "feature")
                 answer = {r["feature"]: np.frombuffer(r["sums"], "<f8") for r in sums.sortWithinPartitions("feature")
                           .mapInArrow(lambda b, j=job: j.best(b, penalty, least), "feature int, sums binary").collect()}
                 if level == 0 and valid is not None:
@@ -300,7 +302,7 @@ def fit_boosted(train: DataFrame, valid: DataFrame | None, classes: int, rounds:
             else:
                 trees, since = trees.with_round(feature, step, leaf), since.with_round(feature, step, leaf)
                 if len(since.leaf) == snapshot and turn + 1 < rounds:
-                    held, since = _snapshot(spark, held, since, f"{path}/{turn + 1}", classes, depth)
+                    held, since = _snapshot(spark, held, since, f"{path}/{turn + 1}", classes, depth, tasks)
                 if turn + 1 < rounds or valid is not None:
                     continue
             break
@@ -330,10 +332,16 @@ def _choose(answer: dict[int, np.ndarray], level: int, depth: int, rate: float,
                 leaf[k, 2 * node + 1] = -rate * (s - ls) / (b - lb + penalty) if split else 0.0
 
 
-def _snapshot(spark: SparkSession, held: DataFrame, since: Trees, path: str, classes: int, depth: int
-              ) -> tuple[DataFrame, Trees]:
+def _snapshot(spark: SparkSession, held: DataFrame, since: Trees, path: str, classes: int, depth: int,
+              tasks: int) -> tuple[DataFrame, Trees]:
     blank = np.zeros((classes, (1 << depth) - 1), np.int32)
     job = _Level(since, blank, blank, 0, 0, 0, 1.0, 1)
     held.mapInArrow(job.grown, BLOCKS).write.parquet(path)
     held.unpersist()
-    return spark.read.parquet(path).persist(), Trees.none(classes, depth)
+    return _held(spark, path, tasks), Trees.none(classes, depth)
+
+
+def _held(spark: SparkSession, path: str, tasks: int) -> DataFrame:
+    """The blocks, kept in memory as far as it goes; lost parts are read again."""
+    blocks = spark.read.parquet(path)
+    return (blocks.coalesce(1) if tasks == 1 else blocks).persist()

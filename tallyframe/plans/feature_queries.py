@@ -29,8 +29,9 @@ def _clean(spark, sf):
     return cleaning.clean(raw, DEMO_RULES).withColumnRenamed("key", "id")
 
 
-def fitted(spark, sf):
-    return features.FittedFeatures.fit(_train(dirty(spark, sf)), DEMO_SPEC)
+def fitted(spark, sf, raw=None):
+    """State of the training rows; ``raw`` is the demo view where it is written already."""
+    return features.FittedFeatures.fit(_train(dirty(spark, sf) if raw is None else raw), DEMO_SPEC)
 
 
 def safe_ratio_features(spark, sf):

@@ -26,15 +26,18 @@ def _parts(spark, sf):
     """(state, train rows, validation rows), assembled, keyed by id.
 
     The matrix is a written table: iterative fits read it again and again, also after an
-    executor is lost.
+    executor is lost. So are the raw rows, which the feature fit and the matrix both read.
     """
-    state = fq.fitted(spark, sf)
-    matrix = state.training_matrix(dirty(spark, sf), ["id"])
-    rows = t.assemble(matrix, state.inputs, "label", ["id"])
     path = scratch_path(spark, "matrix")
-    parts = splits.stratified_split(rows, "id", "y_true", {"train": 0.8, "valid": 0.2})
-    parts.repartition(spark.sparkContext.defaultParallelism).write.partitionBy("split").parquet(path)
-    split = spark.read.parquet(path)
+    dirty(spark, sf).write.parquet(f"{path}/raw")
+    raw = spark.read.parquet(f"{path}/raw")
+    state = fq.fitted(spark, sf, raw)
+    t.assemble(state.training_matrix(raw, ["id"]), state.inputs, "label", ["id"]).repartition(
+        spark.sparkContext.defaultParallelism).write.parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
+    splits.stratified_split(rows, "id", "y_true", {"train": 0.8, "valid": 0.2}).write.partitionBy(
+        "split").parquet(f"{path}/split")
+    split = spark.read.parquet(f"{path}/split")
     return (state, split.where("split = 'train'").drop("split"),
             split.where("split = 'valid'").drop("split"))
 
@@ -95,7 +98,7 @@ FAMILIES = [
 def param_search_cv(spark, sf):
     """Trials per family and rung, the rows of the last rung, and whether the best trial was finished."""
     _, train, _ = _parts(spark, sf)
-    (family, params), trials = search.halving_search(train, "id", FAMILIES, trials=6)
+    (family, params), trials = search.halving_search(train, "id", FAMILIES, trials=6, parallelism=4)
     best = (F.col("model") == family) & (F.col("params") == json.dumps(params, sort_keys=True)) & (F.col("state") == "finished")
     top = trials.agg(F.bool_or(best & (F.col("value") >= 0))).scalar()
     return trials.groupBy("model", "rung").agg(

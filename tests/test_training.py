@@ -84,10 +84,11 @@ def plain_booster(x, y, w, cuts, classes, rounds, depth, rate):
     return margins
 
 
-@pytest.mark.parametrize("snapshot", [20, 2])
-def test_boosted_trees_are_those_of_all_splits(spark, snapshot):
+@pytest.mark.parametrize("snapshot, rows_per_task", [(20, 50_000), (2, 60)])
+def test_boosted_trees_are_those_of_all_splits(spark, monkeypatch, snapshot, rows_per_task):
     from tallyframe.operators import boosting
 
+    monkeypatch.setattr(boosting, "ROWS_PER_TASK", rows_per_task)
     rng = np.random.default_rng(8)
     y = rng.integers(0, 3, 300)
     x = np.stack([y + rng.normal(0, 0.8, 300), np.round(rng.normal(0, 1, 300), 1), rng.integers(0, 3, 300) * 1.0], axis=1)
