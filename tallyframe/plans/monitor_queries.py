@@ -150,7 +150,7 @@ def _known(spark, sf):
 def heartbeat_silence_stream(spark, sf):
     """Every source falls silent once the rows have all come in; found by timers, with no further row."""
     with run.rocksdb_state(spark):
-        found = run.run_until_quiet(run.silence_stream(_stream(spark, sf), "event_type", 1.5), "silences", 8)
+        found = run.run_until_quiet(run.silence_stream(_stream(spark, sf), "event_type", 1.5), "silences", 15)
     return found.where("state = 'silent'").select(
         F.col("source").alias("event_type"), F.date_format("last_seen", "yyyy-MM-dd HH:mm:ss").alias("last_seen"))
 
