@@ -5,8 +5,9 @@ cues. At each anchor a small deterministic parser moves outwards to the borders
 validates it. The kinds ``email, ip, card, phone`` are the leftmost non-overlapping matches of their
 grammars; a match that fails its check (parts over 255, Luhn, number of digits) is dropped
 and not tried again at another place. The method adds ``login`` (an address with user and password
-in front of the host), ``iban`` (after its cue, valid by its check digits) and ``ssn`` (after its
-cue, in the form and the ranges that are given out).
+in front of the host), ``iban`` (after its cue, valid by its check digits), ``ssn`` (after its
+cue, in the form and the ranges that are given out) and ``secret`` (what is assigned to a name such as
+token or api_key: 16 or more characters without a blank, a digit among them).
 
 Positions count code points, ends are exclusive. A null text counts as empty; repeated rows and
 null ids get a row each; an empty table has an empty result; other columns are not read.
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "login", "iban", "ssn")
+KINDS = (*BASE, "login", "iban", "ssn", "secret")
 
 ALNUM = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 DIGITS = frozenset("0123456789")
@@ -31,9 +32,14 @@ LABEL = frozenset(ALNUM + "-")
 DIALLED = frozenset("0123456789 ().-")
 SCHEMES = ("http://", "https://", "ftp://", "ftps://", "ssh://")
 CUES = {"iban": ("IBAN", "Iban", "iban"),
-        "ssn": ("SSN", "ssn", "Social Security Number", "social security number")}
+        "ssn": ("SSN", "ssn", "Social Security Number", "social security number"),
+        "secret": ("token", "Token", "TOKEN", "secret", "Secret", "SECRET", "api_key", "API_KEY", "apikey",
+                   "password", "Password", "PASSWORD")}
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 SSN = re.compile(r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9])")
+#: The sign of assignment behind a cue, and the value.
+ASSIGNED = re.compile(r"""["']?[\x20]?[:=][\x20]?["']?""")
+SECRET = re.compile(r"(?=[A-Za-z0-9+/_=.-]*[0-9])[A-Za-z0-9+/_=.-]{16,}")
 #: Characters that may stand between a cue and its value.
 GAP = re.compile(r"[\x20:#=]{0,4}")
 
@@ -185,6 +191,12 @@ def spans(text: str, machine) -> list[tuple[str, int, int]]:
             if at >= free["login"] and (got := login_at(text, at, last + 1)):
                 free["login"] = got[1]
                 found["login"].append(got)
+        elif kind == "secret":
+            sign = ASSIGNED.match(text, last + 1)
+            match = SECRET.match(text, sign.end()) if sign and last + 1 >= free[kind] else None
+            if match:
+                free[kind] = match.end()
+                found[kind].append(match.span())
         elif last + 1 >= free[kind]:
             value = GAP.match(text, last + 1).end()
             match = SSN.match(text, value) if kind == "ssn" else None
@@ -200,7 +212,7 @@ def written(found: list[tuple[str, int, int]]) -> str:
 
 
 COLUMNS = ("id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
-           "spans string")
+           "spans string, n_spans long")
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,16 +223,16 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             every = spans(text.as_py() or "", machine)
             base = [s for s in every if s[0] in BASE]
             out.append((*(sum(s[0] == kind for s in base) for kind in BASE),
-                        hashlib.sha256(written(base).encode()).hexdigest(), written(every)))
-        columns = list(zip(*out)) or [[] for _ in range(6)]
+                        hashlib.sha256(written(base).encode()).hexdigest(), written(every), len(every)))
+        columns = list(zip(*out)) or [[] for _ in range(7)]
         yield pa.record_batch([
             batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:4]),
-            *(pa.array(c, pa.string()) for c in columns[4:])],
-            ["id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+            *(pa.array(c, pa.string()) for c in columns[4:6]), pa.array(columns[6], pa.int64())],
+            ["id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans"])
 
 
 def personal_data(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Counts of the base kinds, their digest, and all spans as ``kind:start:end,...``."""
+    """Counts of the base kinds, their digest, all spans as ``kind:start:end,...``, and how many these are."""
     return df.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`")
                      .alias("text")).mapInArrow(_find, COLUMNS)
 

@@ -153,6 +153,9 @@ def test_added_spans():
     assert kinds("IBAN: DE89 3704 0044 0532 0130 00 ok") == [("iban", "DE89 3704 0044 0532 0130 00")]
     assert kinds("IBAN DE88 3704 0044 0532 0130 00") == []
     assert kinds("SSN 123-45-6789, ssn#987-65-4321") == [("ssn", "123-45-6789")]
+    assert kinds('token = "908038b7daaf91e730d2f64001c52934d43d9336"!! API_KEY: abcdefgh12345678') == [
+        ("secret", "908038b7daaf91e730d2f64001c52934d43d9336"), ("secret", "abcdefgh12345678")]
+    assert kinds("the token was found, password=short1, secret = withoutanydigitatall, tokens 12345678901234567890") == []
 
 
 def test_personal_data(spark, odd_docs, no_docs):
