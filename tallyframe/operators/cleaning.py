@@ -72,12 +72,9 @@ def fit_caps(train: DataFrame, rules: CleanRules, rows: int | None = None) -> di
     wanted = {c: q for c, q in rules.quantile_caps.items() if c in train.columns}
     if not wanted:
         return {}
-    cleaned = clean(train.select(*wanted), rules)
-    caps: dict[str, float] = {}
-    for q in sorted(set(wanted.values())):
-        cols = [c for c in wanted if wanted[c] == q]
-        caps.update({c: v[0] for c, v in quantile_table(cleaned, cols, [q], rows=rows).items()})
-    return caps
+    levels = sorted(set(wanted.values()))
+    found = quantile_table(clean(train.select(*wanted), rules), list(wanted), levels, rows=rows)
+    return {c: v[levels.index(wanted[c])] for c, v in found.items()}
 
 
 def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -45,10 +45,11 @@ class DriftReference:
 
     @classmethod
     def fit(cls, reference: DataFrame, columns: Sequence[str], bins: int = 10,
-            rows_per_sort: int = QUANTILE_ROWS) -> "DriftReference":
+            rows_per_sort: int = QUANTILE_ROWS, rows: int | None = None) -> "DriftReference":
         """Edges are quantiles, so their ranks already tell how many values each bin holds."""
         edges, shares = {}, {}
-        for c, (n, below) in quantile_ranks(reference, columns, even_edges(bins), rows_per_sort).items():
+        ranks = quantile_ranks(reference, columns, even_edges(bins), rows_per_sort, rows)
+        for c, (n, below) in ranks.items():
             if len(below) >= 2:
                 edges[c] = sorted(below)
                 upto = [below[e] for e in edges[c][:-1]] + [n]
@@ -131,12 +132,28 @@ def psi_numeric(current: DataFrame, ref: DriftReference, by: Sequence[str] = ())
     return psi_from_counts(bin_counts(current, ref.edges, by), ref, by)
 
 
-def psi_categorical(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+def side_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]
+                ) -> tuple[tuple[int, int], dict[str, tuple[int, int]]]:
+    """Rows of both sides, and the values of each column on both, in one aggregate."""
+    def flags(df: DataFrame, side: int) -> DataFrame:
+        return df.select(F.lit(side).alias("__ref"), *[F.isnotnull(c).alias(c) for c in columns])
+
+    row = flags(reference, 1).unionByName(flags(current, 0)).agg(
+        F.sum("__ref").alias("__rows"), F.sum(1 - F.col("__ref")).alias("__others"),
+        *[F.count_if(F.col(c) & (F.col("__ref") == side)).alias(f"{c}_{side}")
+          for c in columns for side in (1, 0)]).first()
+    return (row["__rows"] or 0, row["__others"] or 0), {c: (row[f"{c}_1"], row[f"{c}_0"]) for c in columns}
+
+
+def psi_categorical(reference: DataFrame, current: DataFrame, columns: Sequence[str],
+                    totals: Mapping[str, tuple[int, int]] | None = None) -> DataFrame:
     """``(feature, psi)`` over the union of both category sets.
 
     Both sides meet in one aggregate keyed by category, which is the full outer join
-    of two counts with one shuffle less.
+    of two counts with one shuffle less. ``totals``: values of both sides, where they are known.
     """
+    totals = side_counts(reference, current, columns)[1] if totals is None else totals
+
     def long(df: DataFrame, side: int) -> DataFrame:
         text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
         return (text.unpivot([], list(columns), "feature", "value")
@@ -144,15 +161,13 @@ def psi_categorical(reference: DataFrame, current: DataFrame, columns: Sequence[
 
     counts = (long(reference, 1).unionByName(long(current, 0)).groupBy("feature", "value")
               .agg(F.sum("is_ref").alias("e_n"), F.sum(1 - F.col("is_ref")).alias("a_n")))
-    totals = settle(counts.groupBy("feature").agg(F.sum("e_n").alias("e_all"),
-                                                  F.sum("a_n").alias("a_all")))
 
-    def share(n: str, whole: str) -> Column:
-        return F.coalesce(F.col(n) / F.nullif(F.col(whole), F.lit(0)), F.lit(0.0)) + EPSILON
+    def share(n: str, side: int) -> Column:
+        whole = _literal_map({c: F.lit(t[side]).cast("long") for c, t in totals.items()})
+        return F.coalesce(F.col(n) / F.nullif(F.element_at(whole, F.col("feature")), F.lit(0)), F.lit(0.0)) + EPSILON
 
-    e, a = share("e_n", "e_all"), share("a_n", "a_all")
-    return (counts.join(totals, "feature").groupBy("feature")
-            .agg(F.round(F.sum((a - e) * F.ln(a / e)), 6).alias("psi")))
+    e, a = share("e_n", 0), share("a_n", 1)
+    return counts.groupBy("feature").agg(F.round(F.sum((a - e) * F.ln(a / e)), 6).alias("psi"))
 
 
 def psi_table(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None,
@@ -163,21 +178,21 @@ def psi_table(reference: DataFrame, current: DataFrame, columns: Sequence[str] |
     numeric = [c for c in columns if is_numeric(reference.schema[c])]
     text = [c for c in columns if c not in numeric]
     spark = reference.sparkSession
-    wanted = local_rows(spark, [(c, None if c in numeric else 0.0) for c in columns],
-                        {"feature": "string", "empty": "double"})
-    parts = []
-    if numeric:
-        ref = DriftReference.fit(reference, numeric, bins, rows_per_sort)
-        if ref.edges:
-            parts.append(psi_numeric(current, ref).select("feature", "psi"))
+    (rows, others), totals = side_counts(reference, current, text)
+    compared = numeric if others else []  # nothing to compare with an empty table
+    ref = DriftReference.fit(reference, compared, bins, rows_per_sort, rows) if compared else DriftReference({}, {})
+    # A column that cannot be compared has a row of its own.
+    other = [c for c in numeric if c not in ref.edges]
+    parts = [local_rows(spark, [(c, None) for c in other] + [(c, 0.0) for c in text if not sum(totals[c])],
+                        {"feature": "string", "psi": "double"})]
+    if ref.edges:
+        parts.append(psi_by_window(current, ref, [], list(ref.edges)).select("feature", "psi"))
     if text:
-        parts.append(psi_categorical(reference, current, text))
-    found = local_rows(spark, [], {"feature": "string", "psi": "double"})
-    for part in parts:
+        parts.append(psi_categorical(reference, current, text, totals))
+    found = parts[0]
+    for part in parts[1:]:
         found = found.unionByName(part)
-    psi = F.coalesce("psi", "empty")
-    return wanted.join(found, "feature", "left").select(
-        "feature", psi.alias("psi"), psi_status(psi).alias("status"))
+    return found.select("feature", "psi", psi_status(F.col("psi")).alias("status"))
 
 
 def psi_summary(table: DataFrame) -> DataFrame:
@@ -220,9 +235,12 @@ def drift_report(reference: DataFrame | None, current: DataFrame, window: str =
 
 
 def drift_by_window(reference: DataFrame, current: DataFrame, window: Column,
-                    columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """PSI per window and column against one frozen reference, "unknown" where it has no value."""
-    ref = DriftReference.fit(reference, columns, bins)
+                    columns: Sequence[str], bins: int = 10, rows: int | None = None) -> DataFrame:
+    """PSI per window and column against one frozen reference, "unknown" where it has no value.
+
+    ``rows``: at least as many as the reference has, where that is known.
+    """
+    ref = DriftReference.fit(reference, columns, bins, rows=rows)
     psi = psi_by_window(current.withColumn("monitoring_window", window), ref,
                         ["monitoring_window"], columns)
     return psi.select("monitoring_window", "feature", "n", "psi",

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions import columns as fx
-from tallyframe.operators.cleaning import CleanRules, clean, fit_caps
+from tallyframe.operators.cleaning import CleanRules, clean
 from tallyframe.operators.dictionary import Dictionary
-from tallyframe.operators.order import quantile_table, settle
+from tallyframe.operators.order import quantile_table, rank_neighbours, settle
 from tallyframe.sources.tables import scratch_path
 
 #: A column with more values is not spread over columns of its own but kept as one sparse vector.
@@ -39,6 +39,40 @@ def fit_medians(train: DataFrame, columns: Sequence[str], rows: int | None = Non
     return {c: v[0] for c, v in found.items()}
 
 
+def fit_caps_and_medians(train: DataFrame, rules: CleanRules, columns: Sequence[str]
+                         ) -> tuple[int, dict[str, float], dict[str, float]]:
+    """Rows, caps of cleaned rows, and medians of the rows they cap, from one set of order statistics.
+
+    A cap keeps the order, so the two values next to a median are capped instead of all rows. NaN
+    and infinity are above every cap: a column that has some is looked at again after capping.
+    """
+    cleaned = clean(train, rules)
+    capped = {c: q for c, q in rules.quantile_caps.items() if c in cleaned.columns}
+    middle = [c for c in columns if c in cleaned.columns]
+    floats = [c for c in capped if isinstance(cleaned.schema[c].dataType, (T.DoubleType, T.FloatType))]
+    row = cleaned.agg(F.count("*").alias("__rows"), *[
+        F.count_if(F.col(c).isNotNull() & fx.finite(c).isNull()).alias(c) for c in floats]).first()
+    rows, wanted = row["__rows"], list(dict.fromkeys([*capped, *middle]))
+    levels = [0.5, *sorted(set(capped.values()) - {0.5})]
+    found = rank_neighbours(cleaned, wanted, levels, rows=rows) if wanted else {}
+    caps = {}
+    for c in capped:
+        if c in found:
+            a, b, share, _ = found[c][1][levels.index(capped[c])]
+            caps[c] = a + (b - a) * share
+    medians = {}
+    for c in middle:
+        if c in found:
+            a, b, share, _ = found[c][1][0]
+            if c in caps and not isinstance(cleaned.schema[c].dataType, T.StringType):
+                a, b = min(a, caps[c]), min(b, caps[c])
+            medians[c] = a + (b - a) * share
+    endless = [c for c in floats if row[c] and c in middle]
+    if endless:
+        medians.update(fit_medians(clean(train, rules, caps), endless, rows))
+    return rows, caps, medians
+
+
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     return (texts.unpivot([], list(columns), "feature", "value")
@@ -61,6 +95,23 @@ def _modes(counts: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {c: found.get(c, "") for c in columns}
 
 
+def modes_and_categories(counts: DataFrame, modes: Sequence[str], categories: Sequence[str]
+                         ) -> tuple[dict[str, str], dict[str, list[str]], list[str]]:
+    """Modes, values of the columns with few of them, and names of the columns with many.
+
+    A small table of counts is fetched once, for both; a large one is reduced where it lies.
+    """
+    small = settle(counts)
+    if small is counts:
+        return _modes(counts, modes), *_categories(counts, categories)
+    seen: dict[str, list[tuple[int, str]]] = {}
+    for r in small.collect():
+        seen.setdefault(r["feature"], []).append((-r["n"], r["value"]))
+    wide = [c for c in categories if len(seen.get(c, ())) > MAX_CATEGORIES]
+    return ({c: min(seen[c])[1] if c in seen else "" for c in modes},
+            {c: sorted(v for _, v in seen.get(c, ())) for c in categories if c not in wide}, wide)
+
+
 def fill(df: DataFrame, values: Mapping[str, float | str]) -> DataFrame:
     """Replace NULLs by fitted values; numbers come out as doubles."""
     out = {}
@@ -208,23 +259,26 @@ class FittedFeatures:
         return [*self.features, *(f"{c}_vector" for c in self.wide)]
 
     @classmethod
-    def fit(cls, train: DataFrame, spec: FeatureSpec) -> "FittedFeatures":
-        """Training rows are written once; all passes read that table, not their source."""
-        path = scratch_path(train.sparkSession, "fit")
-        train.write.parquet(path)
-        train = train.sparkSession.read.parquet(path)
-        rows = train.count()
-        caps = fit_caps(train, spec.rules, rows)
+    def fit(cls, train: DataFrame, spec: FeatureSpec, written: bool = False) -> "FittedFeatures":
+        """Training rows are written once; all passes read that table, not their source.
+
+        ``written`` says that ``train`` is read from a table as it is.
+        """
+        if not written:
+            path, schema = scratch_path(train.sparkSession, "fit"), train.schema
+            train.write.parquet(path)
+            train = train.sparkSession.read.schema(schema).parquet(path)
+        rows, caps, medians = fit_caps_and_medians(train, spec.rules, spec.numeric)
         cleaned = clean(train, spec.rules, caps)
         text = [c for c in {*spec.categorical, *spec.one_hot} if c in cleaned.columns]
-        counts = settle(value_counts(cleaned, text)) if text else None
-        modes = _modes(counts, [c for c in spec.categorical if c in text]) if text else {}
-        categories, wide = _categories(counts, [c for c in spec.one_hot if c in text]) if text else ({}, [])
+        modes, categories, wide = modes_and_categories(
+            value_counts(cleaned, text), [c for c in spec.categorical if c in text],
+            [c for c in spec.one_hot if c in text]) if text else ({}, {}, [])
         wide = [*wide, *(c for c in spec.wide if c in cleaned.columns and c not in wide)]
         for c in categories:  # a column without any value is filled with its mode ""
             categories[c] = categories[c] or [modes[c]] if c in modes else categories[c]
         coded = asdict(Dictionary.fit(cleaned, wide)) if wide else None
-        state = cls(spec, caps, fit_medians(cleaned, spec.numeric, rows), modes, categories, dictionary=coded)
+        state = cls(spec, caps, medians, modes, categories, dictionary=coded)
         derived = state.derive(state.encode(state.impute(cleaned)))
         wanted = spec.selected if spec.selected is not None else derived.columns
         listed = [c for c in wanted if c in derived.columns and c != spec.label and c not in wide]

@@ -10,6 +10,8 @@ never correctness. Small inputs use a single bucket.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
@@ -21,7 +23,7 @@ from tallyframe.functions.columns import finite
 from tallyframe.operators.bins import add_buckets
 
 ROWS_PER_SORT = 2_000_000
-QUANTILE_ROWS = 100_000
+QUANTILE_ROWS = 1_000_000
 #: Buckets of one pass. Where these are too wide, those that hold a wanted rank are cut again.
 MAX_BUCKETS = 4096
 SAMPLED_PER_BUCKET = 400
@@ -86,16 +88,13 @@ def cut_points(df: DataFrame, columns: Sequence[str], rows_per_sort: int = ROWS_
     return {c: sorted(set(row[c] or [])) for c in columns}
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), rows_per_sort: int = QUANTILE_ROWS,
-                    rows: int | None = None) -> DataFrame:
-    """Linear-interpolation quantiles of many columns, per group.
+def _near_ranks(df: DataFrame, columns: Sequence[str], probs: Sequence[float], names: Sequence[str],
+                rows_per_sort: int, rows: int | None) -> DataFrame:
+    """``(*by, feature, n, x, hi, c, lo)`` of the values next to a wanted rank, a few for each.
 
-    One row per group and column that has any value: ``(*by, feature, n,
-    quantiles, below)`` in the order of ``probs``; ``below`` is the number of values
-    smaller than the quantile. NULL, NaN and infinite values and NULL groups are left out.
+    ``lo`` values are smaller than ``x`` and ``hi`` are not larger. Groups are called ``__by_0``, ...
     """
-    names, columns, probs = list(by), list(columns), [float(p) for p in probs]
+    columns = list(columns)
     by = [f"__by_{i}" for i in range(len(names))]
     narrow = df.select(*[F.col(b).alias(a) for a, b in zip(by, names)],
                        *[finite(F.col(c).cast("double")).alias(c) for c in columns])
@@ -103,6 +102,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         narrow = narrow.dropna(subset=by)
     # Only buckets holding a wanted rank are moved, so there should be many per rank.
     points = cut_points(narrow, columns, rows_per_sort, rows, 16 * len(probs))
+
     def spread(points: Mapping[str, Sequence[float]]) -> DataFrame:
         return add_buckets(narrow, points).select(*by, F.inline(F.array(*[
             F.expr(f"named_struct('feature', '{c}', 'x', `{c}`, 'bucket', `bucket_{c}`)")
@@ -117,8 +117,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             F.expr("0L").alias("start"))
     else:
         while True:
-            need = _needed(values, cell, probs)
-            more = _finer(values, need, cell, points, rows_per_sort)
+            need, widest = _needed(values, cell, probs)
+            more = _finer(values, need, cell, points, rows_per_sort) if widest > WIDE * rows_per_sort else {}
             if not more:
                 break
             points = {c: sorted({*p, *more.get(c, ())}) for c, p in points.items()}
@@ -130,12 +130,27 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     ).withColumn("lo", F.expr("hi - c"))
 
     # Few rows hold a wanted rank. A loose test on the rank share drops the others
-    # cheaply; the aggregate then decides exactly.
-    near = add_buckets(
+    # cheaply; who reads the rest decides exactly.
+    return add_buckets(
         ranked.withColumns({"u": F.expr("(lo - 2) / nullif(n - 1, 0)"),
                             "v": F.expr("(hi + 1) / nullif(n - 1, 0)")}),
         {"u": sorted(set(probs)), "v": sorted(set(probs))}, "near_",
-    ).where("n = 1 or near_v > near_u")
+    ).where("n = 1 or near_v > near_u").select(*cell, "n", "x", "hi", "c", "lo")
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                    by: Sequence[str] = (), rows_per_sort: int = QUANTILE_ROWS,
+                    rows: int | None = None) -> DataFrame:
+    """Linear-interpolation quantiles of many columns, per group.
+
+    One row per group and column that has any value: ``(*by, feature, n,
+    quantiles, below)`` in the order of ``probs``; ``below`` is the number of values
+    smaller than the quantile. NULL, NaN and infinite values and NULL groups are left out.
+    """
+    names, probs = list(by), [float(p) for p in probs]
+    near = _near_ranks(df, columns, probs, names, rows_per_sort, rows)
+    by = [f"__by_{i}" for i in range(len(names))]
+    cell = [*by, "feature"]
     picked = near.groupBy(*cell, "n").agg(*[
         F.expr(f"max(case when {rank} >= lo and {rank} < hi then x end)").alias(f"{side}{i}")
         for i, p in enumerate(probs) for side, rank in zip("ab", _ranks(p))], *[
@@ -150,27 +165,48 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         F.array(*map(F.expr, values)).alias("quantiles"), F.array(*map(F.expr, below)).alias("below"))
 
 
-def _needed(values: DataFrame, cell: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """``(*cell, bucket, n, start, in_bucket)`` of the buckets that hold a wanted rank."""
+def _needed(values: DataFrame, cell: Sequence[str], probs: Sequence[float]) -> tuple[DataFrame, int]:
+    """``(*cell, bucket, n, start, in_bucket)`` of the buckets that hold a wanted rank, and the largest of them.
+
+    Without groups the bucket counts are as few as the cut points, and are summed up on the driver.
+    """
     counts = values.groupBy(*cell, "bucket").agg(F.count("*").alias("in_bucket"))
+    if list(cell) == ["feature"]:
+        found: dict[str, list[tuple[int, int]]] = {}
+        for r in counts.collect():
+            found.setdefault(r["feature"], []).append((r["bucket"], r["in_bucket"]))
+        kept = [row for c, sizes in found.items() for row in _holders(c, sorted(sizes), probs)]
+        return local_rows(values.sparkSession, kept, {
+            "feature": "string", "bucket": "int", "n": "bigint", "start": "bigint",
+            "in_bucket": "bigint"}), max((r[-1] for r in kept), default=0)
     upto = Window.partitionBy(*cell).orderBy("bucket")
     counts = counts.select(
         *cell, "bucket", F.sum("in_bucket").over(Window.partitionBy(*cell)).alias("n"),
         (F.sum("in_bucket").over(upto) - F.col("in_bucket")).alias("start"), "in_bucket")
     wanted = " or ".join(f"({rank} >= start and {rank} < start + in_bucket)"
                          for p in probs for rank in _ranks(p))
-    return settle(counts.where(wanted))
+    need = settle(counts.where(wanted))
+    return need, need.agg(F.max("in_bucket")).first()[0] or 0
+
+
+def _holders(feature: str, sizes: Sequence[tuple[int, int]], probs: Sequence[float]) -> list[tuple]:
+    """Rows of :func:`_needed` for one column from its ascending ``(bucket, count)``."""
+    n, start, kept = sum(k for _, k in sizes), 0, []
+    ranks = sorted({int(f((n - 1) * p)) for p in probs for f in (math.floor, math.ceil)})
+    for bucket, k in sizes:
+        if bisect_left(ranks, start) < bisect_left(ranks, start + k):
+            kept.append((feature, bucket, n, start, k))
+        start += k
+    return kept
 
 
 def _finer(values: DataFrame, need: DataFrame, cell: Sequence[str], points: Mapping[str, Sequence[float]],
            limit: int) -> dict[str, list[float]]:
-    """New cut points inside needed buckets with too many different values, none if all are small.
+    """New cut points inside needed buckets with too many different values, none if there is no such bucket.
 
     Repeats of one value are counted in the tasks, so they are no reason to cut.
     """
     wide = need.where(F.col("in_bucket") > WIDE * limit)
-    if wide.isEmpty():
-        return {}
     inside = values.join(wide.select(*cell, "bucket"), [*cell, "bucket"])
     kinds = inside.groupBy(*cell, "bucket").agg(
         F.approx_count_distinct("x").alias("kinds"), F.count("*").alias("n")).where(F.col("kinds") > WIDE * limit)
@@ -195,19 +231,48 @@ def _ranks(p: float) -> tuple[str, str]:
     return f"floor({_position(p)})", f"ceil({_position(p)})"
 
 
+def rank_neighbours(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                    rows_per_sort: int = QUANTILE_ROWS, rows: int | None = None
+                    ) -> dict[str, tuple[int, list[tuple[float, float, float, int]]]]:
+    """Per column with a value: the number of values, and ``(lower, upper, share, below)`` per quantile.
+
+    The quantile lies ``share`` of the way from the lower to the upper of two neighbouring values;
+    ``below`` values are smaller than it. A few values per rank reach the driver.
+    """
+    found: dict[str, list] = {}
+    for r in _near_ranks(df, columns, [float(p) for p in probs], (), rows_per_sort, rows).collect():
+        found.setdefault(r["feature"], []).append((r["lo"], r["hi"], r["x"], r["n"]))
+    out = {}
+    for c, near in found.items():
+        n, picked = near[0][-1], []
+
+        def at(rank: int) -> tuple:
+            return next(r for r in near if r[0] <= rank < r[1])
+
+        for p in probs:
+            position = (n - 1) * float(p)
+            (lo, hi, a, _), b = at(math.floor(position)), at(math.ceil(position))[2]
+            share = position - math.floor(position)
+            picked.append((a, b, share, hi if a + (b - a) * share > a else lo))
+        out[c] = n, picked
+    return out
+
+
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                    rows_per_sort: int = QUANTILE_ROWS, rows: int | None = None
                    ) -> dict[str, list[float]]:
-    """Ungrouped :func:`exact_quantiles` on the driver: one short list per column."""
-    found = exact_quantiles(df, columns, probs, rows_per_sort=rows_per_sort, rows=rows)
-    return {r["feature"]: list(r["quantiles"]) for r in found.collect()}
+    """Ungrouped quantiles on the driver: one short list per column."""
+    found = rank_neighbours(df, columns, probs, rows_per_sort, rows)
+    return {c: [a + (b - a) * share for a, b, share, _ in picked] for c, (_, picked) in found.items()}
 
 
 def quantile_ranks(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                   rows_per_sort: int = QUANTILE_ROWS) -> dict[str, tuple[int, dict[float, int]]]:
+                   rows_per_sort: int = QUANTILE_ROWS, rows: int | None = None
+                   ) -> dict[str, tuple[int, dict[float, int]]]:
     """Per column its number of values, and how many are below each quantile."""
-    found = exact_quantiles(df, columns, probs, rows_per_sort=rows_per_sort)
-    return {r["feature"]: (r["n"], dict(zip(r["quantiles"], r["below"]))) for r in found.collect()}
+    found = rank_neighbours(df, columns, probs, rows_per_sort, rows)
+    return {c: (n, {a + (b - a) * share: below for a, b, share, below in picked})
+            for c, (n, picked) in found.items()}
 
 
 def running_counts(dist: DataFrame, curve: Sequence[str], score: str, measures: Sequence[str],

@@ -127,18 +127,19 @@ def alert_rules(spark, sf):
     f1 = m.performance_stability(predicted, "period").select(
         F.lit("f1_macro").alias("metric"), F.col("period").alias("feature"),
         (F.col("f1_macro") - 0.1).alias("value"))
-    latency = table(spark, sf, "events").select(
+    events = table(spark, sf, "events")
+    rows = events.count()
+    latency = events.select(
         F.date_format("ts", "yyyy-MM-dd").alias("day"), (F.col("value") * 4).alias("latency"))
-    p95 = exact_quantiles(latency, ["latency"], [0.95], ["day"]).select(
+    p95 = exact_quantiles(latency, ["latency"], [0.95], ["day"], rows=rows).select(
         F.lit("p95_latency_ms").alias("metric"), F.col("day").alias("feature"),
         F.get("quantiles", F.lit(0)).alias("value"))
     missing = null_rates(dirty(spark, sf).withColumn("half", F.expr("if(id % 2 = 0, id, null)"))
                          ).select(F.lit("missing_rate").alias("metric"), "feature",
                                   F.col("missing_rate").alias("value"))
-    psi = dq.q_drift_by_window(spark, sf).groupBy("feature").agg(F.max("psi").alias("value")).select(
+    psi = dq.drift_of_events(events, rows).groupBy("feature").agg(F.max("psi").alias("value")).select(
         F.lit("psi_max").alias("metric"), "feature", "value")
-    rows = board.union_all([f1, p95, missing, psi])
-    return board.alert_rules(rows).withColumn("value", F.round("value", 6))
+    return board.alert_rules(board.union_all([f1, p95, missing, psi])).withColumn("value", F.round("value", 6))
 
 
 QUERIES = {

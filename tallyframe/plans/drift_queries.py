@@ -62,11 +62,15 @@ def with_odd_columns(events):
 
 
 def q_drift_by_window(spark, sf):
-    events = with_odd_columns(table(spark, sf, "events"))
+    return drift_of_events(table(spark, sf, "events"))
+
+
+def drift_of_events(events, rows=None):
+    events = with_odd_columns(events)
     cut = F.lit("2024-01-11").cast("timestamp_ntz")
     day = F.date_format("ts", "yyyy-MM-dd")
     return drift.drift_by_window(events.where(F.col("ts") < cut), events.where(F.col("ts") >= cut),
-                                 day, WINDOW_COLUMNS)
+                                 day, WINDOW_COLUMNS, rows=rows)
 
 
 def _edges_sql(x: str) -> str:

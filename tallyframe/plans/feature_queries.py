@@ -13,6 +13,7 @@ from tallyframe.operators.order import quantile_table
 from tallyframe.plans import sql_text as q
 from tallyframe.plans.presets import DEMO_RULES, DEMO_SPEC
 from tallyframe.plans.views import dirty
+from tallyframe.sources.tables import scratch_path
 
 NUMERIC = list(DEMO_SPEC.numeric)
 CATEGORICAL = list(DEMO_SPEC.categorical)
@@ -23,15 +24,23 @@ def _train(df):
     return df.where(q.TRAIN)
 
 
-def _clean(spark, sf):
+def _clean(spark, sf, raw=None):
     """Cleaned, uncapped rows with their key."""
-    raw = dirty(spark, sf).withColumn("key", F.col("id"))
+    raw = (dirty(spark, sf) if raw is None else raw).withColumn("key", F.col("id"))
     return cleaning.clean(raw, DEMO_RULES).withColumnRenamed("key", "id")
 
 
+def written_dirty(spark, sf):
+    """The demo view as a table, for queries that fit on it and then apply the fit to it."""
+    view, path = dirty(spark, sf), scratch_path(spark, "dirty")
+    view.write.parquet(path)
+    return spark.read.schema(view.schema).parquet(path)
+
+
 def fitted(spark, sf, raw=None):
     """State of the training rows; ``raw`` is the demo view where it is written already."""
-    return features.FittedFeatures.fit(_train(dirty(spark, sf) if raw is None else raw), DEMO_SPEC)
+    train = _train(dirty(spark, sf) if raw is None else raw)
+    return features.FittedFeatures.fit(train, DEMO_SPEC, written=raw is not None)
 
 
 def safe_ratio_features(spark, sf):
@@ -53,7 +62,7 @@ def feature_registry(spark, sf):
 
 
 def median_impute(spark, sf):
-    c = _clean(spark, sf)
+    c = _clean(spark, sf, written_dirty(spark, sf))
     medians = features.fit_medians(_train(c), [*NUMERIC, "absent"])
     return features.fill(c, medians).select("id", *[F.round(n, 4).alias(n) for n in NUMERIC])
 
@@ -139,8 +148,9 @@ def assemble_matrix(spark, sf):
 
 
 def feature_transform_fitted(spark, sf):
-    state = fitted(spark, sf)
-    out = state.transform(dirty(spark, sf), ["id"])
+    raw = written_dirty(spark, sf)
+    state = fitted(spark, sf, raw)
+    out = state.transform(raw, ["id"])
     return out.select("id", *[F.round(f"`{c}`", 6).alias(c) for c in state.features])
 
 

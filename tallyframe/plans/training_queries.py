@@ -29,8 +29,7 @@ def _parts(spark, sf):
     executor is lost. So are the raw rows, which the feature fit and the matrix both read.
     """
     path = scratch_path(spark, "matrix")
-    dirty(spark, sf).write.parquet(f"{path}/raw")
-    raw = spark.read.parquet(f"{path}/raw")
+    raw = fq.written_dirty(spark, sf)
     state = fq.fitted(spark, sf, raw)
     t.assemble(state.training_matrix(raw, ["id"]), state.inputs, "label", ["id"]).repartition(
         spark.sparkContext.defaultParallelism).write.parquet(f"{path}/rows")

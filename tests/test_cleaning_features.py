@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions import columns as fx
-from tallyframe.operators import cleaning, features, quality
+from tallyframe.operators import cleaning, drift, features, quality
 from tallyframe.operators.order import local_rows
 from tallyframe.plans import presets
 
@@ -210,3 +210,38 @@ def test_dictionary_codes(spark):
         ("t", "B"): 0, ("t", "a"): 1, ("t", "b"): 2, ("t", "é"): 3, ("n", "1"): 0, ("n", "100"): 1, ("n", "20"): 2, ("n", "3"): 3}
     empty = Dictionary.fit(df.limit(0), ["t"])
     assert empty.sizes == {"t": 0} and empty.transform(df).count() == 6
+
+
+def test_caps_and_medians_of_capped_rows(spark):
+    """One set of order statistics gives what two fits in turn give, also with infinity in a column."""
+    df = spark.sql("""select cast(id as double) as a, if(id % 4 = 0, double('infinity'), id * 2D) as b,
+        if(id < 2, id * 99D, null) as few, cast(id % 5 as int) as plain, cast(id as string) as text from range(41)""")
+    rules = cleaning.CleanRules(digits=["text"], quantile_caps={"a": 0.9, "b": 0.25, "few": 0.99, "text": 0.4, "gone": 0.5})
+    columns = ["a", "b", "few", "plain", "text", "gone"]
+    rows, caps, medians = features.fit_caps_and_medians(df, rules, columns)
+    assert rows == 41
+    assert caps == cleaning.fit_caps(df, rules)
+    assert medians == features.fit_medians(cleaning.clean(df, rules, caps), columns)
+    assert medians["few"] == (0 + caps["few"]) / 2
+
+
+def test_modes_and_categories_small_and_large(spark, monkeypatch):
+    df = spark.createDataFrame([("x", None), ("y", "k"), ("y", "k"), ("x", "m"), (None, "n")], "p string, q string")
+    counts = features.value_counts(df, ["p", "q"])
+    small = features.modes_and_categories(counts, ["p", "q", "z"], ["p", "q", "z"])
+    assert small == ({"p": "x", "q": "k", "z": ""}, {"p": ["x", "y"], "q": ["k", "m", "n"], "z": []}, [])
+    monkeypatch.setattr(features, "MAX_CATEGORIES", 2)
+    assert features.modes_and_categories(counts, [], ["p", "q"]) == ({}, {"p": ["x", "y"]}, ["q"])
+    monkeypatch.setattr(features, "settle", lambda df: df)
+    assert features.modes_and_categories(counts, ["q"], ["p", "q"]) == ({"q": "k"}, {"p": ["x", "y"]}, ["q"])
+
+
+def test_psi_rows_without_a_counterpart(spark):
+    """An empty current side, columns without values and constants all keep their row."""
+    df = spark.sql("select cast(id as double) as a, 1D as same, cast(null as double) as gone, "
+                   "cast(id % 3 as string) as t, cast(null as string) as empty from range(30)")
+    names = ["a", "same", "gone", "t", "empty"]
+    whole = {r["feature"]: r["psi"] for r in drift.psi_table(df, df, names).collect()}
+    assert whole == {"a": 0.0, "same": None, "gone": None, "t": 0.0, "empty": 0.0}
+    bare = {r["feature"]: r["psi"] for r in drift.psi_table(df, df.where("a < 0"), names).collect()}
+    assert set(bare) == set(names) and bare["a"] is None and bare["empty"] == 0.0 and bare["t"] > 1

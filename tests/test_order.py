@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tallyframe.operators import splits
+from tallyframe.operators import order, splits
 from tallyframe.operators.bins import OUTSIDE, add_bins
 from tallyframe.operators.order import (cut_points, exact_quantiles, local_rows, quantile_table,
                                         running_best, running_counts, settle)
@@ -210,3 +210,19 @@ def test_moments_leave_out_what_percentiles_leave_out(spark):
     row = profile.describe(df, ["x"]).first()
     assert (row["count"], row["mean"], row["std"], row["min"], row["p50"], row["max"]) == (3, 2.0, 1.0, 1.0, 2.0, 3.0)
     assert profile.variance_rank(df, ["x"]).first()["variance"] == 1.0
+
+
+def test_driver_ranks_equal_grouped_ones(spark):
+    """The two ways to a quantile agree, with one bucket, many buckets and buckets cut again."""
+    df = spark.range(3000).select(
+        F.expr("if(id % 3 = 0, 7D, cast(pmod(id * 7919, 3001) as double) / 8)").alias("x"),
+        F.expr("if(id % 50 = 0, null, cast(id % 4 as double))").alias("y"),
+        F.expr("if(id = 5, 2.5D, null)").alias("one"), F.lit(None).cast("double").alias("none"), F.lit(1).alias("g"))
+    columns, probs = ["x", "y", "one", "none"], [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    for limit in (10_000, 500, 5):
+        grouped = {r["feature"]: (r["n"], r["quantiles"], r["below"])
+                   for r in order.exact_quantiles(df, columns, probs, ["g"], limit).collect()}
+        found = order.rank_neighbours(df, columns, probs, limit)
+        assert {c: (n, [a + (b - a) * s for a, b, s, _ in p], [k for *_, k in p])
+                for c, (n, p) in found.items()} == grouped
+        assert set(grouped) == {"x", "y", "one"}
