@@ -50,13 +50,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), shared_path(spark, "shards")
+    shards.write_shards(shards.shard(docs, N_SHARDS, ["doc_id", "text"]), path)
     text = F.coalesce("text", F.lit(""))
-    rows = table(spark, sf_dir, "documents").select(
+    return shards.read_shards(spark, path, docs.schema).select(
         "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
-        F.crc32(text).cast("long").alias("text_crc32"))
-    return shards.shard(rows, N_SHARDS, ["doc_id", "text_crc32", "size"]).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("_s_shard").alias("shard"),
-        F.col("_s_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+        F.crc32(text).cast("long").alias("text_crc32"), F.lit("rows").alias("law"),
+        F.col("_s_shard").alias("shard"), F.col("_s_slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,8 @@ with ``_s``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tallyframe.llm.storage import cut
 
@@ -61,3 +62,9 @@ def shard(df: DataFrame, shards: int, keys: list[str], seed: int = 20_240_229,
 def write_shards(sharded: DataFrame, path: str) -> None:
     """One folder per shard, straight from the buckets; rows carry their slot."""
     sharded.write.partitionBy("_s_shard").parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
+    """The rows of written shards with ``_s_shard`` and ``_s_slot``; ``columns`` are those of the table."""
+    added = StructType([*columns.fields, StructField("_s_slot", LongType()), StructField("_s_shard", IntegerType())])
+    return spark.read.schema(added).parquet(path)

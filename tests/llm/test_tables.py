@@ -211,6 +211,16 @@ def test_shards(odd_docs, no_docs, spark):
     assert shards.shard(no_docs, 40, ["doc_id"]).count() == 0
 
 
+def test_read_shards(spark, odd_docs, no_docs, tmp_path):
+    """What is read back is what was dealt, also for an empty table and clashing columns."""
+    for k, df in enumerate((odd_docs, no_docs)):
+        rows = shards.shard(df, 3, ["doc_id", "text"])
+        shards.write_shards(rows, str(tmp_path / str(k)))
+        back = shards.read_shards(spark, str(tmp_path / str(k)), df.schema)
+        key = lambda r: (r._s_shard, r._s_slot)
+        assert sorted(back.select(*rows.columns).collect(), key=key) == sorted(rows.collect(), key=key)
+
+
 def test_write_shards(spark, tmp_path):
     rows = shards.shard(spark.range(100).withColumnRenamed("id", "doc_id"), 4, ["doc_id"], bucket_rows=10)
     shards.write_shards(rows, str(tmp_path / "s"))
