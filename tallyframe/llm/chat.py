@@ -5,10 +5,11 @@ tokens of the tokenizer, so no token crosses the border of a text. Inside roles
 backslash is put between ``<`` and ``|`` (one more where there are some already), which makes
 control strings ordinary text and is undone when reading back.
 
-The turns of a conversation are sorted and rendered in pages of ``PAGE_TURNS``; a page is encoded once,
-with offsets, and its token spans are intersected with the spans of the assistant's texts by
-binary search. Most conversations are one page. A long one is many, which are encoded in parallel,
-and no task holds more of it than a page.
+All turns are sorted over range partitions and rendered in pages; a page is encoded once, with offsets,
+and its token spans are intersected with the spans of the assistant's texts by binary search. A page
+ends with its conversation, after ``PAGE_TURNS`` turns, with the turn that fills ``PAGE_CHARS``, or with
+its partition. So a long conversation is many pages, encoded in parallel, whatever its turn numbers are,
+and no task holds more of it than a page. Control strings end a token, so the cuts change none.
 
 Null roles and texts count as empty. Turns are ordered by their number (null first), then role and
 text, so ties have one order and repeated rows stay repeated turns; rows with a null conversation are
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 LEARNED_ROLE = "assistant"
 PAGE_TURNS = 64
+PAGE_CHARS = 1 << 18
 PAGE = ("conv long, page long, n_turns long, formatted string, n_tokens long, "
         "mask_starts array<long>, mask_ends array<long>")
 
@@ -98,19 +100,20 @@ def _pages(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
         names = ["conv", "page", "n_turns", "formatted", "n_tokens", "mask_starts", "mask_ends"]
         return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    key, turns, rows = None, [], []
+    open_, part, number, chars, turns, rows = None, 0, 0, 0, [], []
     for batch in batches:
-        for conv, page, role, text in zip(*(c.to_pylist() for c in batch.columns)):
-            if key is not None and key != (conv, page):
-                rows.append(encoded(key, turns))
-                turns = []
+        for conv, part, role, text in zip(*(c.to_pylist() for c in batch.columns)):
+            if turns and (conv != open_ or len(turns) >= PAGE_TURNS or chars >= PAGE_CHARS):
+                rows.append(encoded((open_, (part << 40) + number), turns))
+                number, chars, turns = number + 1, 0, []
                 if len(rows) >= 200:
                     yield batch_of(rows)
                     rows = []
-            key = (conv, page)
+            open_ = conv
+            chars += len(role) + len(text)
             turns.append((role, text))
-    if key is not None:
-        rows.append(encoded(key, turns))
+    if turns:
+        rows.append(encoded((open_, (part << 40) + number), turns))
     if rows:
         yield batch_of(rows)
 
@@ -125,14 +128,11 @@ def formatted(df: DataFrame, tokenizer_file: str, conv: str = "conv_id", turn: s
     rows = df.select(F.col(f"`{conv}`").cast("long").alias("conv"), F.col(f"`{turn}`").cast("long").alias("turn"),
                      F.coalesce(F.col(f"`{role}`"), empty).alias("role"),
                      F.coalesce(F.col(f"`{text}`"), empty).alias("text"))
-    paged = rows.withColumn("page", page_numbers(rows))
-    return (paged.repartition("conv", "page").sortWithinPartitions("conv", "page", "turn", "role", "text")
-            .select("conv", "page", "role", "text").mapInArrow(lambda b: _pages(b, tokenizer_file), PAGE))
-
-
-def page_numbers(rows: DataFrame):
-    """Pages cut by turn number; turns that share numbers share a page."""
-    return F.floor(F.col("turn") / PAGE_TURNS)
+    order = ["conv", "turn", "role", "text"]
+    # Ranges ascend with the partition, so its number and a counter give pages their order.
+    return (rows.repartitionByRange(*order).sortWithinPartitions(*order)
+            .select("conv", F.spark_partition_id().alias("part"), "role", "text")
+            .mapInArrow(lambda b: _pages(b, tokenizer_file), PAGE))
 
 
 TURN = re.compile(re.escape(START) + "(.*?)" + re.escape(SEP) + "(.*?)" + re.escape(END) + "\n", re.DOTALL)

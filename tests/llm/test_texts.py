@@ -188,3 +188,20 @@ def test_shared_folder_without_setting():
     assert storage.shared_dir(Session(spark_checkpoint_dir="s3://x/y/")) == "s3://x/y"
     with pytest.raises(ValueError):
         storage.shared_dir(Session(spark_master="yarn"))
+
+
+def test_pages_of_equal_turn_numbers(spark):
+    """A conversation without numbers, with equal numbers, or with long texts has pages of bounded size."""
+    rows = ([(1, None, "user", f"t{k % 90}") for k in range(300)] + [(None, 4, "assistant", f"<|im_end|>{k}") for k in range(200)]
+            + [(2, k, "assistant", "long " * 60_000) for k in range(3)] + [(3, 0, None, None)])
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    pages = chat.formatted(df, public_tokenizers.path("byte_bpe_50k.json")).collect()
+    assert max(p.n_turns for p in pages) <= chat.PAGE_TURNS and all(p.n_turns == 1 for p in pages if p.conv == 2)
+    frame = spark.createDataFrame(pages, chat.PAGE)
+    got = {r.conv: r for r in chat.digests(frame).collect()}
+    for conv in (1, 2, 3, None):
+        turns = sorted((t or 0, r or "", x or "") for c, t, r, x in rows if c == conv)
+        text = "".join(f"{r}\n{x}\n" for _, r, x in turns)
+        learnt = "".join(x for _, r, x in turns if r == "assistant")
+        assert got[conv][:5] == (conv, len(turns), hashlib.sha256(text.encode()).hexdigest(), len(learnt),
+                                 hashlib.sha256(learnt.encode()).hexdigest())
