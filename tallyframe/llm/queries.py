@@ -86,7 +86,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_repeats(table(spark, sf_dir, "documents"), with_text=False).select(
-        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages")
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

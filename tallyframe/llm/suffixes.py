@@ -1,7 +1,10 @@
 """Passages of ``LENGTH`` bytes that occur twice in a corpus, whatever the documents.
 
+Those are removed. Passages of ``SHORT`` bytes and ``PASSAGE_WORDS`` words, the size of a paragraph, are found
+by the same index and counted only (``n_passages``).
+
 Full suffix arrays take several times the corpus, so the arrays here are sparse. The first pass takes
-*anchors*: of every ``LENGTH`` bytes of a document, the ``GRAM`` bytes with the smallest hash. Two equal
+*anchors*: of every ``SHORT`` bytes of a document, the ``GRAM`` bytes with the smallest hash. Two equal
 passages have the same anchor at the same place, so only anchors whose bytes occur twice can lie in a
 repeat. Anchors are dealt by these bytes. If even the whole surroundings of two anchors (all
 passages around them) are equal, the surroundings are repeats, and nothing else is asked. That is looked for in
@@ -9,7 +12,7 @@ each batch of documents first, so a passage that many documents share goes on on
 
 The rest, the borders of repeats, go to the index family. A task reads the surroundings of its anchors in
 batches. A batch becomes a suffix array: the starts of its passages, in the order of the digests of
-the ``LENGTH`` bytes that follow. It is merge-scanned against the levels that are there; starts with
+the ``LENGTH`` or ``SHORT`` bytes that follow. It is merge-scanned against the levels that are there; starts with
 equal passages, old and new, are marked. Then it becomes a level itself, and levels merge while the
 newer is as large as the older one, so there are few of them and each start moves a few times.
 Anchors with more than ``KEY_LIMIT`` different surroundings are not held by one task: their digests
@@ -17,7 +20,7 @@ are grouped by Spark.
 
 Texts are UTF-8 bytes, null is empty. Copies of a document repeat each other as any others do;
 rows with the same id and text are two documents with equal results; null ids are kept. Documents
-shorter than a passage lose nothing. An empty table has an empty result; other columns are not
+shorter than a passage lose nothing, those shorter than a short one count none. An empty table has an empty result; other columns are not
 read. Long documents are read in pieces that overlap; the result does not depend on the cuts.
 """
 
@@ -33,10 +36,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.llm.storage import cut
 
-LENGTH, GRAM = 400, 96
+LENGTH, SHORT, GRAM = 400, 250, 64
+LENGTHS = (LENGTH, SHORT)
 LEFT = LENGTH - GRAM
+PASSAGE_WORDS = 50
 KEY_LIMIT = 20_000
-CONTEXTS_PER_TASK = 8_000
+CONTEXTS_PER_TASK = 5_000
 CONTEXTS_PER_BATCH = 1_000
 PIECE = 1 << 18
 
@@ -105,17 +110,17 @@ def window_places(values: np.ndarray, width: int) -> np.ndarray:
 def anchors(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(places, hashes of the gram, hashes of the surroundings)`` of one document, by pieces."""
     done = -1
-    for cut_at in range(0, max(1, len(data) - LENGTH + 1), PIECE):
-        if len(data) < LENGTH:
+    for cut_at in range(0, max(1, len(data) - SHORT + 1), PIECE):
+        if len(data) < SHORT:
             return
         # passages that start in the piece, with all that surrounds their anchors
         low = max(0, cut_at - LENGTH)
         high = min(len(data), cut_at + PIECE + 3 * LENGTH)
-        last = min(len(data) - LENGTH, cut_at + PIECE - 1) - low
+        last = min(len(data) - SHORT, cut_at + PIECE - 1) - low
         part = np.frombuffer(data, np.uint8)[low:high]
         rolling = Rolling(part)
         grams = rolling.every(GRAM)
-        found = window_places(grams, LEFT + 1)[cut_at - low:last + 1]
+        found = window_places(grams, SHORT - GRAM + 1)[cut_at - low:last + 1]
         places = found[np.r_[True, found[1:] != found[:-1]]]
         places = places[places + low > done]
         if not len(places):
@@ -262,24 +267,30 @@ def _context_batch(rows, names):
     return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
 
-def passages(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(digest, row, offset)`` of all passages around the anchors of a batch.
+def passages(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(digest, row, offset, kind)`` of all passages around the anchors of a batch; ``kind`` counts ``LENGTHS``.
 
-    The digest covers the key and the offset from anchor to passage: only passages that lie
+    The digest covers the key, the kind and the offset from anchor to passage: only passages that lie
     alike around equal anchors can be equal by it.
     """
     bodies = batch.column(6).to_pylist()
     sizes = np.array([len(b) for b in bodies])
+    left = np.asarray(batch.column(4)).astype(np.int64)
+    keys = np.asarray(batch.column(0)).view(np.uint64)
     rolling = Rolling(np.frombuffer(b"".join(bodies), np.uint8))
     base = np.r_[0, np.cumsum(sizes)[:-1]]
-    count = sizes - LENGTH + 1
-    row = np.repeat(np.arange(len(bodies)), count)
-    at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    offset = np.asarray(batch.column(4)).astype(np.int64)[row] - at
-    starts = base[row] + at
-    key = np.asarray(batch.column(0)).view(np.uint64)[row]
-    digest = rolling.of(starts, starts + LENGTH) ^ mixed(key * U(_MULTIPLIER) + (offset + 1).astype(np.uint64))
-    return digest, row, offset
+    parts = []
+    for kind, length in enumerate(LENGTHS):
+        first = np.maximum(0, left - (length - GRAM))
+        count = np.maximum(0, np.minimum(left, sizes - length) - first + 1)
+        row = np.repeat(np.arange(len(bodies)), count)
+        at = first[row] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        offset = left[row] - at
+        starts = base[row] + at
+        place = (offset + 1 + kind * 1024).astype(np.uint64)
+        digest = rolling.of(starts, starts + length) ^ mixed(keys[row] * U(_MULTIPLIER) + place)
+        parts.append((digest, row, offset, np.full(len(row), kind)))
+    return tuple(np.concatenate(p) for p in zip(*parts))
 
 
 class IndexFamily:
@@ -312,14 +323,15 @@ class IndexFamily:
         return np.concatenate([o[m] for _, o, m in self.levels] or [np.array([], np.int64)])
 
 
-SPANS = "id long, tie long, start long, end long"
+#: ``length``: of the passages that make the span, or null for whole surroundings of an anchor.
+SPANS = "id long, tie long, start long, end long, length int"
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     family, asked, rows = IndexFamily(), [], 0
     for batch in slices(batches, CONTEXTS_PER_BATCH):
-        digest, row, offset = passages(batch)
-        family.add(digest, (row + rows) * 512 + offset)
+        digest, row, offset, kind = passages(batch)
+        family.add(digest, ((row + rows) * len(LENGTHS) + kind) * 512 + offset)
         asked.append(batch.select(["id", "tie", "pos", "single"]))
         rows += batch.num_rows
     if rows:
@@ -327,35 +339,41 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _spans(asked: pa.Table, owners: np.ndarray, rows: int) -> Iterator[pa.RecordBatch]:
-    """All passages around one anchor overlap, so the repeated ones make one span."""
-    row, offset = owners >> 9, owners & 511
-    low, high = np.full(rows, 512), np.full(rows, -1)
-    np.minimum.at(low, row, offset)
-    np.maximum.at(high, row, offset)
-    chosen = (high >= 0) & np.asarray(asked["single"])
-    t = asked.filter(pa.array(chosen))
-    pos = np.asarray(t["pos"])
-    yield from pa.table({"id": t["id"], "tie": t["tie"], "start": pos - high[chosen],
-                         "end": pos - low[chosen] + LENGTH}).to_batches()
+    """All passages of one kind around one anchor overlap, so the repeated ones make one span."""
+    group, offset = owners >> 9, owners & 511
+    low, high = np.full(rows * len(LENGTHS), 512), np.full(rows * len(LENGTHS), -1)
+    np.minimum.at(low, group, offset)
+    np.maximum.at(high, group, offset)
+    single = np.asarray(asked["single"])
+    for kind, length in enumerate(LENGTHS):
+        nearest, farthest = low[kind::len(LENGTHS)], high[kind::len(LENGTHS)]
+        chosen = (farthest >= 0) & single
+        t = asked.filter(pa.array(chosen))
+        pos = np.asarray(t["pos"])
+        yield from pa.table({
+            "id": t["id"], "tie": t["tie"], "start": pos - farthest[chosen],
+            "end": pos - nearest[chosen] + length,
+            "length": pa.array(np.full(len(pos), length), pa.int32())}).to_batches()
 
 
 def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, CONTEXTS_PER_BATCH):
-        digest, row, offset = passages(batch)
+        digest, row, offset, kind = passages(batch)
         take = pa.array(row)
         yield pa.record_batch([
             digest.view(np.int64), *(batch.column(n).take(take) for n in ("id", "tie", "pos")),
-            batch.column("single").take(take), offset], ["digest", "id", "tie", "pos", "single", "offset"])
+            batch.column("single").take(take), offset, pa.array(np.array(LENGTHS)[kind], pa.int32())],
+            ["digest", "id", "tie", "pos", "single", "offset", "length"])
 
 
 def _grouped(contexts: DataFrame) -> DataFrame:
     """The same as :func:`_index` for anchors with very many surroundings, by shuffles."""
     rows = contexts.mapInArrow(_digest_rows, "digest long, id long, tie long, pos long, "
-                                             "single boolean, offset long")
+                                             "single boolean, offset long, length int")
     twice = rows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    return (rows.where("single").join(twice, "digest").groupBy("id", "tie", "pos")
+    return (rows.where("single").join(twice, "digest").groupBy("id", "tie", "pos", "length")
             .agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
-            .selectExpr("id", "tie", "pos - high as start", f"pos - low + {LENGTH} as end"))
+            .selectExpr("id", "tie", "pos - high as start", "pos - low + length as end", "length"))
 
 
 def narrow(df: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -373,11 +391,11 @@ def of_document(docs: DataFrame, rows: DataFrame, values: str, how: str) -> Data
 
 
 def repeats(docs: DataFrame, limit: int = KEY_LIMIT) -> DataFrame:
-    """Spans ``(id, tie, start, end)`` of repeated bytes of ``narrow`` documents.
+    """Spans ``(id, tie, start, end, length)`` of repeated bytes of ``narrow`` documents.
 
     They overlap and may reach over the borders of the text.
     """
-    rows = docs.where(F.octet_length("body") >= LENGTH).mapInArrow(_anchor_rows, ANCHORS)
+    rows = docs.where(F.octet_length("body") >= SHORT).mapInArrow(_anchor_rows, ANCHORS)
     found = cut(rows.repartition("deal").sortWithinPartitions("key", "ctx").drop("deal")
                 .mapInArrow(_sort_out, FOUND), "anchors")
     asked = found.where("pos is not null").select("id", "tie", "pos", "key", "single")
@@ -385,7 +403,7 @@ def repeats(docs: DataFrame, limit: int = KEY_LIMIT) -> DataFrame:
     tasks = max(1, -(-asked.count() // CONTEXTS_PER_TASK))
     hot = asked.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("key")
     hot = cut(hot, "hot-anchors")
-    spans = found.where("start is not null").select("id", "tie", "start", "end")
+    spans = found.where("start is not null").select("id", "tie", "start", "end", F.lit(None).cast("int").alias("length"))
     if hot.isEmpty():
         return spans.unionByName(contexts.repartition(tasks, "key").mapInArrow(_index, SPANS))
     contexts = cut(contexts, "contexts")
@@ -394,9 +412,9 @@ def repeats(docs: DataFrame, limit: int = KEY_LIMIT) -> DataFrame:
         _grouped(contexts.join(hot, "key", "left_semi").select(*contexts.columns)))
 
 
-def merged(spans: list[dict], size: int) -> list[tuple[int, int]]:
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
-    for s in sorted((max(0, s["start"]), min(size, s["end"])) for s in spans):
+    for s in sorted(spans):
         if out and s[0] <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], s[1]))
         else:
@@ -404,7 +422,17 @@ def merged(spans: list[dict], size: int) -> list[tuple[int, int]]:
     return out
 
 
-REMOVED = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+def runs(spans: list[dict], size: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Runs of bytes in repeats of ``LENGTH`` bytes, and of those in repeats of ``SHORT`` bytes.
+
+    Surroundings of an anchor are a long repeat unless the whole document is shorter.
+    """
+    ends = [(max(0, s["start"]), min(size, s["end"])) for s in spans]
+    long = [e for e, s in zip(ends, spans) if s["length"] != SHORT and e[1] - e[0] >= LENGTH]
+    return merged(long), merged(ends)
+
+
+REMOVED = "id long, n_bytes long, n_removed long, n_spans long, n_passages long, kept_sha256 string, kept binary"
 
 
 def _remove(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
@@ -412,22 +440,26 @@ def _remove(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.R
         rows = []
         for id_, text, spans in zip(*(c.to_pylist() for c in batch.columns)):
             data = text.encode()
-            gone = merged(spans or [], len(data))
+            gone, repeated = runs(spans or [], len(data))
+            n_passages = sum(len(data[start:end].split()) >= PASSAGE_WORDS for start, end in repeated)
             parts, at = [], 0
             for start, end in gone:
                 parts.append(data[at:start])
                 at = end
             kept = b"".join([*parts, data[at:]])
-            rows.append((id_, len(data), len(data) - len(kept), len(gone),
+            rows.append((id_, len(data), len(data) - len(kept), len(gone), n_passages,
                          hashlib.sha256(kept).hexdigest(), kept if with_text else None))
-        types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
+        types = [pa.int64()] * 5 + [pa.string(), pa.binary()]
         yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                              ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                              ["id", "n_bytes", "n_removed", "n_spans", "n_passages", "kept_sha256", "kept"])
 
 
 def without_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text",
                     with_text: bool = True, limit: int = KEY_LIMIT) -> DataFrame:
-    """``id, n_bytes, n_removed, n_spans, kept_sha256, kept`` per row; ``kept`` are bytes."""
+    """``id, n_bytes, n_removed, n_spans, n_passages, kept_sha256, kept`` per row; ``kept`` are bytes.
+
+    ``n_passages``: runs covered by repeats of ``SHORT`` bytes that have ``PASSAGE_WORDS`` words or more, removed or not.
+    """
     docs = narrow(df, id_column, text)
     # Both joins of the documents are by the same keys: their texts are shuffled once.
     joined = of_document(docs, repeats(docs, limit), "spans", "left")

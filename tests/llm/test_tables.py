@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from itertools import groupby
 
 import numpy as np
 import pytest
@@ -110,6 +111,27 @@ def test_repeats_in_long_texts(spark, prose):
     assert [(r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows] == plain_removal(texts)
 
 
+@pytest.mark.parametrize("limit", [suffixes.KEY_LIMIT, 2])
+def test_passages_shorter_than_a_removed_one(spark, prose, limit):
+    passages = [prose(500 + k, n) for k, n in enumerate((30, 48, 55, 60, 70, 90, 120))]
+    texts = [prose(600 + k, 60) + "\n" + passages[k % 7] + "\n" + prose(700 + k, 60) for k in range(21)]
+    texts += [prose(800 + k, 150) for k in range(8)] + [prose(900, 55), prose(900, 55), "a b " * 80, "x" * 300, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(suffixes.without_repeats(df, limit=limit).collect())
+    assert [(r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows] == plain_removal(texts)
+    want = []
+    for text, flags in zip(texts, repeated_bytes(texts, suffixes.SHORT)):
+        data, at, n = (text or "").encode(), 0, 0
+        for gone, run in groupby(flags):
+            size = len(list(run))
+            n += bool(gone) and len(data[at:at + size].split()) >= suffixes.PASSAGE_WORDS
+            at += size
+        want.append(n)
+    assert [r.n_passages for r in rows] == want
+    planted = [k for k in range(21) if len(passages[k % 7].split()) > 50 and len(passages[k % 7]) >= suffixes.SHORT]
+    assert len(planted) > 10 and all(want[k] for k in planted) and not any(want[21:29])
+
+
 def test_repeats_of_odd_rows(odd_docs, no_docs):
     rows = suffixes.without_repeats(odd_docs).collect()
     texts = [r.text for r in odd_docs.collect()]
