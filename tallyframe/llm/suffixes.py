@@ -15,8 +15,10 @@ batches. A batch becomes a suffix array: the starts of its passages, in the orde
 the ``LENGTH`` or ``SHORT`` bytes that follow. It is merge-scanned against the levels that are there; starts with
 equal passages, old and new, are marked. Then it becomes a level itself, and levels merge while the
 newer is as large as the older one, so there are few of them and each start moves a few times.
-Anchors with more than ``KEY_LIMIT`` different surroundings are not held by one task: their digests
-are grouped by Spark.
+Anchors with more than ``KEY_LIMIT`` different surroundings, such as those in a common line, are not held by
+one task. A passage reaches ``SIDE`` bytes to the left or to the right of its anchor, so such an anchor
+is asked for twice, with these bytes on either side, and only where they occur again. What is still too
+common is compared by digests that Spark groups.
 
 Texts are UTF-8 bytes, null is empty. Copies of a document repeat each other as any others do;
 rows with the same id and text are two documents with equal results; null ids are kept. Documents
@@ -36,9 +38,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.llm.storage import cut
 
-LENGTH, SHORT, GRAM = 400, 250, 64
+LENGTH, SHORT, GRAM = 400, 250, 96
 LENGTHS = (LENGTH, SHORT)
-LEFT = LENGTH - GRAM
+LEFT, SIDE = LENGTH - GRAM, (SHORT - GRAM + 1) // 2
 PASSAGE_WORDS = 50
 KEY_LIMIT = 20_000
 CONTEXTS_PER_TASK = 5_000
@@ -107,8 +109,9 @@ def window_places(values: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(backward[:n - width + 1], forward[width - 1:n]) & U((1 << 24) - 1)).astype(np.int64)
 
 
-def anchors(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """``(places, hashes of the gram, hashes of the surroundings)`` of one document, by pieces."""
+def anchors(data: bytes) -> Iterator[tuple[np.ndarray, ...]]:
+    """``(places, hashes of the gram, of the surroundings, of the gram with the side before it and with the
+    one behind it)`` of one document, by pieces. A side that the document cuts off is 0."""
     done = -1
     for cut_at in range(0, max(1, len(data) - SHORT + 1), PIECE):
         if len(data) < SHORT:
@@ -129,10 +132,13 @@ def anchors(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         starts = np.maximum(places - LEFT, 0 if low == 0 else -1)
         ends = np.minimum(places + LENGTH, len(part))
         sides = mixed(((places - starts) * 1024 + (ends - places)).astype(np.uint64) * U(_MULTIPLIER))
-        yield places + low, grams[places], rolling.of(starts, ends) ^ sides
+        wide = (np.maximum(places - SIDE, 0), places + GRAM), (places, np.minimum(places + GRAM + SIDE, len(part)))
+        before, after = (np.where(end - start == GRAM + SIDE, mixed(rolling.of(start, end) + U(side)), U(0))
+                         for side, (start, end) in enumerate(wide))
+        yield places + low, grams[places], rolling.of(starts, ends) ^ sides, before, after
 
 
-ANCHORS = "deal long, key long, ctx long, id long, tie long, pos long, state int"
+ANCHORS = "deal long, key long, ctx long, id long, tie long, pos long, state int, before long, after long"
 #: States of an anchor: it goes on; it goes on for several equal ones; one of those, done.
 ONE, SEVERAL, DONE = 0, 1, 2
 
@@ -142,17 +148,18 @@ def _combined(ids: pa.Array, ties: pa.Array, rows: list[tuple]) -> pa.RecordBatc
 
     What is done is dealt out by its place and not by its key, which may be a very common one.
     """
-    keys, contexts, places = (np.concatenate([r[k] for r in rows]) for k in (0, 1, 3))
-    docs = np.repeat([r[2] for r in rows], [len(r[3]) for r in rows])
+    places, keys, contexts, before, after = (np.concatenate(parts) for parts in zip(*(r[1] for r in rows)))
+    docs = np.repeat([r[0] for r in rows], [len(r[1][0]) for r in rows])
     order = np.lexsort((contexts, keys))
-    keys, contexts, places, docs = (x[order] for x in (keys, contexts, places, docs))
+    keys, contexts, places, docs, before, after = (x[order] for x in (keys, contexts, places, docs, before, after))
     alike = (keys[1:] == keys[:-1]) & (contexts[1:] == contexts[:-1])
     state = np.where(np.r_[False, alike], DONE, np.where(np.r_[alike, False], SEVERAL, ONE))
     own = ties.take(pa.array(docs))
     deal = np.where(state == DONE, mixed(np.asarray(own).view(np.uint64) + places.astype(np.uint64)), keys)
     return pa.record_batch([
         deal.view(np.int64), keys.view(np.int64), contexts.view(np.int64), ids.take(pa.array(docs)), own,
-        places, pa.array(state, pa.int32())], ["deal", "key", "ctx", "id", "tie", "pos", "state"])
+        places, pa.array(state, pa.int32()), before.view(np.int64), after.view(np.int64)],
+        ["deal", "key", "ctx", "id", "tie", "pos", "state", "before", "after"])
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,9 +167,9 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, ties = batch.column(0), batch.column(1)
         rows, size = [], 0
         for i, text in enumerate(batch.column(2).cast(pa.large_binary())):
-            for places, keys, contexts in anchors(text.as_py()):
-                rows.append((keys, contexts, i, places))
-                size += len(places)
+            for part in anchors(text.as_py()):
+                rows.append((i, part))
+                size += len(part[0])
             if size > 500_000:
                 yield _combined(ids, ties, rows)
                 rows, size = [], 0
@@ -170,7 +177,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _combined(ids, ties, rows)
 
 
-FOUND = "key long, id long, tie long, start long, end long, pos long, single boolean"
+FOUND = "key long, id long, tie long, start long, end long, pos long, single boolean, before long, after long"
 
 
 def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +195,9 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.table({
             "key": t["key"], "id": t["id"], "tie": t["tie"],
             "start": pa.array(pos - LEFT, mask=~repeat), "end": pa.array(pos + LENGTH, mask=~repeat),
-            "pos": pa.array(pos, mask=~ask), "single": pa.array(single)}).to_batches()
+            "pos": pa.array(pos, mask=~ask), "single": pa.array(single),
+            "before": pa.array(np.asarray(t["before"]), mask=~ask),
+            "after": pa.array(np.asarray(t["after"]), mask=~ask)}).to_batches()
 
     def done(batch):
         """Spans of the anchors that are settled, and the others."""
@@ -398,18 +407,27 @@ def repeats(docs: DataFrame, limit: int = KEY_LIMIT) -> DataFrame:
     rows = docs.where(F.octet_length("body") >= SHORT).mapInArrow(_anchor_rows, ANCHORS)
     found = cut(rows.repartition("deal").sortWithinPartitions("key", "ctx").drop("deal")
                 .mapInArrow(_sort_out, FOUND), "anchors")
-    asked = found.where("pos is not null").select("id", "tie", "pos", "key", "single")
-    contexts = of_document(docs, asked, "asked", "inner").mapInArrow(_contexts, CONTEXTS)
-    tasks = max(1, -(-asked.count() // CONTEXTS_PER_TASK))
-    hot = asked.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("key")
-    hot = cut(hot, "hot-anchors")
     spans = found.where("start is not null").select("id", "tie", "start", "end", F.lit(None).cast("int").alias("length"))
+    asked = found.where("pos is not null").drop("start", "end")
+    hot = cut(asked.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("key"), "hot-anchors")
     if hot.isEmpty():
-        return spans.unionByName(contexts.repartition(tasks, "key").mapInArrow(_index, SPANS))
-    contexts = cut(contexts, "contexts")
-    usual = contexts.join(hot, "key", "left_anti").select(*contexts.columns)
-    return spans.unionByName(usual.repartition(tasks, "key").mapInArrow(_index, SPANS)).unionByName(
-        _grouped(contexts.join(hot, "key", "left_semi").select(*contexts.columns)))
+        return spans.unionByName(_indexed(docs, asked))
+    sides = cut(asked.join(hot, "key", "left_semi").select(
+        "id", "tie", "pos", "single", F.explode(F.array("before", "after")).alias("key")).where("key <> 0"), "sides")
+    again = sides.join(sides.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
+    usual = asked.join(hot, "key", "left_anti").unionByName(again.where(F.col("n") <= limit), allowMissingColumns=True)
+    return spans.unionByName(_indexed(docs, usual)).unionByName(
+        _grouped(_around(docs, again.where(F.col("n") > limit))))
+
+
+def _around(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    asked = asked.select("id", "tie", "pos", "key", "single")
+    return of_document(docs, asked, "asked", "inner").mapInArrow(_contexts, CONTEXTS)
+
+
+def _indexed(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    tasks = max(1, -(-asked.count() // CONTEXTS_PER_TASK))
+    return _around(docs, asked).repartition(tasks, "key").mapInArrow(_index, SPANS)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
