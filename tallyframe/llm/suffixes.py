@@ -17,7 +17,8 @@ equal passages, old and new, are marked. Then it becomes a level itself, and lev
 newer is as large as the older one, so there are few of them and each start moves a few times.
 Anchors with more than ``KEY_LIMIT`` different surroundings, such as those in a common line, are not held by
 one task. A passage reaches ``SIDE`` bytes to the left or to the right of its anchor, so such an anchor
-is asked for twice, with these bytes on either side, and only where they occur again. What is still too
+is asked for twice, with these bytes on either side and for the passages that reach further to that side,
+and only where they occur again. What is still too
 common is compared by digests that Spark groups.
 
 Texts are UTF-8 bytes, null is empty. Copies of a document repeat each other as any others do;
@@ -251,11 +252,13 @@ def _judged(table, before, after, sort_out):
     return table, repeat, ask, ask & ~repeat
 
 
-CONTEXTS = "key long, id long, tie long, pos long, left int, single boolean, body binary"
+#: Which passages around an anchor are meant: all, those that reach further to the left, or to the right.
+BOTH, BEFORE, AFTER = 0, 1, 2
+CONTEXTS = "key long, id long, tie long, pos long, left int, single boolean, body binary, side int"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["key", "id", "tie", "pos", "left", "single", "body"]
+    names = ["key", "id", "tie", "pos", "left", "single", "body", "side"]
     for batch in slices(batches, 200):
         rows = []
         for id_, tie, text, asked in zip(*(c.to_pylist() for c in batch.columns)):
@@ -263,7 +266,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for a in asked:
                 start = max(0, a["pos"] - LEFT)
                 rows.append((a["key"], id_, tie, a["pos"], a["pos"] - start, a["single"],
-                             data[start:a["pos"] + LENGTH]))
+                             data[start:a["pos"] + LENGTH], a["side"]))
             if len(rows) >= 2000:
                 yield _context_batch(rows, names)
                 rows = []
@@ -272,7 +275,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _context_batch(rows, names):
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.int32()]
     return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
 
@@ -285,13 +288,15 @@ def passages(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     bodies = batch.column(6).to_pylist()
     sizes = np.array([len(b) for b in bodies])
     left = np.asarray(batch.column(4)).astype(np.int64)
-    keys = np.asarray(batch.column(0)).view(np.uint64)
+    keys, side = np.asarray(batch.column(0)).view(np.uint64), np.asarray(batch.column(7))
     rolling = Rolling(np.frombuffer(b"".join(bodies), np.uint8))
     base = np.r_[0, np.cumsum(sizes)[:-1]]
     parts = []
     for kind, length in enumerate(LENGTHS):
-        first = np.maximum(0, left - (length - GRAM))
-        count = np.maximum(0, np.minimum(left, sizes - length) - first + 1)
+        nearest = np.where(side == BEFORE, (length - GRAM + 1) // 2, 0)
+        farthest = np.where(side == AFTER, (length - GRAM) // 2, length - GRAM)
+        first = np.maximum(0, left - farthest)
+        count = np.maximum(0, np.minimum(left - nearest, sizes - length) - first + 1)
         row = np.repeat(np.arange(len(bodies)), count)
         at = first[row] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         offset = left[row] - at
@@ -408,20 +413,23 @@ def repeats(docs: DataFrame, limit: int = KEY_LIMIT) -> DataFrame:
     found = cut(rows.repartition("deal").sortWithinPartitions("key", "ctx").drop("deal")
                 .mapInArrow(_sort_out, FOUND), "anchors")
     spans = found.where("start is not null").select("id", "tie", "start", "end", F.lit(None).cast("int").alias("length"))
-    asked = found.where("pos is not null").drop("start", "end")
+    asked = found.where("pos is not null").drop("start", "end").withColumn("side", F.lit(BOTH))
     hot = cut(asked.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("key"), "hot-anchors")
     if hot.isEmpty():
         return spans.unionByName(_indexed(docs, asked))
     sides = cut(asked.join(hot, "key", "left_semi").select(
-        "id", "tie", "pos", "single", F.explode(F.array("before", "after")).alias("key")).where("key <> 0"), "sides")
+        "id", "tie", "pos", "single", F.inline(F.array(
+            F.struct(F.col("before").alias("key"), F.lit(BEFORE).alias("side")),
+            F.struct(F.col("after").alias("key"), F.lit(AFTER).alias("side"))))).where("key <> 0"), "sides")
     again = sides.join(sides.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
-    usual = asked.join(hot, "key", "left_anti").unionByName(again.where(F.col("n") <= limit), allowMissingColumns=True)
+    asks = ["id", "tie", "pos", "key", "single", "side"]
+    usual = asked.join(hot, "key", "left_anti").select(asks).unionByName(again.where(F.col("n") <= limit).select(asks))
     return spans.unionByName(_indexed(docs, usual)).unionByName(
         _grouped(_around(docs, again.where(F.col("n") > limit))))
 
 
 def _around(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    asked = asked.select("id", "tie", "pos", "key", "single")
+    asked = asked.select("id", "tie", "pos", "key", "single", "side")
     return of_document(docs, asked, "asked", "inner").mapInArrow(_contexts, CONTEXTS)
 
 
